@@ -84,3 +84,345 @@ def q_snapshots(spark, sf):
 @register("serving_features", f"SELECT {', '.join(FEATURE_COLS)} FROM snap")
 def q_serving_features(spark, sf):
     return snaps(spark, sf).select(*FEATURE_COLS)
+
+
+# Scoring -------------------------------------------------------------
+
+from cartflow import constants as K  # noqa: E402
+from cartflow.operators import reports as R  # noqa: E402
+from cartflow.plans.oracle import HIGH, cw, mavg, msum, navg, pavg, pct, risk_case, rh, since  # noqa: E402
+
+H, AS_OF = K.REPORT_HOURS, K.AS_OF
+PRED_COLS = ("prediction_id, session_id, user_id, prediction_timestamp, abandonment_probability, predicted_abandoned, "
+             "risk_level, intervention_triggered, intervention_type, model_version, prediction_latency_ms")
+
+
+@register("predictions", f"SELECT {PRED_COLS} FROM preds")
+def q_predictions(spark, sf):
+    return preds(spark, sf)
+
+
+@register("risk_levels", f"""
+SELECT session_id, event_id, abandonment_probability, abandonment_probability > 0.5 AS will_abandon,
+  {risk_case('abandonment_probability', 1)} AS risk_level, {risk_case('abandonment_probability', 2)} AS confidence,
+  {risk_case('abandonment_probability', 3)} AS recommended_intervention,
+  {risk_case('abandonment_probability', 1)} IN ('HIGH', 'CRITICAL') AS intervention_triggered
+FROM preds0""")
+def q_risk_levels(spark, sf):
+    return risk_levels(snaps(spark, sf))
+
+
+@register("scorable", "SELECT session_id, event_id, cart_value FROM snap WHERE cart_value > 0")
+def q_scorable(spark, sf):
+    from cartflow.operators.scoring import scorable
+    return scorable(snaps(spark, sf)).select("session_id", "event_id", "cart_value")
+
+
+# P: projections and filters ----------------------------------------------------
+
+P1_COLS = ("CAST(start_time AS DATE) AS abandonment_date, CAST(hour(start_time) AS INTEGER) AS abandonment_hour, "
+           "CAST(dayofweek(start_time) AS INTEGER) AS day_of_week, session_id, user_id, persona, device_type, "
+           "cart_value, cart_additions AS items_in_cart, abandonment_reason, time_in_cart_seconds, "
+           "checkout_initiated, page_views, session_duration_seconds, products_viewed, start_time, last_activity")
+
+
+@register("abandonment_detail", f"SELECT {P1_COLS} FROM sess WHERE is_cart_abandoned ORDER BY start_time DESC")
+def q_p1(spark, sf):
+    return R.abandonment_detail(sessions(spark, sf))
+
+
+@register("high_value_abandoned", f"""
+SELECT session_id, user_id, cart_value, abandonment_reason, device_type, time_in_cart_seconds
+FROM (SELECT {P1_COLS} FROM sess WHERE is_cart_abandoned) v
+WHERE cart_value > 100 ORDER BY cart_value DESC, session_id ASC LIMIT 10""")
+def q_p2(spark, sf):
+    return R.high_value_abandoned(sessions(spark, sf))
+
+
+@register("predictions_since", f"SELECT {PRED_COLS} FROM preds WHERE {since('prediction_timestamp', H)}")
+def q_p3(spark, sf):
+    return R.predictions_since(preds(spark, sf), H, AS_OF)
+
+
+@register("urgent_predictions", f"""
+SELECT p.prediction_id, p.session_id, p.risk_level, p.abandonment_probability, s.persona
+FROM preds p LEFT JOIN sess s ON p.session_id = s.session_id
+WHERE {since('p.prediction_timestamp', H)} AND p.risk_level IN ('HIGH', 'CRITICAL') AND p.intervention_triggered
+  AND s.persona IS NOT NULL AND NOT s.is_converted""")
+def q_p4(spark, sf):
+    return R.urgent_predictions(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+J1_SQL = f"""
+SELECT p.prediction_id, p.session_id, p.prediction_timestamp, p.abandonment_probability, p.predicted_abandoned,
+  p.risk_level, p.intervention_triggered, p.intervention_type, p.prediction_latency_ms,
+  s.cart_value, s.page_views, s.cart_additions, s.device_type, s.persona, s.is_converted
+FROM preds p LEFT JOIN sess s ON p.session_id = s.session_id
+WHERE {since('p.prediction_timestamp', H)}"""
+
+
+@register("display_high_risk", f"""
+SELECT session_id AS "Session", strftime(prediction_timestamp, '%H:%M:%S') AS "Time", risk_level AS "Risk",
+  CAST({rh('abandonment_probability * 100', 1)} AS VARCHAR) || '%' AS "Probability",
+  '$' || CAST({rh('cart_value', 2)} AS VARCHAR) AS "Cart $", device_type AS "Device", persona AS "User Type",
+  intervention_type AS "Recommended Action"
+FROM ({J1_SQL}) j WHERE risk_level IN ('HIGH', 'CRITICAL')
+ORDER BY prediction_timestamp DESC, prediction_id DESC LIMIT 20""")
+def q_p6(spark, sf):
+    return R.display_high_risk(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+# J: joins ------------------------------------------------------------------------
+
+@register("predictions_in_range", J1_SQL + " ORDER BY p.prediction_timestamp DESC")
+def q_j1(spark, sf):
+    return R.predictions_in_range(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+@register("live_predictions", f"""
+SELECT * EXCLUDE (prediction_id) FROM ({J1_SQL}) j ORDER BY prediction_timestamp DESC, session_id ASC LIMIT 100""")
+def q_j2(spark, sf):
+    return R.live_predictions(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+# G: aggregations -------------------------------------------------------------------
+
+@register("conversion_funnel_daily", f"""
+SELECT CAST(start_time AS DATE) AS funnel_date, persona, device_type,
+  count(*) AS total_sessions, {cw('page_views > 0')} AS browsing_sessions,
+  {cw('products_viewed > 0')} AS product_viewed_sessions, {cw('cart_additions > 0')} AS cart_active_sessions,
+  {cw('checkout_initiated')} AS checkout_sessions, {cw('is_converted')} AS purchased_sessions,
+  {cw('is_cart_abandoned')} AS abandoned_sessions,
+  {msum('cart_value')} AS total_cart_value, {msum('purchase_value')} AS total_purchase_value,
+  {mavg('cart_value')} AS avg_cart_value, {mavg('purchase_value')} AS avg_purchase_value,
+  {pct(cw('is_converted'), cw('cart_additions > 0'))} AS conversion_rate,
+  {pct(cw('is_cart_abandoned'), cw('cart_additions > 0'))} AS abandonment_rate
+FROM sess GROUP BY 1, 2, 3 ORDER BY funnel_date DESC, persona""")
+def q_g1(spark, sf):
+    return R.conversion_funnel_daily(sessions(spark, sf))
+
+
+G2_SQL = f"""
+SELECT abandonment_reason, count(*) AS total_abandonments, {mavg('cart_value')} AS avg_cart_value,
+  {msum('cart_value')} AS total_lost_value, {navg('time_in_cart_seconds')} AS avg_time_in_cart,
+  {navg('page_views')} AS avg_page_views,
+  {cw("device_type = 'mobile'")} AS mobile_count, {cw("device_type = 'desktop'")} AS desktop_count,
+  {cw("device_type = 'tablet'")} AS tablet_count,
+  {cw("persona = 'window_shopper'")} AS window_shopper_count, {cw("persona = 'intent_buyer'")} AS intent_buyer_count,
+  {cw("persona = 'cart_abandoner'")} AS cart_abandoner_count
+FROM sess WHERE is_cart_abandoned GROUP BY abandonment_reason
+ORDER BY total_abandonments DESC, abandonment_reason ASC NULLS LAST"""
+
+
+@register("abandonment_reasons", G2_SQL)
+def q_g2(spark, sf):
+    return R.abandonment_reasons(sessions(spark, sf))
+
+
+@register("top_reasons", G2_SQL + " LIMIT 5")
+def q_g2_top(spark, sf):
+    return R.top_reasons(sessions(spark, sf))
+
+
+@register("risk_distribution", f"""
+SELECT risk_level, count(*) AS count, {pavg('abandonment_probability')} AS avg_probability
+FROM preds WHERE {since('prediction_timestamp', H)} GROUP BY risk_level""")
+def q_g3(spark, sf):
+    return R.risk_distribution(preds(spark, sf), H, AS_OF)
+
+
+@register("hourly_predictions", f"""
+SELECT date_trunc('hour', prediction_timestamp) AS hour, count(*) AS total_predictions,
+  {cw(HIGH)} AS high_risk_count, {pavg('abandonment_probability')} AS avg_probability,
+  {cw('intervention_triggered')} AS interventions_triggered
+FROM preds WHERE {since('prediction_timestamp', H)} GROUP BY 1 ORDER BY 1""")
+def q_g4(spark, sf):
+    return R.hourly_predictions(preds(spark, sf), H, AS_OF)
+
+
+@register("session_kpis", f"""
+SELECT count(*) AS total_sessions, {cw('is_converted')} AS converted_sessions,
+  {cw('cart_value > 0 AND NOT is_converted')} AS abandoned_sessions, {mavg('cart_value', 2)} AS avg_cart_value,
+  {navg('session_duration_seconds', 0)} AS avg_duration, {navg('page_views')} AS avg_page_views
+FROM sess WHERE {since('updated_at', H)}""")
+def q_g5(spark, sf):
+    return R.session_kpis(sessions(spark, sf), H, AS_OF)
+
+
+SWP = f"""(SELECT s.*, p.* EXCLUDE (session_id, user_id) FROM sess s LEFT JOIN preds p ON s.session_id = p.session_id
+  WHERE {since('s.updated_at', H)} AND p.prediction_timestamp IS NOT NULL)"""
+
+
+@register("persona_performance", f"""
+SELECT persona, count(*) AS sessions, {cw('is_converted')} AS conversions,
+  {pavg('abandonment_probability')} AS avg_abandon_prob, {cw(HIGH)} AS high_risk_count,
+  {mavg('cart_value', 2)} AS avg_cart_value
+FROM {SWP} j WHERE persona IS NOT NULL GROUP BY persona ORDER BY sessions DESC""")
+def q_g6(spark, sf):
+    return R.persona_performance(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+@register("abandonment_by_device", f"""
+SELECT device_type, count(*) AS total_sessions, {cw(HIGH)} AS high_risk_sessions,
+  {mavg('cart_value')} AS avg_cart_value, {pct(cw(HIGH), 'count(*)')} AS high_risk_rate
+FROM {SWP} j GROUP BY device_type ORDER BY high_risk_rate DESC""")
+def q_g7(spark, sf):
+    return R.abandonment_by_device(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+@register("conversion_funnel", f"""
+SELECT count(*) AS total_sessions, {cw('page_views > 0')} AS with_pageviews,
+  {cw('products_viewed > 0')} AS viewed_products, {cw('cart_additions > 0')} AS added_to_cart,
+  {cw('checkout_initiated')} AS initiated_checkout, {cw('is_converted')} AS purchased,
+  {pct(cw('is_converted'), cw('cart_additions > 0'))} AS cart_to_purchase_rate
+FROM sess WHERE {since('updated_at', H)}""")
+def q_g8(spark, sf):
+    return R.conversion_funnel(sessions(spark, sf), H, AS_OF)
+
+
+@register("intervention_effectiveness", f"""
+SELECT p.risk_level, p.intervention_type, count(*) AS total_interventions,
+  {cw('s.is_converted')} AS successful_conversions,
+  {pct(cw('s.is_converted'), 'count(*)')} AS conversion_rate
+FROM preds p LEFT JOIN sess s ON p.session_id = s.session_id
+WHERE p.intervention_triggered AND {since('p.prediction_timestamp', H)}
+GROUP BY p.risk_level, p.intervention_type HAVING count(*) >= 3 ORDER BY conversion_rate DESC""")
+def q_g9(spark, sf):
+    return R.intervention_effectiveness(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+@register("latency_stats", f"""
+SELECT *, CASE WHEN avg_latency_ms < 100 THEN 'Good' ELSE 'Slow' END AS avg_verdict,
+  CASE WHEN p95_latency_ms < 200 THEN 'Good' ELSE 'Slow' END AS p95_verdict
+FROM (SELECT count(*) AS total_predictions, {navg('prediction_latency_ms')} AS avg_latency_ms,
+  min(prediction_latency_ms) AS min_latency_ms, max(prediction_latency_ms) AS max_latency_ms,
+  {rh('quantile_cont(prediction_latency_ms, 0.95)', 4)} AS p95_latency_ms
+  FROM preds WHERE {since('prediction_timestamp', H)})""")
+def q_g10(spark, sf):
+    return R.latency_stats(preds(spark, sf), H, AS_OF)
+
+
+G11_SQL = f"""
+SELECT {cw(HIGH)} AS high_risk_predictions, {cw('intervention_triggered')} AS interventions_triggered,
+  {msum(f'CASE WHEN {HIGH} THEN s.cart_value ELSE 0.0 END')} AS total_at_risk_value,
+  {mavg(f'CASE WHEN {HIGH} THEN s.cart_value END')} AS avg_at_risk_cart_value,
+  {cw('intervention_triggered AND s.is_converted')} AS recovered_carts,
+  {msum('CASE WHEN intervention_triggered AND s.is_converted THEN s.purchase_value ELSE 0.0 END')} AS recovered_revenue
+FROM preds p LEFT JOIN sess s ON p.session_id = s.session_id
+WHERE {since('p.prediction_timestamp', H)}"""
+
+
+@register("business_impact", G11_SQL)
+def q_g11(spark, sf):
+    return R.business_impact(preds(spark, sf), sessions(spark, sf), H, AS_OF)
+
+
+@register("abandonment_rate_by_persona", f"""
+SELECT persona, count(*) AS total_sessions, {cw('is_cart_abandoned')} AS abandoned,
+  {pct(cw('is_cart_abandoned'), 'count(*)')} AS abandonment_rate
+FROM sess WHERE persona IS NOT NULL GROUP BY persona ORDER BY abandonment_rate DESC""")
+def q_g13(spark, sf):
+    return R.abandonment_rate_by_persona(sessions(spark, sf))
+
+
+@register("outcome_summary", f"""
+SELECT *, {pct('purchased', 'total_sessions')} AS purchased_pct, {pct('abandoned', 'total_sessions')} AS abandoned_pct,
+  {pct('browsing', 'total_sessions')} AS browsing_pct
+FROM (SELECT count(*) AS total_sessions, {cw('is_converted')} AS purchased,
+  {cw('cart_value > 0 AND NOT is_converted')} AS abandoned, {cw('cart_value > 0')} AS with_cart,
+  {cw('cart_value <= 0 AND NOT is_converted')} AS browsing FROM sess)""")
+def q_g14(spark, sf):
+    return R.outcome_summary(sessions(spark, sf))
+
+
+@register("persona_outcomes", f"""
+SELECT persona, count(*) AS total, {cw('is_converted')} AS converted,
+  {cw('cart_value > 0 AND NOT is_converted')} AS abandoned, {pct(cw('is_converted'), 'count(*)')} AS conversion_rate
+FROM sess WHERE persona IS NOT NULL GROUP BY persona ORDER BY persona""")
+def q_g15(spark, sf):
+    return R.persona_outcomes(sessions(spark, sf))
+
+
+@register("event_mix", f"""
+SELECT event_type, count(*) AS events, {pct('count(*)', '(SELECT count(*) FROM ev)')} AS share_pct
+FROM ev GROUP BY event_type""")
+def q_g16(spark, sf):
+    return R.event_mix(events(spark, sf))
+
+
+@register("event_summary", f"""
+SELECT *, {pct('abandonments', 'abandonments + purchases')} AS abandonment_rate FROM (
+SELECT count(*) AS total_events, count(DISTINCT session_id) AS sessions, count(DISTINCT user_id) AS users,
+  {cw("event_type = 'session_start' AND persona = 'window_shopper'")} AS window_shopper_starts,
+  {cw("event_type = 'session_start' AND persona = 'intent_buyer'")} AS intent_buyer_starts,
+  {cw("event_type = 'session_start' AND persona = 'cart_abandoner'")} AS cart_abandoner_starts,
+  {cw("event_type = 'purchase'")} AS purchases, {cw("event_type = 'cart_abandoned'")} AS abandonments,
+  {cw("event_type = 'session_recovered'")} AS recoveries FROM ev)""")
+def q_g16b(spark, sf):
+    return R.event_summary(events(spark, sf))
+
+
+@register("event_funnel", f"""
+SELECT *, {pct('cart_adds', 'product_views')} AS view_to_cart_pct, {pct('checkouts', 'cart_adds')} AS cart_to_checkout_pct,
+  {pct('purchases', 'checkouts')} AS checkout_to_purchase_pct, {pct('purchases', 'product_views')} AS view_to_purchase_pct
+FROM (SELECT {cw("event_type = 'product_view'")} AS product_views, {cw("event_type = 'add_to_cart'")} AS cart_adds,
+  {cw("event_type = 'checkout_initiated'")} AS checkouts, {cw("event_type = 'purchase'")} AS purchases FROM ev)""")
+def q_g17(spark, sf):
+    return R.event_funnel(events(spark, sf))
+
+
+@register("session_quality", f"""
+SELECT *, {pct('bounces', 'sessions')} AS bounce_rate FROM (
+SELECT count(*) AS sessions, {navg('session_duration_seconds', 2)} AS avg_duration_seconds,
+  {navg('page_views', 2)} AS avg_page_views, {navg('products_viewed', 2)} AS avg_products_viewed,
+  {mavg('cart_value', 2)} AS avg_cart_value, {cw('bounce')} AS bounces FROM sess)""")
+def q_g18(spark, sf):
+    return R.session_quality(sessions(spark, sf))
+
+
+@register("session_mix", f"""
+SELECT dimension, value, sessions, {pct('sessions', '(SELECT count(*) FROM sess)')} AS share_pct FROM (
+  SELECT 'device_type' AS dimension, device_type AS value, count(*) AS sessions FROM sess GROUP BY device_type
+  UNION ALL
+  SELECT 'browser' AS dimension, browser AS value, count(*) AS sessions FROM sess GROUP BY browser)""")
+def q_g18b(spark, sf):
+    return R.session_mix(sessions(spark, sf))
+
+
+@register("live_headline", f"""
+SELECT *, COALESCE({pct('high_risk_count', 'total_predictions', 1)}, 0.0) AS high_risk_pct,
+  COALESCE({pct('interventions', 'total_predictions', 1)}, 0.0) AS intervention_pct FROM (
+SELECT count(*) AS total_predictions, {cw(HIGH)} AS high_risk_count,
+  {pavg('abandonment_probability')} AS avg_probability, {cw('intervention_triggered')} AS interventions
+FROM preds WHERE {since('prediction_timestamp', H)})""")
+def q_g19(spark, sf):
+    return R.live_headline(preds(spark, sf), H, AS_OF)
+
+
+@register("roi", f"""
+SELECT *, CASE WHEN roi_pct > 100 THEN 'Excellent' WHEN roi_pct > 50 THEN 'Good' ELSE 'Low' END AS roi_label FROM (
+SELECT *, COALESCE({rh('(potential_recovery - intervention_cost) * 100.0 / NULLIF(intervention_cost, 0)', 2)}, 0.0)
+  AS roi_pct FROM (
+SELECT total_at_risk_value, interventions_triggered,
+  {rh('total_at_risk_value * CAST(0.15 AS DOUBLE)', 2)} AS potential_recovery,
+  {rh('interventions_triggered * CAST(2.0 AS DOUBLE)', 2)} AS intervention_cost
+FROM ({G11_SQL}) b))""")
+def q_g20(spark, sf):
+    return R.roi(R.business_impact(preds(spark, sf), sessions(spark, sf), H, AS_OF))
+
+
+@register("service_counters", f"""
+SELECT count(*) AS total_predictions, {cw(HIGH)} AS high_risk_count,
+  COALESCE({pct(cw(HIGH), 'count(*)')}, 0.0) AS high_risk_percentage FROM preds""")
+def q_g21(spark, sf):
+    return R.service_counters(preds(spark, sf))
+
+
+@register("class_balance", f"""
+SELECT label, count(*) AS rows, {pct('count(*)', '(SELECT count(*) FROM sess)')} AS share_pct,
+  (SELECT {rh('CAST(count(CASE WHEN cart_value > 0 AND NOT is_converted THEN 1 END) AS DOUBLE) / count(*)', 4)}
+   FROM sess) AS label_mean
+FROM (SELECT cart_value > 0 AND NOT is_converted AS label FROM sess) GROUP BY label""")
+def q_g22(spark, sf):
+    from cartflow.operators.sessions import training_features
+    return R.class_balance(training_features(sessions(spark, sf)), "abandoned")

@@ -33,11 +33,34 @@ def _sq(v: str) -> str:
 
 
 def risk_case(p: str, field: int) -> str:
-    parts = [f"WHEN {p} >= {lo} THEN {_sq(band[field])}" for lo, *band in
-             [(b[0], b[1], b[2], b[3]) for b in K.RISK_BANDS]]
+    """CASE over the risk bands; field 1 = level, 2 = confidence, 3 = intervention."""
+    parts = [f"WHEN {p} >= {band[0]} THEN {_sq(band[field])}" for band in K.RISK_BANDS]
     return "CASE " + " ".join(parts) + " END"
 
 
+def cw(cond: str) -> str:
+    return f"count(CASE WHEN {cond} THEN 1 END)"
+
+
+def msum(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
+def mavg(x: str, d: int = 4) -> str:
+    return rh(f"CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(CAST(count({x}) AS DOUBLE), 0)", d)
+
+
+def navg(x: str, d: int = 4) -> str:
+    return rh(f"CAST(sum(CAST({x} AS BIGINT)) AS DOUBLE) / NULLIF(CAST(count({x}) AS DOUBLE), 0)", d)
+
+
+def pavg(x: str, d: int = 4) -> str:
+    return rh(f"CAST(sum(CAST({x} AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(CAST(count({x}) AS DOUBLE), 0)", d)
+
+
+HIGH = "risk_level IN ('HIGH', 'CRITICAL')"
+
+
 GAP_US = K.SESSION_GAP_SECONDS * 1_000_000
 AS_OF = f"TIMESTAMP '{K.AS_OF}'"
 
@@ -195,17 +218,18 @@ snap AS (
 ),
 preds0 AS (
   SELECT *, {rh("1.0 / (1.0 + exp(-z))", 4)} AS abandonment_probability
-  FROM (SELECT *, 0.9 - 2.2 * CASE WHEN checkout_initiated THEN 1.0 ELSE 0.0 END + 0.01 * cart_value
-                  - 0.35 * CAST(cart_engagement AS DOUBLE)
-                  + 0.4 * CASE WHEN COALESCE(persona, 'window_shopper') = 'cart_abandoner' THEN 1.0 ELSE 0.0 END AS z
+  FROM (SELECT *, CAST(0.9 AS DOUBLE) - CAST(2.2 AS DOUBLE) * CASE WHEN checkout_initiated THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+                  + CAST(0.01 AS DOUBLE) * cart_value - CAST(0.35 AS DOUBLE) * CAST(cart_engagement AS DOUBLE)
+                  + CAST(0.4 AS DOUBLE) * CASE WHEN COALESCE(persona, 'window_shopper') = 'cart_abandoner'
+                                          THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS z
         FROM snap WHERE cart_value > 0)
 ),
 preds AS (
   SELECT event_id AS prediction_id, session_id, user_id, ts AS prediction_timestamp, abandonment_probability,
     abandonment_probability > 0.5 AS predicted_abandoned,
-    {risk_case("abandonment_probability", 0)} AS risk_level,
-    {risk_case("abandonment_probability", 0)} IN ('HIGH', 'CRITICAL') AS intervention_triggered,
-    {risk_case("abandonment_probability", 2)} AS intervention_type,
+    {risk_case("abandonment_probability", 1)} AS risk_level,
+    {risk_case("abandonment_probability", 1)} IN ('HIGH', 'CRITICAL') AS intervention_triggered,
+    {risk_case("abandonment_probability", 3)} AS intervention_type,
     'fixed_logit_v1' AS model_version,
     CAST(2 * k AS INTEGER) AS prediction_latency_ms
   FROM preds0

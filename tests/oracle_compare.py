@@ -37,6 +37,9 @@ def _norm(v):
             pass
     if hasattr(v, "to_pydatetime"):
         v = v.to_pydatetime()
+    import datetime as _dt
+    if isinstance(v, _dt.date) and not isinstance(v, _dt.datetime):
+        v = _dt.datetime(v.year, v.month, v.day)
     if hasattr(v, "tzinfo") and getattr(v, "tzinfo", None) is not None:
         v = v.replace(tzinfo=None)
     from decimal import Decimal
