@@ -426,3 +426,292 @@ FROM (SELECT cart_value > 0 AND NOT is_converted AS label FROM sess) GROUP BY la
 def q_g22(spark, sf):
     from cartflow.operators.sessions import training_features
     return R.class_balance(training_features(sessions(spark, sf)), "abandoned")
+
+
+# W3, W4, C19, C9 -------------------------------------------------------------------
+
+from cartflow.operators import outcomes as O  # noqa: E402
+from cartflow.operators import rollups as RU  # noqa: E402
+from cartflow.plans.oracle import AS_OF as AS_OF_SQL, WRUN  # noqa: E402
+
+
+@register("session_state", f"""
+SELECT session_id, event_id, user_id, ts, event_type, cart_value_running AS cart_value,
+  COALESCE(last_value(CASE WHEN event_type = 'add_to_cart' THEN 'cart_active'
+                           WHEN event_type = 'remove_from_cart' AND cart_value_running = 0 THEN 'interested'
+                           WHEN event_type = 'checkout_initiated' THEN 'checkout_initiated'
+                           WHEN event_type = 'purchase' THEN 'purchased'
+                           WHEN event_type = 'cart_abandoned' THEN 'abandoned'
+                           WHEN event_type = 'session_recovered' THEN 'recovering' END IGNORE NULLS) OVER {WRUN},
+           CASE WHEN sum(CASE WHEN event_type = 'page_view' THEN 1 ELSE 0 END) OVER {WRUN} >= 3
+                  OR sum(CASE WHEN event_type = 'product_view' THEN 1 ELSE 0 END) OVER {WRUN} >= 2
+                THEN 'interested' ELSE 'browsing' END) AS session_state
+FROM rc""")
+def q_w3(spark, sf):
+    return S.session_state(events(spark, sf))
+
+
+@register("session_edges", """
+SELECT session_id, first(event_id ORDER BY ts, event_id) AS first_event_id,
+  first(event_type ORDER BY ts, event_id) AS first_event_type, min(ts) AS first_ts,
+  last(event_id ORDER BY ts, event_id) AS last_event_id, last(event_type ORDER BY ts, event_id) AS last_event_type,
+  max(ts) AS last_ts
+FROM ev GROUP BY session_id""")
+def q_w4(spark, sf):
+    return S.session_edges(events(spark, sf))
+
+
+CART_LINES_SQL = f"""
+SELECT session_id, user_id, product_id, net AS quantity, {rh('price', 2)} AS price,
+  {rh('CAST(price AS DECIMAL(12,2)) * net', 2)} AS line_value, last_updated
+FROM (SELECT session_id, product_id, min(user_id) AS user_id,
+        CAST(sum(CASE WHEN event_type = 'add_to_cart' THEN CAST(COALESCE(quantity, 1) AS BIGINT)
+                      ELSE -CAST(COALESCE(quantity, 1) AS BIGINT) END) AS BIGINT) AS net,
+        last(price ORDER BY ts, event_id) AS price, max(ts) AS last_updated
+      FROM ev WHERE event_type IN ('add_to_cart', 'remove_from_cart') GROUP BY session_id, product_id)
+WHERE net > 0"""
+
+
+@register("cart_lines", CART_LINES_SQL)
+def q_c19_lines(spark, sf):
+    return S.cart_lines(events(spark, sf))
+
+
+@register("cart_state", f"""
+SELECT session_id, min(user_id) AS user_id, count(*) AS item_count, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+  {rh('sum(CAST(line_value AS DECIMAL(24,2)))', 2)} AS total_value, max(last_updated) AS last_updated
+FROM ({CART_LINES_SQL}) l GROUP BY session_id""")
+def q_c19(spark, sf):
+    return S.cart_state(events(spark, sf))
+
+
+@register("training_features", f"""
+SELECT session_id, cart_value > 0 AND NOT is_converted AS abandoned,
+  {rh('page_views * CAST(0.3 AS DOUBLE) + products_viewed * CAST(0.4 AS DOUBLE) + searches * CAST(0.3 AS DOUBLE)', 4)}
+    AS train_engagement_score,
+  cart_additions - cart_removals AS cart_engagement,
+  {rh('session_duration_seconds / (products_viewed + 1)', 4)} AS time_per_product,
+  {rh('CAST(checkout_initiated AS INTEGER) / (cart_additions + 1)', 4)} AS cart_to_checkout_rate,
+  {rh('page_views / (session_duration_seconds / CAST(60.0 AS DOUBLE) + 1)', 4)} AS pages_per_minute,
+  {rh('unique_products_viewed / (products_viewed + 1)', 4)} AS unique_product_ratio
+FROM sess""")
+def q_c9(spark, sf):
+    return S.training_features(sessions(spark, sf)).select(
+        "session_id", "abandoned", "train_engagement_score", "cart_engagement", "time_per_product",
+        "cart_to_checkout_rate", "pages_per_minute", "unique_product_ratio")
+
+
+# J4, J6, T6, G12 --------------------------------------------------------------------
+
+def _before(a_ts, a_id, b_ts, b_id, strict=False):
+    op = "<" if strict else "<="
+    return f"({a_ts} < {b_ts} OR ({a_ts} = {b_ts} AND {a_id} {op} {b_id}))"
+
+
+LABELS_SQL = f"""
+(SELECT p.*, CASE WHEN ab THEN 'abandoned' WHEN np_ts IS NOT NULL THEN 'converted' END AS actual_outcome,
+   CASE WHEN ab THEN predicted_abandoned WHEN np_ts IS NOT NULL THEN NOT predicted_abandoned END
+     AS was_prediction_correct
+ FROM (SELECT p.*, n.np_ts, fa.fa_ts IS NOT NULL AND (
+         {_before('fa.fa_ts', 'fa.fa_id', 'p.prediction_timestamp', 'p.prediction_id')} OR n.np_ts IS NULL
+         OR {_before('fa.fa_ts', 'fa.fa_id', 'n.np_ts', 'n.np_id', strict=True)}) AS ab
+       FROM preds p
+       JOIN (SELECT pid, np_ts, np_id FROM (
+               SELECT *, first_value(CASE WHEN kind = 0 THEN ts END IGNORE NULLS) OVER wf AS np_ts,
+                         first_value(CASE WHEN kind = 0 THEN event_id END IGNORE NULLS) OVER wf AS np_id
+               FROM (SELECT session_id, prediction_timestamp AS ts, prediction_id AS event_id, 1 AS kind,
+                            prediction_id AS pid FROM preds
+                     UNION ALL SELECT session_id, ts, event_id, 0, NULL FROM ev WHERE event_type = 'purchase') u
+               WINDOW wf AS (PARTITION BY session_id ORDER BY ts, event_id, kind
+                             ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+             WHERE kind = 1) n ON n.pid = p.prediction_id
+       LEFT JOIN (SELECT session_id, first(ts ORDER BY ts, event_id) AS fa_ts,
+                         first(event_id ORDER BY ts, event_id) AS fa_id
+                  FROM ev WHERE event_type = 'cart_abandoned' GROUP BY session_id) fa
+         ON fa.session_id = p.session_id) p)"""
+
+
+def labelled(spark, sf):
+    return O.label_outcomes(preds(spark, sf), events(spark, sf))
+
+
+@register("label_outcomes", f"SELECT {PRED_COLS}, actual_outcome, was_prediction_correct FROM {LABELS_SQL} l")
+def q_j4(spark, sf):
+    cols = [x.strip() for x in PRED_COLS.split(",")] + ["actual_outcome", "was_prediction_correct"]
+    return labelled(spark, sf).select(*cols)
+
+
+@register("model_accuracy", f"""
+SELECT *, COALESCE({pct('true_positives', 'true_positives + false_positives')}, 0.0) AS precision,
+  COALESCE({pct('true_positives', 'true_positives + false_negatives')}, 0.0) AS recall FROM (
+SELECT count(*) AS total_predictions, {cw('was_prediction_correct')} AS correct_predictions,
+  {cw('predicted_abandoned AND was_prediction_correct')} AS true_positives,
+  {cw('predicted_abandoned AND NOT was_prediction_correct')} AS false_positives,
+  {cw('NOT predicted_abandoned AND NOT was_prediction_correct')} AS false_negatives,
+  {pct(cw('was_prediction_correct'), 'count(*)')} AS accuracy_rate
+FROM {LABELS_SQL} l WHERE was_prediction_correct IS NOT NULL AND {since('prediction_timestamp', H)})""")
+def q_g12(spark, sf):
+    return R.model_accuracy(labelled(spark, sf), H, AS_OF)
+
+
+RECOVERY_SQL = f"""
+(SELECT session_id, user_id, event_id AS abandonment_event_id, ts AS abandonment_time,
+   {rh('COALESCE(cart_value, 0.0)', 2)} AS cart_value, abandonment_reason, time_in_cart_seconds,
+   COALESCE(rec, FALSE) AS recovered, CASE WHEN rec THEN np_ts END AS recovery_time,
+   CASE WHEN rec THEN gap END AS recovery_seconds, CASE WHEN rec THEN {rh('np_val', 2)} END AS recovery_value
+ FROM (SELECT *, date_sub('second', ts, np_ts) AS gap,
+              np_ts IS NOT NULL AND date_sub('second', ts, np_ts) >= {K.RECOVERY_DELAY_MIN_SECONDS} AS rec
+       FROM (SELECT u.*, first_value(CASE WHEN kind = 0 THEN ts END IGNORE NULLS) OVER wf AS np_ts,
+                    first_value(CASE WHEN kind = 0 THEN val END IGNORE NULLS) OVER wf AS np_val
+             FROM (SELECT session_id, user_id, ts, event_id, 1 AS kind, cart_value, abandonment_reason,
+                          time_in_cart_seconds, CAST(NULL AS DOUBLE) AS val FROM ev WHERE event_type = 'cart_abandoned'
+                   UNION ALL
+                   SELECT session_id, NULL, ts, event_id, 0, NULL, NULL, NULL, COALESCE(cart_value, 0.0)
+                   FROM ev WHERE event_type = 'purchase') u
+             WINDOW wf AS (PARTITION BY session_id ORDER BY ts, event_id, kind
+                           ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+       WHERE kind = 1))"""
+
+
+@register("attribute_recovery", f"SELECT * FROM {RECOVERY_SQL} r")
+def q_j6(spark, sf):
+    return O.attribute_recovery(events(spark, sf))
+
+
+@register("detect_abandonment", f"""
+SELECT session_id, user_id, event_id AS last_event_id, ts AS last_activity,
+  ts + INTERVAL {K.CART_ABANDONMENT_IDLE_SECONDS} SECOND AS detected_at, cart_value,
+  GREATEST(cart_additions - cart_removals, 0) AS items_count, next_ts AS next_activity
+FROM (SELECT *, lead(ts) OVER (PARTITION BY session_id ORDER BY ts, event_id) AS next_ts FROM snap)
+WHERE cart_value > 0 AND NOT is_converted
+  AND date_sub('second', ts, COALESCE(next_ts, {AS_OF_SQL})) >= {K.CART_ABANDONMENT_IDLE_SECONDS}""")
+def q_t6(spark, sf):
+    return O.detect_abandonment(snaps(spark, sf), AS_OF)
+
+
+# R: roll-ups ----------------------------------------------------------------------------
+
+def _mode_sql(src: str, col: str, name: str) -> str:
+    return (f"(SELECT user_id, first({col} ORDER BY n DESC, {col} ASC) AS {name} FROM "
+            f"(SELECT user_id, {col}, count(*) AS n FROM {src} AND {col} IS NOT NULL GROUP BY user_id, {col}) "
+            f"GROUP BY user_id)")
+
+
+@register("user_profiles", f"""
+SELECT s.user_id, total_sessions, total_page_views, total_products_viewed,
+  COALESCE(total_purchases, 0) AS total_purchases, {rh('COALESCE(revenue, 0)', 2)} AS total_revenue,
+  COALESCE({rh('CAST(COALESCE(revenue, 0) AS DOUBLE) / NULLIF(CAST(COALESCE(total_purchases, 0) AS DOUBLE), 0)', 2)},
+           0.0) AS avg_order_value,
+  avg_session_duration, total_time_on_site, total_cart_additions, total_cart_abandonments,
+  COALESCE({pct('total_cart_abandonments', 'cart_sessions')}, 0.0) AS cart_abandonment_rate,
+  CAST(date_diff('day', CAST(last_seen AS DATE), CAST({AS_OF_SQL} AS DATE)) AS INTEGER) AS days_since_last_visit,
+  CAST(date_diff('day', CAST(last_purchase AS DATE), CAST({AS_OF_SQL} AS DATE)) AS INTEGER) AS days_since_last_purchase,
+  {rh('CAST(COALESCE(total_purchases, 0) AS DOUBLE) / CAST(GREATEST(1, active_days) AS DOUBLE)', 2)}
+    AS purchase_frequency,
+  favorite_category, device_preference,
+  COALESCE({rh('CAST(psum AS DOUBLE) * 100.0 / NULLIF(CAST(pn AS DOUBLE), 0)', 2)}, 0.0) AS churn_risk_score,
+  first_seen, last_seen
+FROM (SELECT user_id, count(*) AS total_sessions, CAST(sum(page_views) AS BIGINT) AS total_page_views,
+        CAST(sum(products_viewed) AS BIGINT) AS total_products_viewed,
+        {rh('CAST(sum(session_duration_seconds) AS DOUBLE) / CAST(count(*) AS DOUBLE)', 2)} AS avg_session_duration,
+        CAST(sum(session_duration_seconds) AS BIGINT) AS total_time_on_site,
+        CAST(sum(cart_additions) AS BIGINT) AS total_cart_additions,
+        {cw('is_cart_abandoned')} AS total_cart_abandonments, {cw('cart_additions > 0')} AS cart_sessions,
+        count(DISTINCT CAST(start_time AS DATE)) AS active_days, min(start_time) AS first_seen,
+        max(last_activity) AS last_seen
+      FROM sess GROUP BY user_id) s
+LEFT JOIN (SELECT user_id, count(*) AS total_purchases, sum(CAST(COALESCE(cart_value, 0.0) AS DECIMAL(18,2))) AS revenue,
+             max(ts) AS last_purchase FROM ev WHERE event_type = 'purchase' GROUP BY user_id) b ON b.user_id = s.user_id
+LEFT JOIN (SELECT user_id, sum(CAST(abandonment_probability AS DECIMAL(18,4))) AS psum,
+             count(abandonment_probability) AS pn FROM preds GROUP BY user_id) r ON r.user_id = s.user_id
+LEFT JOIN {_mode_sql("ev WHERE event_type IN ('product_view', 'add_to_cart', 'purchase')", 'category',
+                     'favorite_category')} f ON f.user_id = s.user_id
+LEFT JOIN {_mode_sql('sess WHERE TRUE', 'device_type', 'device_preference')} d ON d.user_id = s.user_id""")
+def q_r1(spark, sf):
+    ev = events(spark, sf)
+    snap = S.snapshots(ev)
+    return RU.user_profiles(S.session_records(ev), ev, fixed_predictions(snap), AS_OF)
+
+
+AMT = "CAST(COALESCE(price, 0) AS DECIMAL(12,2)) * CAST(COALESCE(quantity, 1) AS DECIMAL(10,0))"
+
+
+def _win(hours):
+    return f"(ts >= {AS_OF_SQL} - INTERVAL {hours} HOUR AND ts <= {AS_OF_SQL})"
+
+
+@register("product_metrics", f"""
+SELECT *, COALESCE({pct('total_cart_additions', 'total_views')}, 0.0) AS view_to_cart_rate,
+  COALESCE({pct('total_purchases', 'total_cart_additions')}, 0.0) AS cart_to_purchase_rate,
+  COALESCE({pct('total_purchases', 'total_views')}, 0.0) AS overall_conversion_rate,
+  CAST(views_last_hour + 3 * cart_additions_last_hour + 5 * purchases_last_hour AS DOUBLE) AS trending_score
+FROM (SELECT product_id, min(category) AS category, {rh('last(price ORDER BY ts, event_id)', 2)} AS price,
+  {cw("event_type = 'product_view'")} AS total_views,
+  {cw("event_type = 'product_view' AND " + _win(1))} AS views_last_hour,
+  {cw("event_type = 'product_view' AND " + _win(24))} AS views_last_day,
+  {cw("event_type = 'add_to_cart'")} AS total_cart_additions,
+  {cw("event_type = 'add_to_cart' AND " + _win(1))} AS cart_additions_last_hour,
+  {cw("event_type = 'purchase'")} AS total_purchases,
+  {cw("event_type = 'purchase' AND " + _win(1))} AS purchases_last_hour,
+  COALESCE({rh(f"sum(CASE WHEN event_type = 'purchase' THEN {AMT} END)", 2)}, 0.0) AS total_revenue,
+  max(CASE WHEN event_type = 'product_view' THEN ts END) AS last_viewed,
+  max(CASE WHEN event_type = 'purchase' THEN ts END) AS last_purchased
+FROM ev WHERE product_id IS NOT NULL GROUP BY product_id)""")
+def q_r2(spark, sf):
+    return RU.product_metrics(events(spark, sf), AS_OF)
+
+
+@register("category_metrics", f"""
+SELECT category, total_views, total_purchases, {rh('COALESCE(rev, 0)', 2)} AS total_revenue,
+  views_last_hour, purchases_last_hour, {rh('COALESCE(rev_h, 0)', 2)} AS revenue_last_hour,
+  COALESCE({pct('total_purchases', 'total_views')}, 0.0) AS conversion_rate,
+  COALESCE({rh('CAST(COALESCE(rev, 0) AS DOUBLE) / NULLIF(CAST(total_purchases AS DOUBLE), 0)', 2)}, 0.0)
+    AS avg_order_value,
+  COALESCE({rh('CAST(COALESCE(rev_h, 0) AS DOUBLE) * CAST(active_hours AS DOUBLE) / NULLIF(CAST(COALESCE(rev, 0) AS DOUBLE), 0)', 2)},
+           0.0) AS momentum_score
+FROM (SELECT category, {cw("event_type = 'product_view'")} AS total_views,
+  {cw("event_type = 'purchase'")} AS total_purchases,
+  sum(CASE WHEN event_type = 'purchase' THEN {AMT} END) AS rev,
+  {cw("event_type = 'product_view' AND " + _win(1))} AS views_last_hour,
+  {cw("event_type = 'purchase' AND " + _win(1))} AS purchases_last_hour,
+  sum(CASE WHEN event_type = 'purchase' AND {_win(1)} THEN {AMT} END) AS rev_h,
+  count(DISTINCT CASE WHEN event_type = 'purchase' THEN date_trunc('hour', ts) END) AS active_hours
+FROM ev WHERE category IS NOT NULL GROUP BY category)""")
+def q_r3(spark, sf):
+    return RU.category_metrics(events(spark, sf), AS_OF)
+
+
+@register("cart_abandonments", f"""
+SELECT r.abandonment_event_id, r.session_id, r.user_id, r.cart_value,
+  GREATEST(s.cart_additions - s.cart_removals, 0) AS item_count, r.abandonment_time,
+  s.session_duration_seconds AS session_duration, s.page_views AS pages_viewed, r.abandonment_reason,
+  r.time_in_cart_seconds, s.device_type, s.checkout_initiated, s.persona,
+  {rh('m.pp * 100', 2)} AS churn_probability, COALESCE(m.pt, FALSE) AS intervention_triggered,
+  m.pi AS intervention_type, r.recovered, r.recovery_time, r.recovery_value
+FROM {RECOVERY_SQL} r
+LEFT JOIN sess s ON s.session_id = r.session_id
+LEFT JOIN (SELECT aid, pp, pt, pi FROM (
+    SELECT *, last_value(CASE WHEN kind = 0 THEN p END IGNORE NULLS) OVER w AS pp,
+              last_value(CASE WHEN kind = 0 THEN t END IGNORE NULLS) OVER w AS pt,
+              last_value(CASE WHEN kind = 0 THEN it END IGNORE NULLS) OVER w AS pi,
+              last_value(CASE WHEN kind = 0 THEN event_id END IGNORE NULLS) OVER w AS pid
+    FROM (SELECT session_id, prediction_timestamp AS ts, prediction_id AS event_id, 0 AS kind,
+                 abandonment_probability AS p, intervention_triggered AS t, intervention_type AS it, NULL AS aid
+          FROM preds
+          UNION ALL
+          SELECT session_id, ts, event_id, 1, NULL, NULL, NULL, event_id FROM ev WHERE event_type = 'cart_abandoned') u
+    WINDOW w AS (PARTITION BY session_id ORDER BY ts, event_id, kind
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  WHERE kind = 1) m ON m.aid = r.abandonment_event_id""")
+def q_r4(spark, sf):
+    ev = events(spark, sf)
+    snap = S.snapshots(ev)
+    return RU.cart_abandonments(ev, S.session_records(ev), fixed_predictions(snap))
+
+
+@register("recent_events", f"""
+SELECT event_id, ts AS timestamp, event_type, user_id, session_id, product_id, category,
+  {rh('COALESCE(cart_value, CAST(price AS DECIMAL(12,2)) * COALESCE(quantity, 1))', 2)} AS event_value, device_type
+FROM ev WHERE {since('ts', K.RECENT_EVENTS_RETENTION_DAYS * 24)}""")
+def q_r5(spark, sf):
+    return RU.recent_events(events(spark, sf), AS_OF)

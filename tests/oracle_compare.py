@@ -24,11 +24,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    import pandas as pd
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer() and abs(v) < 2**53:
+            return int(v)
         return round(v, 6)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
