@@ -41,13 +41,17 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
                    lasts: Mapping[str, Column] | None = None,
                    prevs: Mapping[str, Column] | None = None,
                    firsts: Mapping[str, Column] | None = None,
-                   descending: bool = False) -> DataFrame:
+                   descending: bool = False, mark_last: str | None = None) -> DataFrame:
     """Add running-aggregate columns over ``keys`` in ``order``.
 
     ``bucket`` names an existing column that is monotone in ``order`` within a
     key (e.g. ``time_bucket("ts", 3600)``).  Keeping the same bucket column
     between consecutive scans lets Spark reuse the hash partitioning, so a
-    chain of scans costs one shuffle of the large side.
+    chain of scans costs one shuffle of the large side.  ``mark_last`` names a
+    boolean column set on the last row of every key (in scan order).
+
+    The per-bucket carry is read off each bucket's last row (no aggregate),
+    so no string or struct aggregation buffer forces a sort-based aggregate.
     """
     sums = dict(sums or {})
     min_of_sums = dict(min_of_sums or {})
@@ -55,48 +59,35 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     prevs = dict(prevs or {})
     firsts = dict(firsts or {})
     part = [*keys, bucket]
+    ordcols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
-    def ordcols():
-        return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-
-    pick = F.min_by if descending else F.max_by      # value at the last row in scan order
-    pick_first = F.max_by if descending else F.min_by
-    ordkey = F.struct(*[F.col(c) for c in order])
-
-    w = Window.partitionBy(*part).orderBy(*ordcols())
+    w = Window.partitionBy(*part).orderBy(*ordcols)
     wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    local = df
-    local_cols = []
-    if prevs:
-        local = local.withColumn("_sc_rn", F.row_number().over(w))
-        local_cols.append("_sc_rn")
-    for name, e in sums.items():
-        local = local.withColumn(f"_sc_ls_{name}", F.sum(e).over(wrun))
-        local_cols.append(f"_sc_ls_{name}")
-    for name, e in lasts.items():
-        local = local.withColumn(f"_sc_ll_{name}", F.last(e, ignorenulls=True).over(wrun))
-        local_cols.append(f"_sc_ll_{name}")
-    for name, e in prevs.items():
-        local = local.withColumn(f"_sc_lp_{name}", F.lag(e).over(w))
-        local_cols.append(f"_sc_lp_{name}")
-    for name, src in min_of_sums.items():
-        local = local.withColumn(f"_sc_lm_{name}", F.min(f"_sc_ls_{src}").over(wrun))
-        local_cols.append(f"_sc_lm_{name}")
-
-    # One row per (key, bucket): what the bucket contributes to later buckets.
-    aggs = []
-    for name, e in sums.items():
-        aggs.append(F.sum(e).alias(f"_sc_B_{name}"))
-    for name, src in min_of_sums.items():
-        aggs.append(F.min(f"_sc_ls_{src}").alias(f"_sc_M_{name}"))
-    for name, e in lasts.items():
-        aggs.append(pick(e, F.when(e.isNotNull(), ordkey)).alias(f"_sc_L_{name}"))
-    for name, e in prevs.items():
-        aggs.append(pick(e, ordkey).alias(f"_sc_P_{name}"))
-    for name, e in firsts.items():
-        aggs.append(pick_first(e, ordkey).alias(f"_sc_F_{name}"))
-    per_bucket = local.groupBy(*part).agg(*aggs)
+    wpart = Window.partitionBy(*part)
+
+    # Inside (key, bucket): running values, plus the row number and the bucket
+    # size so that the bucket's last row can be picked without an aggregate.
+    # All window expressions of one pass go into a single select so that
+    # Catalyst evaluates them in one Window operator over one sort.
+    exprs = [F.row_number().over(w).alias("_sc_rn"), F.count(F.lit(1)).over(wpart).alias("_sc_cnt")]
+    exprs += [F.sum(e).over(wrun).alias(f"_sc_ls_{n}") for n, e in sums.items()]
+    exprs += [F.last(e, ignorenulls=True).over(wrun).alias(f"_sc_ll_{n}") for n, e in lasts.items()]
+    exprs += [F.lag(e).over(w).alias(f"_sc_lp_{n}") for n, e in prevs.items()]
+    exprs += [e.alias(f"_sc_lv_{n}") for n, e in prevs.items()]
+    exprs += [F.first(e).over(wrun).alias(f"_sc_lf_{n}") for n, e in firsts.items()]
+    local = df.select("*", *exprs)
+    if min_of_sums:
+        local = local.select("*", *[F.min(f"_sc_ls_{src}").over(wrun).alias(f"_sc_lm_{n}")
+                                    for n, src in min_of_sums.items()])
+
+    # One row per (key, bucket): its last row carries what later buckets need.
+    sel = [F.col(c) for c in part]
+    sel += [F.col(f"_sc_ls_{n}").alias(f"_sc_B_{n}") for n in sums]
+    sel += [F.col(f"_sc_lm_{n}").alias(f"_sc_M_{n}") for n in min_of_sums]
+    sel += [F.col(f"_sc_ll_{n}").alias(f"_sc_L_{n}") for n in lasts]
+    sel += [F.col(f"_sc_lv_{n}").alias(f"_sc_P_{n}") for n in prevs]
+    sel += [F.col(f"_sc_lf_{n}").alias(f"_sc_F_{n}") for n in firsts]
+    per_bucket = local.filter(F.col("_sc_rn") == F.col("_sc_cnt")).select(*sel)
 
     bord = F.col(bucket).desc() if descending else F.col(bucket).asc()
     wb = Window.partitionBy(*keys).orderBy(bord)
@@ -111,10 +102,13 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
         carry = carry.withColumn(f"_sc_PP_{name}", F.lag(f"_sc_P_{name}").over(wb))
     for name in firsts:
         carry = carry.withColumn(f"_sc_FF_{name}", F.first(f"_sc_F_{name}").over(wall))
+    if mark_last:
+        carry = carry.withColumn("_sc_LB", F.lead(F.col(bucket)).over(wb).isNull())
     for name, src in min_of_sums.items():
         cand = F.coalesce(F.col(f"_sc_O_{src}"), F.lit(0)) + F.col(f"_sc_M_{name}")
         carry = carry.withColumn(f"_sc_PM_{name}", F.min(cand).over(wprev))
-    keep = [*part] + [c for c in carry.columns if c.startswith(("_sc_O_", "_sc_PL_", "_sc_PP_", "_sc_FF_", "_sc_PM_"))]
+    keep = [*part] + [c for c in carry.columns
+                      if c.startswith(("_sc_O_", "_sc_PL_", "_sc_PP_", "_sc_FF_", "_sc_PM_", "_sc_LB"))]
     carry = carry.select(*keep)
 
     out = local.join(carry, on=part, how="inner")
@@ -130,4 +124,6 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
                              .otherwise(F.col(f"_sc_lp_{name}")))
     for name in firsts:
         out = out.withColumn(name, F.col(f"_sc_FF_{name}"))
+    if mark_last:
+        out = out.withColumn(mark_last, (F.col("_sc_rn") == F.col("_sc_cnt")) & F.col("_sc_LB"))
     return out.drop(*[c for c in out.columns if c.startswith("_sc_")])

@@ -53,58 +53,75 @@ def running_cart(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) ->
         "_ss_bucket", "_delta", "_cart_s", "_cart_m")
 
 
+def _session_scan(df: DataFrame, bucket_seconds: int, product_flag: Column) -> DataFrame:
+    """Every session counter, flag and last/first value as of each event (one scan)."""
+    df = _with_bucket(df, bucket_seconds).withColumn("_delta", cart_delta())
+    ind = lambda name: F.when(_et(name), 1).otherwise(0)
+    return segmented_scan(
+        df, ["session_id"], ORDER, "_ss_bucket",
+        sums={"_pv": ind("page_view"), "_prod": product_flag, "_pvc": ind("product_view"),
+              "_srch": ind("search"), "_add": ind("add_to_cart"), "_rem": ind("remove_from_cart"),
+              "_chk": ind("checkout_initiated"), "_buy": ind("purchase"), "_abd": ind("cart_abandoned"),
+              "_n": F.lit(1), "_cart_s": F.col("_delta")},
+        min_of_sums={"_cart_m": "_cart_s"},
+        lasts={"_pval": F.when(_et("purchase"), F.coalesce(F.col("cart_value"), F.lit(0.0))),
+               "_reason": F.when(_et("cart_abandoned"), F.col("abandonment_reason")),
+               "_tic": F.when(_et("cart_abandoned"), F.coalesce(F.col("time_in_cart_seconds"), F.lit(0))),
+               "_pers_start": F.when(_et("session_start"), F.col("persona")),
+               "_pers_any": F.col("persona"),
+               "_start_ts": F.when(_et("session_start"), F.col("ts"))},
+        firsts={"_dev": F.col("device_type"), "_brw": F.col("browser"), "_first_ts": F.col("ts")},
+        mark_last="_is_last",
+    )
+
+
+def _record_columns() -> list[Column]:
+    start = F.coalesce(F.col("_start_ts"), F.col("_first_ts"))
+    cart = round_half_up(F.col("_cart_s") - F.least(F.lit(0).cast("decimal(24,2)"), F.col("_cart_m")), 2)
+    return [
+        start.alias("start_time"),
+        F.coalesce(F.col("_dev"), F.lit("desktop")).alias("device_type"),
+        F.coalesce(F.col("_brw"), F.lit("Unknown")).alias("browser"),
+        F.col("_pv").alias("page_views"),
+        F.col("_pvc").alias("product_view_count"),
+        F.col("_srch").alias("searches"),
+        F.col("_add").alias("cart_additions"),
+        F.col("_rem").alias("cart_removals"),
+        cart.alias("cart_value"),
+        (F.col("_buy") > 0).alias("is_converted"),
+        round_half_up(F.coalesce(F.col("_pval"), F.lit(0.0)), 2).alias("purchase_value"),
+        (F.col("_abd") > 0).alias("is_cart_abandoned"),
+        F.col("_reason").alias("abandonment_reason"),
+        F.coalesce(F.col("_tic"), F.lit(0)).alias("time_in_cart_seconds"),
+        (F.col("_chk") > 0).alias("checkout_initiated"),
+        F.coalesce(F.col("_pers_start"), F.col("_pers_any")).alias("persona"),
+        seconds_between(start, F.col("ts")).alias("session_duration_seconds"),
+    ]
+
+
 def session_records(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -> DataFrame:
     """One record per session (the user_sessions table).
 
-    Only the floored cart needs order; it comes from one segmented scan and
-    everything else is a partial/final hash aggregate on session_id, so a hot
-    session is combined map-side before the shuffle.
+    The record is the session's state after its last event, read off one
+    segmented scan (no sort-based aggregation); distinct products come from
+    a separate hash aggregate on (session, product) joined by session id.
     """
-    df = _with_bucket(ev, bucket_seconds).withColumn("_delta", cart_delta())
-    df = segmented_scan(df, ["session_id"], ORDER, "_ss_bucket", sums={"_cart_s": F.col("_delta")})
-    o = _ordkey()
-    g = df.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.coalesce(F.max_by("ts", F.when(_et("session_start"), o)), F.min("ts")).alias("start_time"),
-        F.max("ts").alias("last_activity"),
-        F.coalesce(F.min_by("device_type", o), F.lit("desktop")).alias("device_type"),
-        F.coalesce(F.min_by("browser", o), F.lit("Unknown")).alias("browser"),
-        F.count_if(_et("page_view")).alias("page_views"),
-        F.count_distinct(F.when(_et("product_view"), F.col("product_id"))).alias("products_viewed"),
-        F.count_if(_et("product_view")).alias("product_view_count"),
-        F.count_if(_et("search")).alias("searches"),
-        F.count_if(_et("add_to_cart")).alias("cart_additions"),
-        F.count_if(_et("remove_from_cart")).alias("cart_removals"),
-        F.sum("_delta").alias("_cart_total"),
-        F.min("_cart_s").alias("_cart_min"),
-        F.bool_or(_et("purchase")).alias("is_converted"),
-        F.max_by(F.coalesce(F.col("cart_value"), F.lit(0.0)), F.when(_et("purchase"), o)).alias("_purchase_value"),
-        F.bool_or(_et("cart_abandoned")).alias("is_cart_abandoned"),
-        F.max_by("abandonment_reason", F.when(_et("cart_abandoned"), o)).alias("abandonment_reason"),
-        F.max_by("time_in_cart_seconds", F.when(_et("cart_abandoned"), o)).alias("_time_in_cart"),
-        F.bool_or(_et("checkout_initiated")).alias("checkout_initiated"),
-        F.max_by("persona", F.when(_et("session_start") & F.col("persona").isNotNull(), o)).alias("_persona_start"),
-        F.max_by("persona", F.when(F.col("persona").isNotNull(), o)).alias("_persona_any"),
-        F.count(F.lit(1)).alias("event_count"),
-    )
-    dur = seconds_between("start_time", "last_activity")
-    cart = F.col("_cart_total") - F.least(F.lit(0).cast("decimal(24,2)"), F.col("_cart_min"))
-    return g.select(
+    last = _session_scan(ev, bucket_seconds, F.lit(0)).filter(F.col("_is_last"))
+    rec = last.select("session_id", "user_id", F.col("ts").alias("last_activity"),
+                      F.col("_n").alias("event_count"), *_record_columns())
+    products = (ev.filter(_et("product_view") & F.col("product_id").isNotNull())
+                .groupBy("session_id").agg(F.count_distinct("product_id").alias("_np")))
+    rec = rec.join(products, "session_id", "left").withColumn("products_viewed", F.coalesce(F.col("_np"), F.lit(0)))
+    dur = F.col("session_duration_seconds")
+    return rec.select(
         "session_id", "user_id", "start_time", "last_activity", "device_type", "browser",
         "page_views", "products_viewed", F.col("products_viewed").alias("unique_products_viewed"),
-        "product_view_count", "searches", "cart_additions", "cart_removals",
-        round_half_up(cart, 2).alias("cart_value"),
-        "is_converted",
-        round_half_up(F.coalesce(F.col("_purchase_value"), F.lit(0.0)), 2).alias("purchase_value"),
-        dur.alias("session_duration_seconds"),
+        "product_view_count", "searches", "cart_additions", "cart_removals", "cart_value",
+        "is_converted", "purchase_value", "session_duration_seconds",
         round_half_up(safe_div(dur, F.col("page_views")), 2).alias("avg_time_per_page"),
         ((F.col("page_views") <= 1) & (dur < 30)).alias("bounce"),
-        "is_cart_abandoned", "abandonment_reason",
-        F.coalesce(F.col("_time_in_cart"), F.lit(0)).alias("time_in_cart_seconds"),
-        "checkout_initiated",
-        F.coalesce(F.col("_persona_start"), F.col("_persona_any")).alias("persona"),
-        F.col("last_activity").alias("updated_at"),
-        "event_count",
+        "is_cart_abandoned", "abandonment_reason", "time_in_cart_seconds", "checkout_initiated", "persona",
+        F.col("last_activity").alias("updated_at"), "event_count",
     )
 
 
@@ -147,49 +164,9 @@ def snapshots(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -> Da
 
     This is what the streaming job scores at each tick: one row per event.
     """
-    df = _first_view_flag(ev)
-    df = _with_bucket(df, bucket_seconds).withColumn("_delta", cart_delta())
-    ind = lambda name: F.when(_et(name), 1).otherwise(0)
-    df = segmented_scan(
-        df, ["session_id"], ORDER, "_ss_bucket",
-        sums={"_pv": ind("page_view"), "_prod": F.col("_new_product"), "_pvc": ind("product_view"),
-              "_srch": ind("search"), "_add": ind("add_to_cart"), "_rem": ind("remove_from_cart"),
-              "_chk": ind("checkout_initiated"), "_buy": ind("purchase"), "_abd": ind("cart_abandoned"),
-              "_cart_s": F.col("_delta")},
-        min_of_sums={"_cart_m": "_cart_s"},
-        lasts={"_pval": F.when(_et("purchase"), F.coalesce(F.col("cart_value"), F.lit(0.0))),
-               "_reason": F.when(_et("cart_abandoned"), F.col("abandonment_reason")),
-               "_tic": F.when(_et("cart_abandoned"), F.coalesce(F.col("time_in_cart_seconds"), F.lit(0))),
-               "_pers_start": F.when(_et("session_start"), F.col("persona")),
-               "_pers_any": F.col("persona"),
-               "_start_ts": F.when(_et("session_start"), F.col("ts"))},
-        firsts={"_dev": F.col("device_type"), "_brw": F.col("browser"), "_first_ts": F.col("ts")},
-    )
-    start = F.coalesce(F.col("_start_ts"), F.col("_first_ts"))
-    dur = seconds_between(start, F.col("ts"))
-    cart = round_half_up(F.col("_cart_s") - F.least(F.lit(0).cast("decimal(24,2)"), F.col("_cart_m")), 2)
-    df = df.select(
-        "session_id", "event_id", "user_id", "ts", "event_type", "k",
-        start.alias("start_time"),
-        F.coalesce(F.col("_dev"), F.lit("desktop")).alias("device_type"),
-        F.coalesce(F.col("_brw"), F.lit("Unknown")).alias("browser"),
-        F.col("_pv").alias("page_views"),
-        F.col("_prod").alias("products_viewed"),
-        F.col("_prod").alias("unique_products_viewed"),
-        F.col("_pvc").alias("product_view_count"),
-        F.col("_srch").alias("searches"),
-        F.col("_add").alias("cart_additions"),
-        F.col("_rem").alias("cart_removals"),
-        cart.alias("cart_value"),
-        (F.col("_buy") > 0).alias("is_converted"),
-        round_half_up(F.coalesce(F.col("_pval"), F.lit(0.0)), 2).alias("purchase_value"),
-        (F.col("_abd") > 0).alias("is_cart_abandoned"),
-        F.col("_reason").alias("abandonment_reason"),
-        F.coalesce(F.col("_tic"), F.lit(0)).alias("time_in_cart_seconds"),
-        (F.col("_chk") > 0).alias("checkout_initiated"),
-        F.coalesce(F.col("_pers_start"), F.col("_pers_any")).alias("persona"),
-        dur.alias("session_duration_seconds"),
-    )
+    df = _session_scan(_first_view_flag(ev), bucket_seconds, F.col("_new_product"))
+    df = df.select("session_id", "event_id", "user_id", "ts", "event_type", "k", *_record_columns(),
+                   F.col("_prod").alias("products_viewed"), F.col("_prod").alias("unique_products_viewed"))
     bounce = (F.col("page_views") <= 1) & (F.col("session_duration_seconds") < 30)
     feats = serving_features(F.col("page_views"), F.col("products_viewed"), F.col("unique_products_viewed"),
                              F.col("cart_additions"), F.col("cart_removals"), F.col("cart_value"),
