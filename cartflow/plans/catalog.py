@@ -715,3 +715,66 @@ SELECT event_id, ts AS timestamp, event_type, user_id, session_id, product_id, c
 FROM ev WHERE {since('ts', K.RECENT_EVENTS_RETENTION_DAYS * 24)}""")
 def q_r5(spark, sf):
     return RU.recent_events(events(spark, sf), AS_OF)
+
+
+# T: streaming (replayed from a Spark-derived file stream with availableNow) ----------
+
+REPLAY_WATERMARK = "400 days"  # the replay files come in any order; nothing may be late
+
+
+def _stream_input(spark, sf, duplicate: bool = False):
+    from cartflow.streaming.runner import replay_source
+    ev = events(spark, sf)
+    if duplicate:  # at-least-once delivery: every event arrives twice
+        ev = ev.unionByName(ev)
+    return replay_source(spark, ev)
+
+
+@register("stream_sessions", "SELECT * FROM sess")
+def q_t1(spark, sf):
+    from cartflow.streaming.runner import read_sink, run_bounded
+    from cartflow.streaming.sessions import RECORD_SCHEMA, latest_per_key, stream_sessions
+    out, _ = run_bounded(stream_sessions(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update",
+                         "sessions")
+    return latest_per_key(read_sink(spark, out, RECORD_SCHEMA), ["session_id"])
+
+
+@register("hopping_counts", """
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type, count(*) AS events
+FROM (SELECT event_type, time_bucket(INTERVAL 1 MINUTE, ts) - r.j * INTERVAL 1 MINUTE AS window_start
+      FROM ev, range(5) r(j)) GROUP BY ALL""")
+def q_t3(spark, sf):
+    from cartflow.streaming.runner import read_sink, run_bounded
+    from cartflow.streaming.sessions import latest_per_key
+    from cartflow.streaming.windows import hopping_counts
+    out, _ = run_bounded(hopping_counts(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update", "hop")
+    return latest_per_key(read_sink(spark, out, "window_start timestamp, window_end timestamp, event_type string, "
+                                                "events long"), ["window_start", "event_type"])
+
+
+@register("hourly_tumbling", """
+SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS events FROM ev GROUP BY ALL""")
+def q_t11(spark, sf):
+    from cartflow.streaming.runner import read_sink, run_bounded
+    from cartflow.streaming.sessions import latest_per_key
+    from cartflow.streaming.windows import hourly_tumbling
+    out, _ = run_bounded(hourly_tumbling(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update", "hour")
+    return latest_per_key(read_sink(spark, out, "hour timestamp, event_type string, events long"),
+                          ["hour", "event_type"])
+
+
+@register("dedup_events", "SELECT event_id, ts, event_type, session_id FROM ev")
+def q_t12(spark, sf):
+    from cartflow.streaming.runner import read_sink, run_bounded
+    from cartflow.streaming.windows import dedup_events
+    s = dedup_events(_stream_input(spark, sf, duplicate=True), watermark=REPLAY_WATERMARK)
+    out, _ = run_bounded(s.select("event_id", "ts", "event_type", "session_id"), "append", "dedup")
+    return read_sink(spark, out, "event_id long, ts timestamp, event_type string, session_id string").drop("_batch")
+
+
+@register("system_metrics")
+def q_t14(spark, sf):
+    from cartflow.streaming.runner import run_bounded, system_metrics
+    from cartflow.streaming.windows import hourly_tumbling
+    _, q = run_bounded(hourly_tumbling(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update", "metrics")
+    return system_metrics(spark, q)
