@@ -778,3 +778,109 @@ def q_t14(spark, sf):
     from cartflow.streaming.windows import hourly_tumbling
     _, q = run_bounded(hourly_tumbling(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update", "metrics")
     return system_metrics(spark, q)
+
+
+# M: learning jobs (rows-only: no SQL twin for model fitting) ---------------------------
+
+_MODELS: dict = {}
+
+
+def _learn_data(spark, sf):
+    from cartflow.learn import models as L
+    frame = L.training_frame(sessions(spark, sf))
+    return L.stratified_split(frame, 0.2, 42)
+
+
+def _fitted(spark, sf, kind):
+    """Fitted models are memoised per process (driver-side model objects only)."""
+    from cartflow.learn import grids as G
+    from cartflow.learn import models as L
+    key = (sf, kind)
+    if key not in _MODELS:
+        train, _ = _learn_data(spark, sf)
+        if kind == "forest":
+            _MODELS[key] = L.train_forest(train, G.SMALL_FOREST_GRID, folds=3)
+        elif kind == "boosted":
+            _MODELS[key] = L.train_boosted(train, G.SMALL_BOOSTED_GRID, folds=3)
+        else:
+            _MODELS[key] = L.train_stacked(train, folds=3)
+    return _MODELS[key]
+
+
+def _metrics(spark, sf, kind):
+    from cartflow.learn import models as L
+    _, test = _learn_data(spark, sf)
+    if kind == "stacked":
+        bases, meta, names = _fitted(spark, sf, kind)
+        return L.evaluate(L.predict_stacked(bases, meta, names, test), "stacked")
+    return L.evaluate(_fitted(spark, sf, kind).transform(test), kind)
+
+
+@register("feature_matrix")
+def q_m1(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from cartflow.learn import models as L
+    train, test = _learn_data(spark, sf)
+    model = Pipeline(stages=L.feature_pipeline()).fit(train)
+    return model.transform(test).select("session_id", vector_to_array("features").alias("features"), "label")
+
+
+@register("stratified_split")
+def q_m2(spark, sf):
+    train, test = _learn_data(spark, sf)
+    t = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return t.groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("train_forest")
+def q_m3(spark, sf):
+    return _metrics(spark, sf, "forest")
+
+
+@register("train_boosted")
+def q_m4(spark, sf):
+    return _metrics(spark, sf, "boosted")
+
+
+@register("train_stacked")
+def q_m5(spark, sf):
+    return _metrics(spark, sf, "stacked")
+
+
+@register("feature_importance")
+def q_m7(spark, sf):
+    from cartflow.learn import models as L
+    return L.feature_importance(spark, _fitted(spark, sf, "forest"), 10)
+
+
+@register("meta_weights")
+def q_m7b(spark, sf):
+    from cartflow.learn import models as L
+    _, meta, names = _fitted(spark, sf, "stacked")
+    return L.meta_weights(spark, meta, names)
+
+
+@register("compare_models")
+def q_m8(spark, sf):
+    from cartflow.learn import models as L
+    m = _metrics(spark, sf, "forest").unionByName(_metrics(spark, sf, "boosted")) \
+        .unionByName(_metrics(spark, sf, "stacked"))
+    return L.compare_models(m)
+
+
+@register("score_sessions")
+def q_m9(spark, sf):
+    from cartflow.learn import models as L
+    _, test = _learn_data(spark, sf)
+    return L.score(test, _fitted(spark, sf, "forest"))
+
+
+@register("save_load_model")
+def q_s15(spark, sf):
+    from cartflow.learn import models as L
+    from cartflow.session import fresh_dir
+    path = fresh_dir(spark, "model")
+    L.save_model(_fitted(spark, sf, "forest"), path)
+    _, test = _learn_data(spark, sf)
+    return L.score(test, L.load_model(path))
