@@ -884,3 +884,134 @@ def q_s15(spark, sf):
     L.save_model(_fitted(spark, sf, "forest"), path)
     _, test = _learn_data(spark, sf)
     return L.score(test, L.load_model(path))
+
+
+# S: sources, sinks and the table layer ----------------------------------------------------
+
+from cartflow.sources import catalog as SC  # noqa: E402
+from cartflow.sources import events as SE  # noqa: E402
+from cartflow.sources import tables as TB  # noqa: E402
+from cartflow.sources.fixture import read_table  # noqa: E402
+
+SNAP_KEEP = ["session_id", "event_id", "ts", "cart_value", "page_views"]
+
+
+@register("insert_if_absent", """
+SELECT session_id, event_id, ts, cart_value, page_views
+FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY ts, event_id) AS rn FROM snap)
+WHERE rn = 1 AND session_id NOT IN (SELECT session_id FROM sess WHERE start_time < TIMESTAMP '2024-01-10 00:00:00')""")
+def q_s5(spark, sf):
+    ev = events(spark, sf)
+    target = S.session_records(ev).filter(F.col("start_time") < F.to_timestamp(F.lit("2024-01-10 00:00:00")))
+    return TB.insert_if_absent(S.snapshots(ev).select(*SNAP_KEEP), target, ["session_id"], ["ts", "event_id"])
+
+
+@register("upsert_latest", f"""
+SELECT * EXCLUDE (rn), ts + INTERVAL {K.SESSION_CACHE_TTL_SECONDS} SECOND AS expires_at
+FROM (SELECT session_id, event_id, ts, cart_value, page_views,
+             row_number() OVER (PARTITION BY session_id ORDER BY ts DESC, event_id DESC) AS rn FROM snap)
+WHERE rn = 1 AND ts + INTERVAL {K.SESSION_CACHE_TTL_SECONDS} SECOND > {AS_OF_SQL}""")
+def q_s6(spark, sf):
+    snap = snaps(spark, sf).select(*SNAP_KEEP)
+    return TB.upsert_latest(snap, None, ["session_id"], ["ts", "event_id"], K.SESSION_CACHE_TTL_SECONDS, "ts",
+                            AS_OF).drop("rn")
+
+
+@register("run_query", f"""
+SELECT risk_level, count(*) AS n, {pavg('abandonment_probability')} AS avg_probability FROM preds
+WHERE prediction_timestamp >= TIMESTAMP '2024-01-24 00:00:00' AND abandonment_probability >= 0.5
+GROUP BY risk_level""")
+def q_s7(spark, sf):
+    import datetime as _dt
+    sql = ("SELECT risk_level, count(*) AS n, CAST(ROUND(CAST(CAST(sum(CAST(abandonment_probability AS "
+           "DECIMAL(18,4))) AS DOUBLE) / count(abandonment_probability) AS DECIMAL(38,12)), 4) AS DOUBLE) "
+           "AS avg_probability FROM preds_view WHERE prediction_timestamp >= :since "
+           "AND abandonment_probability >= :min_p GROUP BY risk_level")
+    return TB.run_query(spark, sql, {"since": _dt.datetime(2024, 1, 24), "min_p": 0.5},
+                        {"preds_view": preds(spark, sf)})
+
+
+TRAIN_SQL = ("SELECT session_id, user_id, start_time, CAST(NULL AS TIMESTAMP) AS end_time, last_activity, "
+             "device_type, browser, page_views, products_viewed, unique_products_viewed, searches, cart_additions, "
+             "cart_removals, cart_value, is_converted, purchase_value, is_cart_abandoned, abandonment_reason, "
+             "time_in_cart_seconds, checkout_initiated, persona, session_duration_seconds, avg_time_per_page, "
+             "bounce, start_time AS created_at, updated_at, cart_value > 0 AND NOT is_converted AS abandoned "
+             "FROM sess ORDER BY start_time")
+
+
+@register("export_training", TRAIN_SQL)
+def q_s9(spark, sf):
+    from cartflow.session import fresh_dir
+    folder = fresh_dir(spark, "export")
+    paths = TB.export_training(sessions(spark, sf), folder, "20240131_000000")
+    return TB.load_training(spark, paths[1])
+
+
+MIGRATED = [("is_cart_abandoned", "boolean", False), ("abandonment_reason", "string", None),
+            ("time_in_cart_seconds", "int", 0), ("checkout_initiated", "boolean", False),
+            ("persona", "string", None)]
+
+
+@register("evolve_schema", """
+SELECT * EXCLUDE (is_cart_abandoned, abandonment_reason, time_in_cart_seconds, checkout_initiated, persona),
+  FALSE AS is_cart_abandoned, CAST(NULL AS VARCHAR) AS abandonment_reason, CAST(0 AS INTEGER) AS time_in_cart_seconds,
+  FALSE AS checkout_initiated, CAST(NULL AS VARCHAR) AS persona
+FROM sess""")
+def q_s12(spark, sf):
+    old = sessions(spark, sf).drop(*[m[0] for m in MIGRATED])
+    return TB.evolve_schema(TB.evolve_schema(old, MIGRATED), MIGRATED)  # idempotent
+
+
+@register("describe_columns")
+def q_s13(spark, sf):
+    sessions(spark, sf).createOrReplaceTempView("v_user_sessions")
+    return TB.describe_columns(spark, "v_user_sessions", [m[0] for m in MIGRATED])
+
+
+@register("purge_older_than", """
+SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-08-01 00:00:00' - INTERVAL 8760 HOUR""")
+def q_s14(spark, sf):
+    return TB.purge_older_than(read_table(spark, sf, "orders"), "o_orderdate", 365, "2001-08-01 00:00:00")
+
+
+@register("validate_events", """
+SELECT event_id, session_id, user_id, event_type, ts,
+  CASE WHEN event_type IN ('add_to_cart', 'remove_from_cart') THEN COALESCE(quantity, 1) ELSE quantity END AS quantity,
+  COALESCE(device_type, 'desktop') AS device_type
+FROM ev""")
+def q_s3(spark, sf):
+    raw = SE.encode_events(events(spark, sf))
+    decoded, _ = SE.decode_events(raw)
+    valid, _ = SE.validate_events(decoded)
+    return valid.select("event_id", "session_id", "user_id", "event_type", "ts", "quantity", "device_type")
+
+
+@register("write_keyed_json")
+def q_s4(spark, sf):
+    return SE.encode_events(events(spark, sf))
+
+
+def _catalogue(spark, sf):
+    part = read_table(spark, sf, "part")
+    raw = part.select(F.to_json(F.struct(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"),
+        F.col("p_type").alias("category"), F.col("p_brand").alias("description"),
+        F.struct((F.col("p_size").cast("double") / 10.0).alias("rate"), F.col("p_size").alias("count"))
+        .alias("rating"))).alias("value"))
+    parsed = raw.select(F.from_json("value", SC.PRODUCT_RAW_SCHEMA).alias("p")).select("p.*")
+    return SC.flatten_products(parsed, AS_OF)
+
+
+@register("flatten_products", f"""
+SELECT 'prod_' || CAST(p_partkey AS VARCHAR) || '_' || substr(md5(CAST(p_partkey AS VARCHAR) || '|' || p_name), 1, 8)
+    AS event_id, {AS_OF_SQL} AS timestamp, p_partkey AS product_id, p_name AS title, p_retailprice AS price,
+  p_type AS category, p_brand AS description, CAST(NULL AS VARCHAR) AS image,
+  CAST(p_size AS DOUBLE) / 10.0 AS rating_rate, p_size AS rating_count, 100 AS stock_quantity
+FROM part""")
+def q_s16(spark, sf):
+    return _catalogue(spark, sf)
+
+
+@register("categories", "SELECT DISTINCT p_type AS category FROM part WHERE p_type IS NOT NULL")
+def q_s17(spark, sf):
+    return SC.categories(_catalogue(spark, sf))
