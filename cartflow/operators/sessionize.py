@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartflow.operators.scan import segmented_scan, time_bucket
+from cartflow.operators.scan import time_bucket
 
 
 def sessionize(ev: DataFrame, gap_seconds: int = 12 * 3600, user_col: str = "user_id",
@@ -17,18 +17,40 @@ def sessionize(ev: DataFrame, gap_seconds: int = 12 * 3600, user_col: str = "use
     user's previous event (ordered by ts, then event id) is ``>= gap_seconds``.
     ``session_id = <prefix><user>_<n>`` with n counting sessions from 1.
 
-    Both passes are segmented scans over ``(user, day)``, so a user with a
-    third of all events is still spread over one task per day; the second pass
-    reuses the first pass's hash partitioning (one shuffle of the events).
+    One pass, skew-safe: windows run inside ``(user, day)``.  Inside a day
+    the gap test uses ``lag``; whether a day's first event opens a session
+    depends only on the previous active day's last event, and the number of
+    sessions opened before a day is a running sum over days.  Both come from a
+    one-row-per-(user, day) table, so a user with a third of all events is
+    still spread over one task per active day.
     """
-    b = "_sz_bucket"
+    gap_us = gap_seconds * 1_000_000
+    b = "_sz_b"
     df = ev.withColumn(b, time_bucket(ts_col, bucket_seconds))
-    order = [ts_col, tie_col]
-    df = segmented_scan(df, [user_col], order, b, prevs={"_sz_prev_ts": F.col(ts_col)})
-    gap_us = F.unix_micros(F.col(ts_col)) - F.unix_micros(F.col("_sz_prev_ts"))
-    df = df.withColumn("_sz_new", F.when(F.col("_sz_prev_ts").isNull() | (gap_us >= gap_seconds * 1_000_000), 1)
-                       .otherwise(0))
-    df = segmented_scan(df, [user_col], order, b, sums={"_sz_n": F.col("_sz_new")})
-    df = df.withColumn("session_id", F.concat(F.lit(prefix), F.col(user_col).cast("string"), F.lit("_"),
-                                              F.col("_sz_n").cast("string")))
-    return df.drop(b, "_sz_prev_ts", "_sz_new", "_sz_n")
+    w = Window.partitionBy(user_col, b).orderBy(ts_col, tie_col)
+    wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    us = F.unix_micros(F.col(ts_col))
+
+    prev = F.lag(us).over(w)
+    local = df.select("*", prev.alias("_sz_prev"), F.row_number().over(w).alias("_sz_rn"),
+                      F.count(F.lit(1)).over(Window.partitionBy(user_col, b)).alias("_sz_cnt"),
+                      F.first(us).over(wrun).alias("_sz_first"))
+    # Sessions opened inside the day by events other than its first one.
+    opened = F.when(F.col("_sz_prev").isNotNull() & (us - F.col("_sz_prev") >= gap_us), 1).otherwise(0)
+    local = local.select("*", F.sum(opened).over(wrun).alias("_sz_local"))
+
+    days = local.filter(F.col("_sz_rn") == F.col("_sz_cnt")).select(
+        user_col, b, F.col("_sz_first").alias("_d_first"), us.alias("_d_last"), F.col("_sz_local").alias("_d_local"))
+    wd = Window.partitionBy(user_col).orderBy(b)
+    prev_last = F.lag("_d_last").over(wd)
+    days = days.select("*", F.when(prev_last.isNull() | (F.col("_d_first") - prev_last >= gap_us), 1)
+                       .otherwise(0).alias("_d_opens"))
+    days = days.select(user_col, b, "_d_opens",
+                       F.coalesce(F.sum(F.col("_d_local") + F.col("_d_opens"))
+                                  .over(wd.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_d_before"))
+
+    out = local.join(days, [user_col, b], "inner")
+    n = F.col("_d_before") + F.col("_d_opens") + F.col("_sz_local")
+    out = out.withColumn("session_id", F.concat(F.lit(prefix), F.col(user_col).cast("string"), F.lit("_"),
+                                                n.cast("string")))
+    return out.drop(*[c for c in out.columns if c.startswith(("_sz_", "_d_"))])

@@ -76,3 +76,26 @@ def test_hot_key_is_split_across_buckets(spark):
     df = events_df(spark, rows).withColumn("b", time_bucket("ts", 3600))
     hot = df.filter("session_id = 's0'").select("b").distinct().count()
     assert hot > 50  # the hot session's rows are spread over many (key, bucket) window partitions
+
+
+def test_sessionize_matches_plain_lag_with_hot_user(spark):
+    from cartflow.operators.sessionize import sessionize
+    rnd = random.Random(11)
+    rows, i = [], 0
+    base = dt.datetime(2024, 1, 1)
+    for u in range(8):
+        sec = 0
+        for _ in range(2000 if u == 0 else rnd.randint(1, 40)):   # user 0 is hot, spans many days
+            i += 1
+            sec += rnd.choice([0, 5, 3600, 12 * 3600, 12 * 3600 - 1, 40 * 3600])
+            rows.append({"event_id": i, "ts": base + dt.timedelta(seconds=sec), "user_id": u,
+                         "event_type": "page_view"})
+    df = events_df(spark, rows).drop("session_id")
+    got = {r.event_id: r.session_id for r in sessionize(df).collect()}
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    gap = F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(w))
+    ref = df.select("*", F.when(F.lag("ts").over(w).isNull() | (gap >= 12 * 3600 * 1_000_000), 1).otherwise(0)
+                    .alias("new"))
+    ref = ref.select("event_id", "user_id", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("n"))
+    want = {r.event_id: f"sess_{r.user_id}_{r.n}" for r in ref.collect()}
+    assert got == want
