@@ -43,7 +43,9 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
 
     # Warm-up on the smallest data so JVM start-up is not billed to the first query.
-    run(S.session_records(load_events(spark, "/root/testdata/sf0.001")))
+    warm = load_events(spark, "/root/testdata/sf0.001")
+    for df in (warm, S.session_records(warm), fixed_predictions(S.snapshots(warm))):
+        run(df)
 
     # 1. events -> tables
     timed("events_sessionize", lambda: load_events(spark, sf_dir).write.mode("overwrite").parquet(f"{out}/ev"))

@@ -41,7 +41,8 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
                    lasts: Mapping[str, Column] | None = None,
                    prevs: Mapping[str, Column] | None = None,
                    firsts: Mapping[str, Column] | None = None,
-                   descending: bool = False, mark_last: str | None = None) -> DataFrame:
+                   descending: bool = False, mark_last: str | None = None,
+                   final_only: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Add running-aggregate columns over ``keys`` in ``order``.
 
     ``bucket`` names an existing column that is monotone in ``order`` within a
@@ -52,6 +53,10 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
 
     The per-bucket carry is read off each bucket's last row (no aggregate),
     so no string or struct aggregation buffer forces a sort-based aggregate.
+
+    ``final_only=True`` returns one row per key: the running values after its
+    last row plus the ``keep`` columns of that row.  It is computed from the
+    per-bucket table alone, so the events are never joined back.
     """
     sums = dict(sums or {})
     min_of_sums = dict(min_of_sums or {})
@@ -63,13 +68,12 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
 
     w = Window.partitionBy(*part).orderBy(*ordcols)
     wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wpart = Window.partitionBy(*part)
 
-    # Inside (key, bucket): running values, plus the row number and the bucket
-    # size so that the bucket's last row can be picked without an aggregate.
+    # Inside (key, bucket): running values, plus the row number and a flag on
+    # the bucket's last row, so it can be picked without an aggregate.
     # All window expressions of one pass go into a single select so that
     # Catalyst evaluates them in one Window operator over one sort.
-    exprs = [F.row_number().over(w).alias("_sc_rn"), F.count(F.lit(1)).over(wpart).alias("_sc_cnt")]
+    exprs = [F.row_number().over(w).alias("_sc_rn"), F.lead(F.lit(1)).over(w).isNull().alias("_sc_end")]
     exprs += [F.sum(e).over(wrun).alias(f"_sc_ls_{n}") for n, e in sums.items()]
     exprs += [F.last(e, ignorenulls=True).over(wrun).alias(f"_sc_ll_{n}") for n, e in lasts.items()]
     exprs += [F.lag(e).over(w).alias(f"_sc_lp_{n}") for n, e in prevs.items()]
@@ -87,7 +91,9 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     sel += [F.col(f"_sc_ll_{n}").alias(f"_sc_L_{n}") for n in lasts]
     sel += [F.col(f"_sc_lv_{n}").alias(f"_sc_P_{n}") for n in prevs]
     sel += [F.col(f"_sc_lf_{n}").alias(f"_sc_F_{n}") for n in firsts]
-    per_bucket = local.filter(F.col("_sc_rn") == F.col("_sc_cnt")).select(*sel)
+    if final_only:
+        sel += [F.col(c) for c in keep if c not in part]
+    per_bucket = local.filter(F.col("_sc_end")).select(*sel)
 
     bord = F.col(bucket).desc() if descending else F.col(bucket).asc()
     wb = Window.partitionBy(*keys).orderBy(bord)
@@ -102,14 +108,24 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
         carry = carry.withColumn(f"_sc_PP_{name}", F.lag(f"_sc_P_{name}").over(wb))
     for name in firsts:
         carry = carry.withColumn(f"_sc_FF_{name}", F.first(f"_sc_F_{name}").over(wall))
-    if mark_last:
+    if mark_last or final_only:
         carry = carry.withColumn("_sc_LB", F.lead(F.col(bucket)).over(wb).isNull())
     for name, src in min_of_sums.items():
         cand = F.coalesce(F.col(f"_sc_O_{src}"), F.lit(0)) + F.col(f"_sc_M_{name}")
         carry = carry.withColumn(f"_sc_PM_{name}", F.min(cand).over(wprev))
-    keep = [*part] + [c for c in carry.columns
-                      if c.startswith(("_sc_O_", "_sc_PL_", "_sc_PP_", "_sc_FF_", "_sc_PM_", "_sc_LB"))]
-    carry = carry.select(*keep)
+    if final_only:
+        fin = carry.filter(F.col("_sc_LB"))
+        outs = [F.col(c) for c in keys] + [F.col(c) for c in keep if c not in part]
+        outs += [(F.coalesce(F.col(f"_sc_O_{n}"), F.lit(0)) + F.col(f"_sc_B_{n}")).alias(n) for n in sums]
+        outs += [F.least(F.col(f"_sc_PM_{n}"), F.coalesce(F.col(f"_sc_O_{src}"), F.lit(0)) + F.col(f"_sc_M_{n}"))
+                 .alias(n) for n, src in min_of_sums.items()]
+        outs += [F.coalesce(F.col(f"_sc_L_{n}"), F.col(f"_sc_PL_{n}")).alias(n) for n in lasts]
+        outs += [F.col(f"_sc_P_{n}").alias(n) for n in prevs]
+        outs += [F.col(f"_sc_FF_{n}").alias(n) for n in firsts]
+        return fin.select(*outs)
+    keep_cols = [*part] + [c for c in carry.columns
+                           if c.startswith(("_sc_O_", "_sc_PL_", "_sc_PP_", "_sc_FF_", "_sc_PM_", "_sc_LB"))]
+    carry = carry.select(*keep_cols)
 
     out = local.join(carry, on=part, how="inner")
     for name in sums:
@@ -125,5 +141,5 @@ def segmented_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     for name in firsts:
         out = out.withColumn(name, F.col(f"_sc_FF_{name}"))
     if mark_last:
-        out = out.withColumn(mark_last, (F.col("_sc_rn") == F.col("_sc_cnt")) & F.col("_sc_LB"))
+        out = out.withColumn(mark_last, F.col("_sc_end") & F.col("_sc_LB"))
     return out.drop(*[c for c in out.columns if c.startswith("_sc_")])

@@ -32,14 +32,14 @@ def sessionize(ev: DataFrame, gap_seconds: int = 12 * 3600, user_col: str = "use
     us = F.unix_micros(F.col(ts_col))
 
     prev = F.lag(us).over(w)
-    local = df.select("*", prev.alias("_sz_prev"), F.row_number().over(w).alias("_sz_rn"),
-                      F.count(F.lit(1)).over(Window.partitionBy(user_col, b)).alias("_sz_cnt"),
+    local = df.select("*", prev.alias("_sz_prev"),
+                      F.lead(F.lit(1)).over(w).isNull().alias("_sz_end"),
                       F.first(us).over(wrun).alias("_sz_first"))
     # Sessions opened inside the day by events other than its first one.
     opened = F.when(F.col("_sz_prev").isNotNull() & (us - F.col("_sz_prev") >= gap_us), 1).otherwise(0)
     local = local.select("*", F.sum(opened).over(wrun).alias("_sz_local"))
 
-    days = local.filter(F.col("_sz_rn") == F.col("_sz_cnt")).select(
+    days = local.filter(F.col("_sz_end")).select(
         user_col, b, F.col("_sz_first").alias("_d_first"), us.alias("_d_last"), F.col("_sz_local").alias("_d_local"))
     wd = Window.partitionBy(user_col).orderBy(b)
     prev_last = F.lag("_d_last").over(wd)

@@ -53,8 +53,11 @@ def running_cart(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) ->
         "_ss_bucket", "_delta", "_cart_s", "_cart_m")
 
 
-def _session_scan(df: DataFrame, bucket_seconds: int, product_flag: Column) -> DataFrame:
-    """Every session counter, flag and last/first value as of each event (one scan)."""
+def _session_scan(df: DataFrame, bucket_seconds: int, product_flag: Column, final_only: bool = False) -> DataFrame:
+    """Every session counter, flag and last/first value as of each event (one scan).
+
+    With ``final_only`` one row per session: its state after the last event.
+    """
     df = _with_bucket(df, bucket_seconds).withColumn("_delta", cart_delta())
     ind = lambda name: F.when(_et(name), 1).otherwise(0)
     return segmented_scan(
@@ -71,7 +74,8 @@ def _session_scan(df: DataFrame, bucket_seconds: int, product_flag: Column) -> D
                "_pers_any": F.col("persona"),
                "_start_ts": F.when(_et("session_start"), F.col("ts"))},
         firsts={"_dev": F.col("device_type"), "_brw": F.col("browser"), "_first_ts": F.col("ts")},
-        mark_last="_is_last",
+        mark_last=None if final_only else "_is_last",
+        final_only=final_only, keep=["ts", "user_id"],
     )
 
 
@@ -102,11 +106,12 @@ def _record_columns() -> list[Column]:
 def session_records(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -> DataFrame:
     """One record per session (the user_sessions table).
 
-    The record is the session's state after its last event, read off one
-    segmented scan (no sort-based aggregation); distinct products come from
-    a separate hash aggregate on (session, product) joined by session id.
+    The record is the session's state after its last event, taken from the
+    segmented scan's per-bucket table (``final_only``): events are shuffled
+    once and never joined back.  Distinct products come from a separate hash
+    aggregate on (session, product) joined by session id.
     """
-    last = _session_scan(ev, bucket_seconds, F.lit(0)).filter(F.col("_is_last"))
+    last = _session_scan(ev, bucket_seconds, F.lit(0), final_only=True)
     rec = last.select("session_id", "user_id", F.col("ts").alias("last_activity"),
                       F.col("_n").alias("event_count"), *_record_columns())
     products = (ev.filter(_et("product_view") & F.col("product_id").isNotNull())
