@@ -80,6 +80,23 @@ def main() -> None:
     for name, build in reports.items():
         timed(name, lambda b=build: run(b()))
 
+    # 3. streaming session records over the same events (file stream, availableNow)
+    from cartflow.streaming.runner import run_bounded
+    from cartflow.streaming.sessions import stream_sessions
+    stream_in = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 4).parquet(f"{out}/ev"))
+    timed("stream_sessions", lambda: run_bounded(stream_sessions(stream_in, watermark="400 days"), "update",
+                                                 "bench-sessions"))
+
+    # 4. batch scoring of every session with a fitted forest (fit not timed)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from cartflow.learn import models as L
+    frame = L.training_frame(sess)
+    model = Pipeline(stages=[*L.feature_pipeline(),
+                             RandomForestClassifier(labelCol=L.LABEL, numTrees=50, maxDepth=10, seed=42)]).fit(frame)
+    timed("batch_scoring", lambda: run(L.score(frame, model)))
+    n_sessions = sess.count()
+
     total = round(sum(times.values()), 3)
     build_sec = times["events_sessionize"] + times["session_records"] + times["snapshots_predictions"]
     print(json.dumps({
@@ -90,6 +107,8 @@ def main() -> None:
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
         "events": n_events,
         "events_to_tables_events_per_sec": round(n_events / build_sec, 1) if build_sec else None,
+        "stream_events_per_sec": round(n_events / times["stream_sessions"], 1),
+        "scoring_sessions_per_sec": round(n_sessions / times["batch_scoring"], 1),
     }))
     spark.stop()
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,15 +42,9 @@ RECORD_SCHEMA = (
 STATE_SCHEMA = "acc string, buffer string"
 
 
-def _r(x: float, d: int) -> float:
-    """Half-up rounding of a double through its 12-decimal value (as round_half_up)."""
-    q = Decimal(x).quantize(Decimal("1e-12"), rounding=ROUND_HALF_UP)
-    return float(q.quantize(Decimal(1).scaleb(-d), rounding=ROUND_HALF_UP))
-
-
 def _new_acc() -> dict:
     return {"user_id": None, "first_ts": None, "start_ts": None, "last_ts": None, "dev": None, "brw": None,
-            "pv": 0, "pvc": 0, "products": [], "srch": 0, "add": 0, "rem": 0, "cart_cents": 0, "buy": False,
+            "pv": 0, "pvc": 0, "products": set(), "srch": 0, "add": 0, "rem": 0, "cart_cents": 0, "buy": False,
             "pval": None, "abd": False, "reason": None, "tic": None, "chk": False, "pers_start": None,
             "pers_any": None, "n": 0}
 
@@ -79,8 +73,8 @@ def _fold(acc: dict, e: dict) -> None:
         acc["pv"] += 1
     elif et == "product_view":
         acc["pvc"] += 1
-        if e["product_id"] is not None and e["product_id"] not in acc["products"]:
-            acc["products"].append(e["product_id"])
+        if e["product_id"] is not None:
+            acc["products"].add(int(e["product_id"]))
     elif et == "add_to_cart":
         acc["add"] += 1
         acc["cart_cents"] += _cents(e["price"], e["quantity"])
@@ -101,36 +95,25 @@ def _fold(acc: dict, e: dict) -> None:
         acc["tic"] = 0 if e["time_in_cart_seconds"] is None else int(e["time_in_cart_seconds"])
 
 
-def _record(key: str, acc: dict) -> dict:
-    start = acc["start_ts"] if acc["start_ts"] is not None else acc["first_ts"]
-    dur = int((acc["last_ts"] - start) / 1_000_000) if acc["last_ts"] >= start else \
-        -int((start - acc["last_ts"]) / 1_000_000)
-    pv = acc["pv"]
-    np_ = len(acc["products"])
-    ts = lambda us: pd.Timestamp(us, unit="us")
-    return {
-        "session_id": key, "user_id": acc["user_id"], "start_time": ts(start), "last_activity": ts(acc["last_ts"]),
-        "device_type": acc["dev"] if acc["dev"] is not None else "desktop",
-        "browser": acc["brw"] if acc["brw"] is not None else "Unknown",
-        "page_views": pv, "products_viewed": np_, "unique_products_viewed": np_, "product_view_count": acc["pvc"],
-        "searches": acc["srch"], "cart_additions": acc["add"], "cart_removals": acc["rem"],
-        "cart_value": acc["cart_cents"] / 100.0, "is_converted": acc["buy"],
-        "purchase_value": _r(acc["pval"] or 0.0, 2), "session_duration_seconds": dur,
-        "avg_time_per_page": _r(dur / pv, 2) if pv else 0.0, "bounce": pv <= 1 and dur < 30,
-        "is_cart_abandoned": acc["abd"], "abandonment_reason": acc["reason"],
-        "time_in_cart_seconds": acc["tic"] if acc["tic"] is not None else 0,
-        "checkout_initiated": acc["chk"],
-        "persona": acc["pers_start"] if acc["pers_start"] is not None else acc["pers_any"],
-        "updated_at": ts(acc["last_ts"]), "event_count": acc["n"],
-    }
+def _dump(acc: dict) -> str:
+    return json.dumps({**acc, "products": sorted(acc["products"])})
+
+
+def _load(text: str) -> dict:
+    acc = json.loads(text)
+    acc["products"] = set(acc["products"])
+    return acc
 
 
 def _rows(pdf: pd.DataFrame) -> list[dict]:
-    pdf = pdf.assign(ts_us=pdf["ts"].astype("datetime64[us]").astype("int64"))
+    """Arrow batch -> event dicts (NULLs as None, ts as epoch microseconds)."""
+    cols = {c: pdf[c].tolist() for c in pdf.columns if c != "ts"}
+    cols["ts_us"] = pdf["ts"].astype("datetime64[us]").astype("int64").tolist()
+    names = list(cols)
     out = []
-    for r in pdf.to_dict("records"):
-        out.append({k: (None if (not isinstance(v, (list, dict, str)) and pd.isna(v)) else
-                        (v.item() if hasattr(v, "item") else v)) for k, v in r.items() if k != "ts"})
+    for vals in zip(*cols.values()):
+        out.append({k: (None if v is None or (isinstance(v, float) and v != v) else v)
+                    for k, v in zip(names, vals)})
     return out
 
 
@@ -141,7 +124,7 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
         return
     if state.exists:
         acc_json, buf_json = state.get
-        acc, buf = json.loads(acc_json), json.loads(buf_json)
+        acc, buf = _load(acc_json), json.loads(buf_json)
     else:
         acc, buf = _new_acc(), []
     for pdf in pdfs:
@@ -154,21 +137,61 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
             _fold(acc, e)
         else:
             keep.append(e)
-    view = json.loads(json.dumps(acc))
+    view = {**acc, "products": set(acc["products"])}
     for e in keep:
         _fold(view, e)
-    state.update((json.dumps(acc), json.dumps(keep)))
+    state.update((_dump(acc), json.dumps(keep)))
     close_ms = int(view["last_ts"] // 1000) + K.SESSION_GAP_SECONDS * 1000
     state.setTimeoutTimestamp(max(close_ms, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame([_record(session_id, view)])
+    yield pd.DataFrame({"session_id": [session_id], "acc": [_dump(view)]})
+
+
+ACC_SCHEMA = ("user_id long, first_ts long, start_ts long, last_ts long, dev string, brw string, pv long, "
+              "pvc long, products array<long>, srch long, add long, rem long, cart_cents long, buy boolean, "
+              "pval double, abd boolean, reason string, tic int, chk boolean, pers_start string, "
+              "pers_any string, n long")
+
+
+def record_from_accumulator(df: DataFrame) -> DataFrame:
+    """The session record from the folded accumulator, with the batch path's expressions."""
+    from cartflow.functions.exprs import round_half_up, safe_div
+    a = F.from_json(F.col("acc"), ACC_SCHEMA)
+    df = df.select("session_id", a.alias("a"))
+    c = lambda x: F.col(f"a.{x}")
+    start_us = F.coalesce(c("start_ts"), c("first_ts"))
+    dur = ((c("last_ts") - start_us) / F.lit(1_000_000)).cast("long")   # truncates toward zero
+    npv = F.size(c("products")).cast("long")
+    pv = c("pv")
+    return df.select(
+        "session_id", c("user_id").alias("user_id"), F.timestamp_micros(start_us).alias("start_time"),
+        F.timestamp_micros(c("last_ts")).alias("last_activity"),
+        F.coalesce(c("dev"), F.lit("desktop")).alias("device_type"),
+        F.coalesce(c("brw"), F.lit("Unknown")).alias("browser"),
+        pv.alias("page_views"), npv.alias("products_viewed"), npv.alias("unique_products_viewed"),
+        c("pvc").alias("product_view_count"), c("srch").alias("searches"), c("add").alias("cart_additions"),
+        c("rem").alias("cart_removals"), (c("cart_cents") / F.lit(100.0)).alias("cart_value"),
+        c("buy").alias("is_converted"),
+        round_half_up(F.coalesce(c("pval"), F.lit(0.0)), 2).alias("purchase_value"),
+        dur.alias("session_duration_seconds"),
+        round_half_up(safe_div(dur, pv), 2).alias("avg_time_per_page"),
+        ((pv <= 1) & (dur < 30)).alias("bounce"),
+        c("abd").alias("is_cart_abandoned"), c("reason").alias("abandonment_reason"),
+        F.coalesce(c("tic"), F.lit(0)).alias("time_in_cart_seconds"), c("chk").alias("checkout_initiated"),
+        F.coalesce(c("pers_start"), c("pers_any")).alias("persona"),
+        F.timestamp_micros(c("last_ts")).alias("updated_at"), c("n").alias("event_count"))
 
 
 def stream_sessions(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Streaming session records (update mode), one row per session per micro-batch."""
+    """Streaming session records (update mode), one row per session per micro-batch.
+
+    Python does only the order-dependent fold and returns the accumulator;
+    every derived column is a JVM expression shared with the batch path.
+    """
     ev = events.select(*EVENT_COLS).withWatermark("ts", watermark)
-    return ev.groupBy("session_id").applyInPandasWithState(
-        _update, outputStructType=RECORD_SCHEMA, stateStructType=STATE_SCHEMA,
+    folded = ev.groupBy("session_id").applyInPandasWithState(
+        _update, outputStructType="session_id string, acc string", stateStructType=STATE_SCHEMA,
         outputMode="update", timeoutConf=GroupStateTimeout.EventTimeTimeout)
+    return record_from_accumulator(folded)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "_batch") -> DataFrame:
