@@ -195,7 +195,11 @@ def stream_sessions(events: DataFrame, watermark: str = "10 minutes") -> DataFra
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "_batch") -> DataFrame:
-    """S6 on read: keep the newest row per key (merge-on-read of an append log)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    return df.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk", order_col)
+    """S6 on read: keep the newest row per key (merge-on-read of an append log).
+
+    A keyed aggregate (``max_by`` over the batch id), combined map-side, so a
+    key written by every micro-batch is still reduced before the shuffle.
+    """
+    others = [c for c in df.columns if c not in keys and c != order_col]
+    row = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_row")
+    return df.groupBy(*keys).agg(row).select(*keys, "_row.*")
