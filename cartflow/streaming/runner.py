@@ -28,6 +28,33 @@ def replay_source(spark: SparkSession, df: DataFrame, files: int = 8,
             .parquet(path))
 
 
+def run_ordered(spark: SparkSession, df: DataFrame, start_query, slices: int = 8):
+    """Replay ``df`` in event-time order: slice i is appended (by a parallel job)
+    and fully processed before slice i+1, so the watermark and event-time
+    timers advance as in a live feed.  ``start_query(stream)`` must start and
+    return the streaming query.
+    """
+    path = fresh_dir(spark, "replay-ordered")
+    bounds = df.select(F.unix_micros(F.min("ts")).alias("lo"), F.unix_micros(F.max("ts")).alias("hi")).first()
+    lo, hi = int(bounds.lo), int(bounds.hi) + 1
+    step = -(-(hi - lo) // slices)
+    us = F.unix_micros(F.col("ts"))
+    q = start_query(spark.readStream.schema(df.schema).parquet(path))
+    try:
+        for i in range(slices):
+            df.filter((us >= lo + i * step) & (us < lo + (i + 1) * step)).write.mode("append").parquet(path)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return q
+
+
+def start_multi_sink(stream: DataFrame, sink, name: str = "multi"):
+    """Start a stream whose every micro-batch goes to one foreachBatch sink."""
+    ckpt = fresh_dir(stream.sparkSession, f"ckpt-{name}")
+    return stream.writeStream.outputMode("update").option("checkpointLocation", ckpt).foreachBatch(sink).start()
+
+
 def kafka_source(spark: SparkSession, servers: str, topics: str, starting: str = "earliest") -> DataFrame:
     """Subscribe to topics from the earliest offset (needs the Kafka connector jar)."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)

@@ -39,7 +39,8 @@ RECORD_SCHEMA = (
     "bounce boolean, is_cart_abandoned boolean, abandonment_reason string, time_in_cart_seconds int, "
     "checkout_initiated boolean, persona string, updated_at timestamp, event_count long")
 
-STATE_SCHEMA = "acc string, buffer string"
+STATE_SCHEMA = "acc string, buffer string, phase string"
+FOLD_SCHEMA = "kind string, session_id string, acc string, at_us long"
 
 
 def _new_acc() -> dict:
@@ -117,20 +118,36 @@ def _rows(pdf: pd.DataFrame) -> list[dict]:
     return out
 
 
+def _out(kind: str, session_id: str, acc: dict, at_us) -> pd.DataFrame:
+    return pd.DataFrame({"kind": [kind], "session_id": [session_id], "acc": [_dump(acc)],
+                         "at_us": pd.array([at_us], dtype="Int64")})
+
+
 def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     (session_id,) = key
+    wm_ms = state.getCurrentWatermarkMs()
     if state.hasTimedOut:
-        state.remove()
+        acc_json, buf_json, phase = state.get
+        acc = _load(acc_json)
+        for e in json.loads(buf_json):  # the watermark has passed every buffered event
+            _fold(acc, e)
+        if phase == "idle":            # T6: the cart was left idle
+            yield _out("idle", session_id, acc, acc["last_ts"] + K.CART_ABANDONMENT_IDLE_SECONDS * 1_000_000)
+            state.update((_dump(acc), "[]", "closing"))
+            close_ms = acc["last_ts"] // 1000 + K.SESSION_GAP_SECONDS * 1000
+            state.setTimeoutTimestamp(max(close_ms, wm_ms + 1))
+        else:                          # the session is over: drop its state
+            state.remove()
         return
     if state.exists:
-        acc_json, buf_json = state.get
+        acc_json, buf_json, _ = state.get
         acc, buf = _load(acc_json), json.loads(buf_json)
     else:
         acc, buf = _new_acc(), []
     for pdf in pdfs:
         buf.extend(_rows(pdf))
     buf.sort(key=lambda e: (e["ts_us"], e["event_id"]))
-    wm_us = state.getCurrentWatermarkMs() * 1000
+    wm_us = wm_ms * 1000
     keep = []
     for e in buf:  # commit what the watermark has passed, in order
         if e["ts_us"] <= wm_us:
@@ -140,10 +157,11 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
     view = {**acc, "products": set(acc["products"])}
     for e in keep:
         _fold(view, e)
-    state.update((_dump(acc), json.dumps(keep)))
-    close_ms = int(view["last_ts"] // 1000) + K.SESSION_GAP_SECONDS * 1000
-    state.setTimeoutTimestamp(max(close_ms, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame({"session_id": [session_id], "acc": [_dump(view)]})
+    idle_pending = view["cart_cents"] > 0 and not view["buy"]
+    wait_s = K.CART_ABANDONMENT_IDLE_SECONDS if idle_pending else K.SESSION_GAP_SECONDS
+    state.update((_dump(acc), json.dumps(keep), "idle" if idle_pending else "closing"))
+    state.setTimeoutTimestamp(max(view["last_ts"] // 1000 + wait_s * 1000, wm_ms + 1))
+    yield _out("record", session_id, view, None)
 
 
 ACC_SCHEMA = ("user_id long, first_ts long, start_ts long, last_ts long, dev string, brw string, pv long, "
@@ -181,17 +199,62 @@ def record_from_accumulator(df: DataFrame) -> DataFrame:
         F.timestamp_micros(c("last_ts")).alias("updated_at"), c("n").alias("event_count"))
 
 
+def fold_stream(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """The stateful fold: 'record' rows (session updates) and 'idle' rows (T6 detections)."""
+    ev = events.select(*EVENT_COLS).withWatermark("ts", watermark)
+    return ev.groupBy("session_id").applyInPandasWithState(
+        _update, outputStructType=FOLD_SCHEMA, stateStructType=STATE_SCHEMA,
+        outputMode="update", timeoutConf=GroupStateTimeout.EventTimeTimeout)
+
+
 def stream_sessions(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Streaming session records (update mode), one row per session per micro-batch.
 
     Python does only the order-dependent fold and returns the accumulator;
     every derived column is a JVM expression shared with the batch path.
     """
-    ev = events.select(*EVENT_COLS).withWatermark("ts", watermark)
-    folded = ev.groupBy("session_id").applyInPandasWithState(
-        _update, outputStructType="session_id string, acc string", stateStructType=STATE_SCHEMA,
-        outputMode="update", timeoutConf=GroupStateTimeout.EventTimeTimeout)
-    return record_from_accumulator(folded)
+    return record_from_accumulator(fold_stream(events, watermark).filter(F.col("kind") == "record"))
+
+
+def abandonments_from_fold(folded: DataFrame) -> DataFrame:
+    """T6 (stream): one row per cart left idle, at last activity + the idle threshold."""
+    a = F.from_json(F.col("acc"), ACC_SCHEMA)
+    d = folded.filter(F.col("kind") == "idle").select("session_id", "at_us", a.alias("a"))
+    return d.select("session_id", F.col("a.user_id").alias("user_id"),
+                    F.timestamp_micros(F.col("a.last_ts")).alias("last_activity"),
+                    F.timestamp_micros(F.col("at_us")).alias("detected_at"),
+                    (F.col("a.cart_cents") / F.lit(100.0)).alias("cart_value"),
+                    F.greatest(F.col("a.add") - F.col("a.rem"), F.lit(0)).alias("items_count"))
+
+
+def multi_sink(out: str, model_version: str = "fixed_logit_v1"):
+    """One foreachBatch that writes, per micro-batch and tagged with its id,
+    the session updates, a prediction for every updated session with a cart
+    (one per tick, as the studied system logs them) and the idle-cart detections.
+    """
+    from cartflow.operators.scoring import fixed_probability, predictions_from_probability
+    from cartflow.operators.sessions import serving_features
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            rec = record_from_accumulator(batch.filter(F.col("kind") == "record"))
+            tag = F.lit(batch_id).alias("_batch")
+            rec.select("*", tag).write.mode("append").parquet(f"{out}/sessions")
+            bounce = F.col("bounce")
+            feats = serving_features(F.col("page_views"), F.col("products_viewed"), F.col("unique_products_viewed"),
+                                     F.col("cart_additions"), F.col("cart_removals"), F.col("cart_value"),
+                                     F.col("session_duration_seconds"), F.col("checkout_initiated"), bounce)
+            scored = rec.filter(F.col("cart_value") > 0).select("*", *[e.alias(n) for n, e in feats.items()])
+            scored = scored.withColumn("_p", fixed_probability(scored)) \
+                .withColumn("event_id", F.xxhash64("session_id", F.lit(batch_id))) \
+                .withColumn("ts", F.col("last_activity"))
+            predictions_from_probability(scored, "_p", model_version).select("*", tag) \
+                .write.mode("append").parquet(f"{out}/predictions")
+            abandonments_from_fold(batch).select("*", tag).write.mode("append").parquet(f"{out}/abandonments")
+        finally:
+            batch.unpersist()
+    return sink
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "_batch") -> DataFrame:

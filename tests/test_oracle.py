@@ -29,7 +29,8 @@ def test_every_query_has_twin_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only <= {"system_metrics", "feature_matrix", "stratified_split", "train_forest", "train_boosted",
                          "train_stacked", "feature_importance", "meta_weights", "compare_models",
-                         "score_sessions", "save_load_model", "describe_columns", "write_keyed_json"}
+                         "score_sessions", "save_load_model", "describe_columns", "write_keyed_json",
+                         "stream_predictions", "stream_abandonments"}
 
 
 def test_entry_smoke(spark):
@@ -37,3 +38,12 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_stream_idle_detections_are_batch_detections(spark, small_dir):
+    """Timers fire on idle gaps the batch twin also finds (the batch twin sees every gap)."""
+    s = {(r.session_id, r.last_activity) for r in QUERIES["stream_abandonments"](spark, small_dir).collect()}
+    b = {(r.session_id, r.last_activity) for r in QUERIES["detect_abandonment"](spark, small_dir).collect()}
+    assert s and s <= b
+    p = QUERIES["stream_predictions"](spark, small_dir)
+    assert p.filter("risk_level IS NULL OR abandonment_probability IS NULL").count() == 0
