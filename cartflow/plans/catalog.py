@@ -1047,3 +1047,14 @@ def q_t6s(spark, sf):
     except Exception:  # no micro-batch produced a detection
         return spark.createDataFrame([], "session_id string, user_id long, last_activity timestamp, "
                                          "detected_at timestamp, cart_value double, items_count long, _batch long")
+
+
+@register("stream_recoveries")
+def q_t7(spark, sf):
+    out = _scored_stream(spark, sf)
+    try:
+        return spark.read.parquet(f"{out}/recoveries")
+    except Exception:  # no micro-batch settled an abandonment
+        return spark.createDataFrame([], "session_id string, abandonment_event_id long, abandonment_time timestamp, "
+                                         "recovered boolean, recovery_time timestamp, recovery_seconds long, "
+                                         "recovery_value double, _batch long")

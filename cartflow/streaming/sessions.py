@@ -47,7 +47,7 @@ def _new_acc() -> dict:
     return {"user_id": None, "first_ts": None, "start_ts": None, "last_ts": None, "dev": None, "brw": None,
             "pv": 0, "pvc": 0, "products": set(), "srch": 0, "add": 0, "rem": 0, "cart_cents": 0, "buy": False,
             "pval": None, "abd": False, "reason": None, "tic": None, "chk": False, "pers_start": None,
-            "pers_any": None, "n": 0}
+            "pers_any": None, "n": 0, "pending": []}
 
 
 def _cents(price, qty) -> int:
@@ -56,8 +56,13 @@ def _cents(price, qty) -> int:
     return p * q
 
 
-def _fold(acc: dict, e: dict) -> None:
-    """Apply one event (the reference's per-event fold, with our defaults)."""
+def _fold(acc: dict, e: dict) -> list[dict]:
+    """Apply one event (the reference's per-event fold, with our defaults).
+
+    Returns the recoveries this event resolves (T7): a purchase settles every
+    abandonment still pending in the session.
+    """
+    resolved = []
     et, ts = e["event_type"], int(e["ts_us"])
     if acc["n"] == 0:
         acc["user_id"], acc["first_ts"] = e["user_id"], ts
@@ -89,11 +94,17 @@ def _fold(acc: dict, e: dict) -> None:
     elif et == "purchase":
         acc["buy"] = True
         acc["pval"] = 0.0 if e["cart_value"] is None else float(e["cart_value"])
+        for ab_ts, ab_id in acc["pending"]:
+            resolved.append({"abandonment_event_id": ab_id, "abandonment_ts": ab_ts, "purchase_ts": ts,
+                             "recovery_value": acc["pval"]})
+        acc["pending"] = []
     elif et == "cart_abandoned":
         acc["abd"] = True
         if e["abandonment_reason"] is not None:
             acc["reason"] = e["abandonment_reason"]
         acc["tic"] = 0 if e["time_in_cart_seconds"] is None else int(e["time_in_cart_seconds"])
+        acc["pending"].append([ts, int(e["event_id"])])
+    return resolved
 
 
 def _dump(acc: dict) -> str:
@@ -123,6 +134,11 @@ def _out(kind: str, session_id: str, acc: dict, at_us) -> pd.DataFrame:
                          "at_us": pd.array([at_us], dtype="Int64")})
 
 
+def _recovery(session_id: str, r: dict) -> pd.DataFrame:
+    return pd.DataFrame({"kind": ["recovery"], "session_id": [session_id], "acc": [json.dumps(r)],
+                         "at_us": pd.array([r["purchase_ts"]], dtype="Int64")})
+
+
 def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     (session_id,) = key
     wm_ms = state.getCurrentWatermarkMs()
@@ -130,7 +146,8 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
         acc_json, buf_json, phase = state.get
         acc = _load(acc_json)
         for e in json.loads(buf_json):  # the watermark has passed every buffered event
-            _fold(acc, e)
+            for r in _fold(acc, e):
+                yield _recovery(session_id, r)
         if phase == "idle":            # T6: the cart was left idle
             yield _out("idle", session_id, acc, acc["last_ts"] + K.CART_ABANDONMENT_IDLE_SECONDS * 1_000_000)
             state.update((_dump(acc), "[]", "closing"))
@@ -148,13 +165,15 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
         buf.extend(_rows(pdf))
     buf.sort(key=lambda e: (e["ts_us"], e["event_id"]))
     wm_us = wm_ms * 1000
-    keep = []
+    keep, resolved = [], []
     for e in buf:  # commit what the watermark has passed, in order
         if e["ts_us"] <= wm_us:
-            _fold(acc, e)
+            resolved += _fold(acc, e)
         else:
             keep.append(e)
-    view = {**acc, "products": set(acc["products"])}
+    for r in resolved:              # T7: emitted once, when the purchase is committed
+        yield _recovery(session_id, r)
+    view = {**acc, "products": set(acc["products"]), "pending": list(acc["pending"])}
     for e in keep:
         _fold(view, e)
     idle_pending = view["cart_cents"] > 0 and not view["buy"]
@@ -227,10 +246,27 @@ def abandonments_from_fold(folded: DataFrame) -> DataFrame:
                     F.greatest(F.col("a.add") - F.col("a.rem"), F.lit(0)).alias("items_count"))
 
 
+def recoveries_from_fold(folded: DataFrame, min_delay_seconds: int = K.RECOVERY_DELAY_MIN_SECONDS) -> DataFrame:
+    """T7 (stream): each abandonment settled by the session's next purchase; recovered when
+    the purchase came at least ``min_delay_seconds`` later (J6's rule)."""
+    r = F.from_json(F.col("acc"), "abandonment_event_id long, abandonment_ts long, purchase_ts long, "
+                                  "recovery_value double")
+    d = folded.filter(F.col("kind") == "recovery").select("session_id", r.alias("r"))
+    gap = ((F.col("r.purchase_ts") - F.col("r.abandonment_ts")) / F.lit(1_000_000)).cast("long")
+    rec = gap >= min_delay_seconds
+    return d.select("session_id", F.col("r.abandonment_event_id").alias("abandonment_event_id"),
+                    F.timestamp_micros(F.col("r.abandonment_ts")).alias("abandonment_time"),
+                    rec.alias("recovered"),
+                    F.when(rec, F.timestamp_micros(F.col("r.purchase_ts"))).alias("recovery_time"),
+                    F.when(rec, gap).alias("recovery_seconds"),
+                    F.when(rec, F.col("r.recovery_value")).alias("recovery_value"))
+
+
 def multi_sink(out: str, model_version: str = "fixed_logit_v1"):
     """One foreachBatch that writes, per micro-batch and tagged with its id,
     the session updates, a prediction for every updated session with a cart
-    (one per tick, as the studied system logs them) and the idle-cart detections.
+    (one per tick, as the studied system logs them), the idle-cart detections
+    and the settled recoveries.
     """
     from cartflow.operators.scoring import fixed_probability, predictions_from_probability
     from cartflow.operators.sessions import serving_features
@@ -252,6 +288,7 @@ def multi_sink(out: str, model_version: str = "fixed_logit_v1"):
             predictions_from_probability(scored, "_p", model_version).select("*", tag) \
                 .write.mode("append").parquet(f"{out}/predictions")
             abandonments_from_fold(batch).select("*", tag).write.mode("append").parquet(f"{out}/abandonments")
+            recoveries_from_fold(batch).select("*", tag).write.mode("append").parquet(f"{out}/recoveries")
         finally:
             batch.unpersist()
     return sink

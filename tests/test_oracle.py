@@ -30,7 +30,7 @@ def test_every_query_has_twin_or_is_rows_only():
     assert rows_only <= {"system_metrics", "feature_matrix", "stratified_split", "train_forest", "train_boosted",
                          "train_stacked", "feature_importance", "meta_weights", "compare_models",
                          "score_sessions", "save_load_model", "describe_columns", "write_keyed_json",
-                         "stream_predictions", "stream_abandonments"}
+                         "stream_predictions", "stream_abandonments", "stream_recoveries"}
 
 
 def test_entry_smoke(spark):
@@ -47,3 +47,10 @@ def test_stream_idle_detections_are_batch_detections(spark, small_dir):
     assert s and s <= b
     p = QUERIES["stream_predictions"](spark, small_dir)
     assert p.filter("risk_level IS NULL OR abandonment_probability IS NULL").count() == 0
+
+
+def test_stream_recoveries_equal_batch_rows(spark, small_dir):
+    cols = ["abandonment_event_id", "recovered", "recovery_time", "recovery_seconds", "recovery_value"]
+    s = {tuple(r) for r in QUERIES["stream_recoveries"](spark, small_dir).select(*cols).collect()}
+    b = {tuple(r) for r in QUERIES["attribute_recovery"](spark, small_dir).select(*cols).collect()}
+    assert s and s <= b
