@@ -1058,3 +1058,9 @@ def q_t7(spark, sf):
         return spark.createDataFrame([], "session_id string, abandonment_event_id long, abandonment_time timestamp, "
                                          "recovered boolean, recovery_time timestamp, recovery_seconds long, "
                                          "recovery_value double, _batch long")
+
+
+@register("list_views")
+def q_s13b(spark, sf):
+    TB.register_views(sessions(spark, sf))
+    return TB.list_views(spark, "v_")

@@ -145,6 +145,17 @@ def list_views(spark: SparkSession, prefix: str = "v_") -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "table_name string")
 
 
+def register_views(sess: DataFrame) -> list[str]:
+    """The three analytical views over the session table, as temp views."""
+    from cartflow.operators import reports as R
+    views = {"v_cart_abandonment_analysis": R.abandonment_detail(sess),
+             "v_conversion_funnel": R.conversion_funnel_daily(sess),
+             "v_abandonment_reasons": R.abandonment_reasons(sess)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
+
+
 def purge_older_than(df: DataFrame, ts_col: str, days: int, as_of: str) -> DataFrame:
     """Keep the last ``days`` days before ``as_of``."""
     return df.filter(since(ts_col, days * 24, as_of))
