@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from cartflow.operators import sessions as S
 from cartflow.operators.outcomes import attribute_recovery, detect_abandonment, label_outcomes
-from cartflow.operators.scoring import risk_levels  # noqa: F401
 from cartflow.operators.sessionize import sessionize
 from cartflow.functions.exprs import risk_level
 from cartflow.sources.events import decode_events, validate_events
