@@ -46,9 +46,33 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
             except Exception:  # static conf of an existing session
                 pass
     spark.sparkContext.setLogLevel("WARN")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cartflow`` importable on executors (Python workers do not see the
+    driver's ``sys.path``): zip the package once and ``addPyFile`` it."""
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="cartflow-pkg-"), "cartflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """Shared folder for materialised tables and checkpoints.
 
