@@ -175,30 +175,32 @@ def _f(x):
 
 def exchange(after: np.ndarray, before: np.ndarray, cls: np.ndarray, moves: np.ndarray, classes: int,
              chunk: int = 64) -> np.ndarray:
-    """New classes of words, most frequent first, by exact likelihood gain against the running class bigrams.
+    """New classes of words, most frequent first, by the exact gain of each move.
 
     ``after`` and ``before`` hold each word's counts of neighbouring classes.
+    The neighbours keep their old classes for the round, so a move changes one
+    row of the counts (new class, class after) and of (new class, class
+    before), and every move raises the likelihood of both.
     """
-    m, cls = moves.astype(float).copy(), cls.astype(np.int64).copy()
+    follow, lead = moves[:classes].astype(float), moves.T[:classes].astype(float)
+    cls = cls.astype(np.int64).copy()
     order = np.argsort(-after.sum(axis=1), kind="stable")
-    for i in range(0, len(order), chunk):
-        w = order[i:i + chunk]
-        r, left, old = after[w].astype(float), before[w].astype(float), cls[w]
-        n, k = r.sum(axis=1), np.arange(len(w))
-        # Without the word, its own class's row and column are smaller.
-        rows = np.repeat(m[None, :classes], len(w), axis=0)
-        cols = np.repeat(m.T[None, :classes], len(w), axis=0)
-        rows[k, old] = np.maximum(rows[k, old] - r, 0)
-        cols[k, old] = np.maximum(cols[k, old] - left, 0)
-        out, into = rows.sum(axis=2), cols.sum(axis=2)
-        gain = (_f(rows + r[:, None]) - _f(rows)).sum(axis=2) + (_f(cols + left[:, None]) - _f(cols)).sum(axis=2) \
-            - (_f(out + n[:, None]) - _f(out)) - (_f(into + n[:, None]) - _f(into))
+    i = 0
+    while i < len(order):
+        w = order[i:i + min(chunk, 1 + i // 16)]  # the most frequent words one by one
+        i += len(w)
+        old, k = cls[w], np.arange(len(w))
+        gain = 0.0
+        for table, own in ((follow, after[w].astype(float)), (lead, before[w].astype(float))):
+            rest = np.repeat(table[None], len(w), axis=0)
+            rest[k, old] = np.maximum(rest[k, old] - own, 0)
+            total, n = rest.sum(axis=2), own.sum(axis=1)[:, None]
+            gain = gain + (_f(rest + own[:, None]) - _f(rest)).sum(axis=2) - _f(total + n) + _f(total)
         new = np.where(gain.max(axis=1) > gain[k, old] + 1e-6, gain.argmax(axis=1), old)
         for j in np.flatnonzero(new != old).tolist():
-            m[old[j]] = np.maximum(m[old[j]] - r[j], 0)
-            m[:, old[j]] = np.maximum(m[:, old[j]] - left[j], 0)
-            m[new[j]] += r[j]
-            m[:, new[j]] += left[j]
+            for table, own in ((follow, after[w[j]]), (lead, before[w[j]])):
+                table[old[j]] = np.maximum(table[old[j]] - own, 0)
+                table[new[j]] += own
         cls[w] = new
     return cls.astype(np.uint8)
 

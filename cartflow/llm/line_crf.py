@@ -143,7 +143,8 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS):
                           & (F.coalesce(id_remainder(F.col("doc_id"), 3), F.lit(1)) != 1))
     chosen = usable.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("label")) \
         .orderBy(F.xxhash64("id"), "id").limit(train_docs)
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")) \
+        .select("doc_id", "text", "label")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
