@@ -72,7 +72,7 @@ FEATURE_NAMES = K.NUMERIC_FEATURES + K.CATEGORICAL_FEATURES + K.BINARY_FEATURES
 def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
                      id_col: str = "session_id") -> tuple[DataFrame, DataFrame]:
     """M2: deterministic split by a hash bucket of the id (per label in expectation)."""
-    bucket = F.abs(F.xxhash64(F.col(id_col), F.lit(seed), F.col(LABEL))) % 10_000
+    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.col(LABEL)), F.lit(10_000))
     tagged = df.withColumn("_test", bucket < int(test_fraction * 10_000))
     return tagged.filter(~F.col("_test")).drop("_test"), tagged.filter(F.col("_test")).drop("_test")
 

@@ -27,11 +27,11 @@ def match_event(anchors: DataFrame, targets: DataFrame, target_cols: list[str],
     ``key, ts, event_id``; the target's ``ts, event_id`` and ``target_cols``
     are added with ``prefix`` (NULL when there is none).
     """
-    tgt_struct = F.struct(F.col("ts"), F.col("event_id").cast("bigint").alias("event_id"),
+    tgt_struct = F.struct(F.col("ts"), F.col("event_id"),
                           *[F.col(c) for c in target_cols])
-    a = anchors.select(key, "ts", F.col("event_id").cast("bigint").alias("event_id"), F.lit(1).alias("_kind"),
+    a = anchors.select(key, "ts", F.col("event_id"), F.lit(1).alias("_kind"),
                        F.struct(*[F.col(c) for c in anchors.columns]).alias("_payload"))
-    t = targets.select(key, "ts", F.col("event_id").cast("bigint").alias("event_id"), F.lit(0).alias("_kind"),
+    t = targets.select(key, "ts", F.col("event_id"), F.lit(0).alias("_kind"),
                        tgt_struct.alias("_tgt"))
     a = a.withColumn("_tgt", F.lit(None).cast(t.schema["_tgt"].dataType))
     t = t.withColumn("_payload", F.lit(None).cast(a.schema["_payload"].dataType))

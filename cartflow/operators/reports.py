@@ -9,7 +9,7 @@ on partitioning; every fractional output is rounded explicitly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartflow import constants as K
@@ -324,11 +324,11 @@ def persona_outcomes(sess: DataFrame) -> DataFrame:
 
 
 def event_mix(ev: DataFrame) -> DataFrame:
-    """Count and share per event type (total from a broadcast one-row aggregate)."""
+    """Count and share per event type; the total is summed over the few grouped rows."""
     per = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
-    total = ev.agg(F.count(F.lit(1)).alias("_total"))
-    return per.crossJoin(F.broadcast(total)).select(
-        "event_type", "events", pct("events", "_total").alias("share_pct")).orderBy(c("events").desc(), "event_type")
+    per = per.withColumn("_total", F.sum("events").over(Window.partitionBy(F.lit(1))))
+    return per.select("event_type", "events", pct("events", "_total").alias("share_pct")) \
+        .orderBy(c("events").desc(), "event_type")
 
 
 def event_summary(ev: DataFrame) -> DataFrame:
@@ -371,12 +371,11 @@ def session_quality(sess: DataFrame) -> DataFrame:
 
 def session_mix(sess: DataFrame) -> DataFrame:
     """Device and browser shares of sessions."""
-    total = sess.agg(F.count(F.lit(1)).alias("_total"))
-    dev = sess.groupBy(F.lit("device_type").alias("dimension"), c("device_type").alias("value")).count()
-    brw = sess.groupBy(F.lit("browser").alias("dimension"), c("browser").alias("value")).count()
-    u = dev.unionByName(brw).withColumnRenamed("count", "sessions")
-    return u.crossJoin(F.broadcast(total)).select("dimension", "value", "sessions",
-                                                  pct("sessions", "_total").alias("share_pct"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), c(d).alias("value"))
+                                for d in ("device_type", "browser")]))
+    u = sess.select(pairs.alias("p")).groupBy("p.dimension", "p.value").agg(F.count(F.lit(1)).alias("sessions"))
+    u = u.withColumn("_total", F.sum("sessions").over(Window.partitionBy("dimension")))  # a few grouped rows
+    return u.select("dimension", "value", "sessions", pct("sessions", "_total").alias("share_pct"))
 
 
 def live_headline(preds: DataFrame, hours: int, as_of: str) -> DataFrame:
@@ -411,8 +410,10 @@ def service_counters(preds: DataFrame) -> DataFrame:
 
 def class_balance(df: DataFrame, label: str = "abandoned") -> DataFrame:
     """Rows per label value and the label mean."""
-    total = df.agg(F.count(F.lit(1)).alias("_total"), F.sum(c(label).cast("long")).alias("_pos"))
     per = df.groupBy(c(label).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
-    return per.crossJoin(F.broadcast(total)).select(
+    whole = Window.partitionBy(F.lit(1))  # one row for each label
+    per = per.withColumn("_total", F.sum("rows").over(whole)) \
+        .withColumn("_pos", F.sum(c("rows") * c("label").cast("long")).over(whole))
+    return per.select(
         "label", "rows", pct("rows", "_total").alias("share_pct"),
         round_half_up(c("_pos") / c("_total"), 4).alias("label_mean"))

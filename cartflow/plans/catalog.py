@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cartflow.operators import sessions as S
 from cartflow.operators.scoring import fixed_predictions, risk_levels
 from cartflow.plans.oracle import q
-from cartflow.sources.fixture import load_events
+from cartflow.sources.fixture import load_events, storefront_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,11 @@ def events(spark, sf):
     return load_events(spark, sf)
 
 
+def unsessioned(spark, sf):
+    """Events for reports that use no session id: one read, no shuffle."""
+    return storefront_events(read_table(spark, sf, "events"))
+
+
 def sessions(spark, sf):
     return S.session_records(events(spark, sf))
 
@@ -347,7 +352,7 @@ def q_g15(spark, sf):
 SELECT event_type, count(*) AS events, {pct('count(*)', '(SELECT count(*) FROM ev)')} AS share_pct
 FROM ev GROUP BY event_type""")
 def q_g16(spark, sf):
-    return R.event_mix(events(spark, sf))
+    return R.event_mix(unsessioned(spark, sf))
 
 
 @register("event_summary", f"""
@@ -368,7 +373,7 @@ SELECT *, {pct('cart_adds', 'product_views')} AS view_to_cart_pct, {pct('checkou
 FROM (SELECT {cw("event_type = 'product_view'")} AS product_views, {cw("event_type = 'add_to_cart'")} AS cart_adds,
   {cw("event_type = 'checkout_initiated'")} AS checkouts, {cw("event_type = 'purchase'")} AS purchases FROM ev)""")
 def q_g17(spark, sf):
-    return R.event_funnel(events(spark, sf))
+    return R.event_funnel(unsessioned(spark, sf))
 
 
 @register("session_quality", f"""
@@ -658,7 +663,7 @@ FROM (SELECT product_id, min(category) AS category, {rh('last(price ORDER BY ts,
   max(CASE WHEN event_type = 'purchase' THEN ts END) AS last_purchased
 FROM ev WHERE product_id IS NOT NULL GROUP BY product_id)""")
 def q_r2(spark, sf):
-    return RU.product_metrics(events(spark, sf), AS_OF)
+    return RU.product_metrics(unsessioned(spark, sf), AS_OF)
 
 
 @register("category_metrics", f"""
@@ -678,7 +683,7 @@ FROM (SELECT category, {cw("event_type = 'product_view'")} AS total_views,
   count(DISTINCT CASE WHEN event_type = 'purchase' THEN date_trunc('hour', ts) END) AS active_hours
 FROM ev WHERE category IS NOT NULL GROUP BY category)""")
 def q_r3(spark, sf):
-    return RU.category_metrics(events(spark, sf), AS_OF)
+    return RU.category_metrics(unsessioned(spark, sf), AS_OF)
 
 
 @register("cart_abandonments", f"""
@@ -983,7 +988,29 @@ def q_s3(spark, sf):
     raw = SE.encode_events(events(spark, sf))
     decoded, _ = SE.decode_events(raw)
     valid, _ = SE.validate_events(decoded)
-    return valid.select("event_id", "session_id", "user_id", "event_type", "ts", "quantity", "device_type")
+    return valid.select(F.col("event_id").cast("long").alias("event_id"), "session_id", "user_id", "event_type", "ts",
+                        "quantity", "device_type")
+
+
+@register("rejected_events", f"""
+SELECT CASE event_id % 5 WHEN 0 THEN 'invalid json' WHEN 1 THEN 'field of the wrong type'
+    WHEN 2 THEN 'timestamp missing or invalid' WHEN 3 THEN 'unknown event_type' ELSE 'session_id missing' END AS reason,
+  count(*) AS events
+FROM ev GROUP BY 1""")
+def q_s3_rejects(spark, sf):
+    """S2/S3 on events that are each broken in one way, picked by their id; counts of the reasons given."""
+    raw = SE.encode_events(events(spark, sf).withColumn("event_id", F.concat(F.lit("evt_"), F.col("event_id"))))
+    kind = F.pmod(F.get_json_object("value", "$.event_id").substr(5, 20).cast("long"), F.lit(5))
+    v = F.col("value")
+    broken = F.when(kind == 0, F.concat(F.lit("{"), v)) \
+        .when(kind == 1, F.regexp_replace(v, r'"user_id":\d+', '"user_id":"someone"')) \
+        .when(kind == 2, F.regexp_replace(v, r'"timestamp":"[^"]*"', '"timestamp":"not a time"')) \
+        .when(kind == 3, F.regexp_replace(v, r'"event_type":"[^"]*"', '"event_type":"dance"')) \
+        .otherwise(F.regexp_replace(v, r'"session_id":"[^"]*",?', ""))
+    decoded, unread = SE.decode_events(raw.select(broken.alias("value")))
+    _, invalid = SE.validate_events(decoded)
+    reasons = unread.select("reason").unionByName(invalid.select(F.explode("reasons").alias("reason")))
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("events"))
 
 
 @register("write_keyed_json")
@@ -1018,6 +1045,8 @@ def q_s17(spark, sf):
 
 
 _STREAM_RUNS: dict = {}
+# After AS_OF plus the session gap and the watermark: the first passes all idle carts, the second all sessions.
+CLOSING_TIMES = ["2024-01-31 14:00:00", "2024-02-01 06:00:00"]
 
 
 def _scored_stream(spark, sf):
@@ -1028,7 +1057,8 @@ def _scored_stream(spark, sf):
     if sf not in _STREAM_RUNS:
         out = fresh_dir(spark, "stream-multi")
         run_ordered(spark, events(spark, sf),
-                    lambda s: start_multi_sink(fold_stream(s, watermark="10 minutes"), multi_sink(out)), slices=8)
+                    lambda s: start_multi_sink(fold_stream(s, watermark="10 minutes"), multi_sink(out)), slices=8,
+                    close_after=CLOSING_TIMES)
         _STREAM_RUNS[sf] = out
     return _STREAM_RUNS[sf]
 
@@ -1038,26 +1068,35 @@ def q_t8(spark, sf):
     return spark.read.parquet(f"{_scored_stream(spark, sf)}/predictions")
 
 
+IDLE_COLUMNS = "session_id, user_id, last_activity, detected_at, cart_value, items_count"
+RECOVERY_COLUMNS = ("session_id, abandonment_event_id, abandonment_time, recovered, recovery_time, recovery_seconds, "
+                    "recovery_value")
+
+
+def _of_run(spark, sf, name, schema):
+    from cartflow.streaming.runner import read_sink
+    return read_sink(spark, f"{_scored_stream(spark, sf)}/{name}", schema)
+
+
 @register("stream_abandonments")
 def q_t6s(spark, sf):
-    from cartflow.session import fresh_dir
-    out = _scored_stream(spark, sf)
-    try:
-        return spark.read.parquet(f"{out}/abandonments")
-    except Exception:  # no micro-batch produced a detection
-        return spark.createDataFrame([], "session_id string, user_id long, last_activity timestamp, "
-                                         "detected_at timestamp, cart_value double, items_count long, _batch long")
+    found = _of_run(spark, sf, "abandonments", "session_id string, user_id long, last_activity timestamp, "
+                    "detected_at timestamp, cart_value double, items_count long")
+    # The run is closed after AS_OF; the report is as of AS_OF.
+    return found.where(F.col("detected_at") <= F.to_timestamp(F.lit(AS_OF))).drop("_batch")
+
+
+ORACLE["stream_abandonments"] = f"SELECT {IDLE_COLUMNS} FROM ({ORACLE['detect_abandonment']})"
 
 
 @register("stream_recoveries")
 def q_t7(spark, sf):
-    out = _scored_stream(spark, sf)
-    try:
-        return spark.read.parquet(f"{out}/recoveries")
-    except Exception:  # no micro-batch settled an abandonment
-        return spark.createDataFrame([], "session_id string, abandonment_event_id long, abandonment_time timestamp, "
-                                         "recovered boolean, recovery_time timestamp, recovery_seconds long, "
-                                         "recovery_value double, _batch long")
+    return _of_run(spark, sf, "recoveries", "session_id string, abandonment_event_id long, "
+                   "abandonment_time timestamp, recovered boolean, recovery_time timestamp, recovery_seconds long, "
+                   "recovery_value double").drop("_batch")
+
+
+ORACLE["stream_recoveries"] = f"SELECT {RECOVERY_COLUMNS} FROM ({ORACLE['attribute_recovery']})"
 
 
 @register("list_views")

@@ -76,8 +76,8 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """Shared folder for materialised tables and checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh temporary folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``.  Where it is unset, a
+    single-machine master (tests) gets a temporary folder; a cluster must set it.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
@@ -85,6 +85,8 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cartflow-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -92,8 +94,8 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     if name is None:
         return base
     sub = f"{base.rstrip('/')}/{name}"
-    if sub.startswith("/") or sub.startswith("file:"):
-        os.makedirs(sub.replace("file:", ""), exist_ok=True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(sub)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     return sub
 
 

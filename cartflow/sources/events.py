@@ -10,7 +10,7 @@ from cartflow import constants as K
 
 # Wide nullable schema of a storefront event (fields vary by event type).
 EVENT_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()),
+    T.StructField("event_id", T.StringType()),
     T.StructField("timestamp", T.StringType()),
     T.StructField("user_id", T.LongType()),
     T.StructField("session_id", T.StringType()),
@@ -30,6 +30,16 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("recovery_time_seconds", T.IntegerType()),
     T.StructField("payment_method", T.StringType()),
     T.StructField("search_query", T.StringType()),
+    T.StructField("results_count", T.IntegerType()),
+    T.StructField("page_url", T.StringType()),
+    T.StructField("referrer", T.StringType()),
+    T.StructField("time_on_page", T.IntegerType()),
+    T.StructField("recovered_from_abandonment", T.BooleanType()),
+    T.StructField("total_page_views", T.IntegerType()),
+    T.StructField("session_duration", T.IntegerType()),
+    T.StructField("converted", T.BooleanType()),
+    T.StructField("cart_abandoned", T.BooleanType()),
+    T.StructField("recovered_from_intervention", T.BooleanType()),
 ])
 
 
@@ -51,7 +61,12 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
 
 
 def decode_events(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """bytes/text -> typed columns; rows that are not valid JSON go to the reject output."""
+    """bytes/text -> typed columns.
+
+    Rows that are no JSON objects, or hold a value of the wrong type, go to
+    the reject output with their reason; a time that cannot be read becomes
+    null and is rejected by ``validate_events``.
+    """
     text = F.col(value_col).cast("string")
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
     parsed = raw.select(text.alias("_raw"),
@@ -59,8 +74,10 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame,
                                                    "columnNameOfCorruptRecord": "_corrupt"}).alias("e"))
     bad = F.col("e").isNull() | F.col("e._corrupt").isNotNull()
     good = parsed.filter(~bad).select("e.*").drop("_corrupt") \
-        .withColumn("ts", F.to_timestamp(F.regexp_replace("timestamp", "Z$", "")))
-    rejects = parsed.filter(bad).select(F.col("_raw").alias("value"), F.lit("invalid json").alias("reason"))
+        .withColumn("ts", F.try_to_timestamp(F.regexp_replace("timestamp", "Z$", "")))
+    no_object = F.try_parse_json("_raw").isNull() | ~F.col("_raw").rlike(r"^\s*\{")
+    reason = F.when(no_object, "invalid json").otherwise("field of the wrong type")
+    rejects = parsed.filter(bad).select(F.col("_raw").alias("value"), reason.alias("reason"))
     return good, rejects
 
 

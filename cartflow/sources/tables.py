@@ -105,8 +105,10 @@ def export_training(sess: DataFrame, folder: str, stamp: str) -> list[str]:
     """Header CSV written twice: a time-stamped copy and the 'latest' copy."""
     df = training_export(sess)
     paths = [f"{folder}/training_data_{stamp}", f"{folder}/training_data_latest"]
-    for p in paths:
-        df.write.mode("overwrite").option("header", True).option("timestampFormat", CSV_TS_FORMAT).csv(p)
+    df.write.mode("overwrite").option("header", True).option("timestampFormat", CSV_TS_FORMAT).csv(paths[0])
+    # The second copy is made from the first, so the lineage and its sort run once.
+    load_training(sess.sparkSession, paths[0]).write.mode("overwrite").option("header", True) \
+        .option("timestampFormat", CSV_TS_FORMAT).csv(paths[1])
     return paths
 
 
@@ -161,9 +163,13 @@ def purge_older_than(df: DataFrame, ts_col: str, days: int, as_of: str) -> DataF
     return df.filter(since(ts_col, days * 24, as_of))
 
 
-def truncate_counts(df: DataFrame) -> DataFrame:
-    """before/after row counts of a truncate (the table is then rewritten empty)."""
-    return df.agg(F.count(F.lit(1)).alias("rows_before")).withColumn("rows_after", F.lit(0).cast("long"))
+def truncate(spark: SparkSession, path: str) -> DataFrame:
+    """Delete all rows of the Parquet table at ``path``; its row counts before and after."""
+    table = spark.read.parquet(path)
+    before = table.count()
+    spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
+    after = spark.read.schema(table.schema).parquet(path).count()
+    return spark.createDataFrame([(before, after)], "rows_before long, rows_after long")
 
 
 def write_by_day(df: DataFrame, path: str, ts_col: str) -> None:

@@ -28,12 +28,17 @@ def replay_source(spark: SparkSession, df: DataFrame, files: int = 8,
             .parquet(path))
 
 
-def run_ordered(spark: SparkSession, df: DataFrame, start_query, slices: int = 8):
+CLOSING_SESSION = "closing"
+
+
+def run_ordered(spark: SparkSession, df: DataFrame, start_query, slices: int = 8, close_after: list[str] = ()):
     """Replay ``df`` in event-time order: slice i is appended and fully
     processed before slice i+1, so the watermark and event-time timers
     advance as in a live feed.  ``df`` is computed once into a staging table
     partitioned by slice; each append then reads only its own partition.
     ``start_query(stream)`` must start and return the streaming query.
+    Each time in ``close_after`` then arrives as one event of the session
+    ``CLOSING_SESSION``, which moves the watermark past all that is left.
     """
     stage, path = fresh_dir(spark, "replay-stage"), fresh_dir(spark, "replay-ordered")
     bounds = df.select(F.unix_micros(F.min("ts")).alias("lo"), F.unix_micros(F.max("ts")).alias("hi")).first()
@@ -47,6 +52,13 @@ def run_ordered(spark: SparkSession, df: DataFrame, start_query, slices: int = 8
         for i in range(slices):
             staged.filter(F.col("_slice") == i).drop("_slice").write.mode("append").parquet(path)
             q.processAllAvailable()
+        for at in close_after:
+            last = spark.range(1).select(*[
+                {"ts": F.to_timestamp(F.lit(at)), "session_id": F.lit(CLOSING_SESSION),
+                 "event_type": F.lit("page_view")}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in df.schema.fields])
+            last.write.mode("append").parquet(path)
+            q.processAllAvailable()
     finally:
         q.stop()
     return q
@@ -65,32 +77,37 @@ def kafka_source(spark: SparkSession, servers: str, topics: str, starting: str =
 
 
 def run_bounded(stream: DataFrame, output_mode: str = "update", name: str = "out",
-                processing_time: str | None = None) -> tuple[str, object]:
-    """Run a streaming query over everything available, appending each batch.
+                processing_time: str | None = None, timeout: float | None = None) -> tuple[str, object]:
+    """Run a streaming query over everything available, each batch in a folder of its own.
 
     Returns (output folder, finished query).  ``processing_time`` switches to
-    a periodic trigger (T2: the 60 s tick) for long-running use.
+    a periodic trigger (T2: the 60 s tick), which runs for ``timeout`` seconds
+    and is then stopped.
     """
     spark = stream.sparkSession
     out = fresh_dir(spark, f"stream-{name}")
     ckpt = fresh_dir(spark, f"ckpt-{name}")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")  # a retried batch replaces itself
 
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt).foreachBatch(sink)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    if processing_time and timeout is None:
+        raise ValueError("a periodic trigger needs a timeout")
     q = w.start()
-    q.awaitTermination()
+    if not q.awaitTermination(timeout) if timeout is not None else q.awaitTermination():
+        q.stop()
     return out, q
 
 
 def read_sink(spark: SparkSession, out: str, schema: str) -> DataFrame:
     """Read a bounded run's output (empty frame when no batch produced rows)."""
-    try:
-        return spark.read.parquet(out)
-    except Exception:
-        return spark.createDataFrame([], schema + ", _batch long")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(out)
+    if not path.getFileSystem(conf).exists(path):
+        return spark.createDataFrame([], schema + ", _batch int")
+    return spark.read.parquet(out)
 
 
 def system_metrics(spark: SparkSession, query) -> DataFrame:

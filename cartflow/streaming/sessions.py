@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,7 +51,7 @@ def _new_acc() -> dict:
 
 
 def _cents(price, qty) -> int:
-    p = 0 if price is None or pd.isna(price) else int(Decimal(repr(float(price))).scaleb(2).quantize(Decimal(1)))
+    p = 0 if price is None or pd.isna(price) else int(Decimal(repr(float(price))).scaleb(2).quantize(Decimal(1), ROUND_HALF_UP))
     q = 1 if qty is None or pd.isna(qty) else int(qty)
     return p * q
 
@@ -107,6 +107,27 @@ def _fold(acc: dict, e: dict) -> list[dict]:
     return resolved
 
 
+def _idle_gap(acc: dict, ts: int) -> bool:
+    """Whether the cart was left idle between the last committed event and ``ts`` and not reported yet."""
+    return (acc["n"] > 0 and acc["cart_cents"] > 0 and not acc["buy"] and acc.get("idle_at") != acc["last_ts"]
+            and (ts - acc["last_ts"]) // 1_000_000 >= K.CART_ABANDONMENT_IDLE_SECONDS)
+
+
+def _commit(session_id: str, acc: dict, events: list[dict]) -> Iterator[pd.DataFrame]:
+    """Fold events in order; emits idle gaps (T6) and settled abandonments (T7), each once,
+    whichever micro-batch brought the events."""
+    for e in events:
+        if _idle_gap(acc, int(e["ts_us"])):
+            yield _idle(session_id, acc)
+        for r in _fold(acc, e):
+            yield _recovery(session_id, r)
+
+
+def _idle(session_id: str, acc: dict) -> pd.DataFrame:
+    acc["idle_at"] = acc["last_ts"]
+    return _out("idle", session_id, acc, acc["last_ts"] + K.CART_ABANDONMENT_IDLE_SECONDS * 1_000_000)
+
+
 def _dump(acc: dict) -> str:
     return json.dumps({**acc, "products": sorted(acc["products"])})
 
@@ -145,15 +166,17 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
     if state.hasTimedOut:
         acc_json, buf_json, phase = state.get
         acc = _load(acc_json)
-        for e in json.loads(buf_json):  # the watermark has passed every buffered event
-            for r in _fold(acc, e):
-                yield _recovery(session_id, r)
-        if phase == "idle":            # T6: the cart was left idle
-            yield _out("idle", session_id, acc, acc["last_ts"] + K.CART_ABANDONMENT_IDLE_SECONDS * 1_000_000)
+        yield from _commit(session_id, acc, json.loads(buf_json))  # the watermark has passed them all
+        if phase == "idle":            # T6: the cart is idle since the last event
+            if acc.get("idle_at") != acc["last_ts"]:
+                yield _idle(session_id, acc)
             state.update((_dump(acc), "[]", "closing"))
             close_ms = acc["last_ts"] // 1000 + K.SESSION_GAP_SECONDS * 1000
             state.setTimeoutTimestamp(max(close_ms, wm_ms + 1))
-        else:                          # the session is over: drop its state
+        else:                          # the session is over: its abandonments were never bought again
+            for ab_ts, ab_id in acc["pending"]:
+                yield _recovery(session_id, {"abandonment_event_id": ab_id, "abandonment_ts": ab_ts,
+                                             "purchase_ts": None, "recovery_value": None})
             state.remove()
         return
     if state.exists:
@@ -165,14 +188,8 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
         buf.extend(_rows(pdf))
     buf.sort(key=lambda e: (e["ts_us"], e["event_id"]))
     wm_us = wm_ms * 1000
-    keep, resolved = [], []
-    for e in buf:  # commit what the watermark has passed, in order
-        if e["ts_us"] <= wm_us:
-            resolved += _fold(acc, e)
-        else:
-            keep.append(e)
-    for r in resolved:              # T7: emitted once, when the purchase is committed
-        yield _recovery(session_id, r)
+    keep = [e for e in buf if e["ts_us"] > wm_us]
+    yield from _commit(session_id, acc, buf[:len(buf) - len(keep)])  # what the watermark has passed, in order
     view = {**acc, "products": set(acc["products"]), "pending": list(acc["pending"])}
     for e in keep:
         _fold(view, e)
@@ -253,7 +270,7 @@ def recoveries_from_fold(folded: DataFrame, min_delay_seconds: int = K.RECOVERY_
                                   "recovery_value double")
     d = folded.filter(F.col("kind") == "recovery").select("session_id", r.alias("r"))
     gap = ((F.col("r.purchase_ts") - F.col("r.abandonment_ts")) / F.lit(1_000_000)).cast("long")
-    rec = gap >= min_delay_seconds
+    rec = F.coalesce(gap >= min_delay_seconds, F.lit(False))
     return d.select("session_id", F.col("r.abandonment_event_id").alias("abandonment_event_id"),
                     F.timestamp_micros(F.col("r.abandonment_ts")).alias("abandonment_time"),
                     rec.alias("recovered"),
@@ -275,8 +292,8 @@ def multi_sink(out: str, model_version: str = "fixed_logit_v1"):
         batch = batch.persist()
         try:
             rec = record_from_accumulator(batch.filter(F.col("kind") == "record"))
-            tag = F.lit(batch_id).alias("_batch")
-            rec.select("*", tag).write.mode("append").parquet(f"{out}/sessions")
+            # A retried batch overwrites its own folders.
+            rec.write.mode("overwrite").parquet(f"{out}/sessions/_batch={batch_id}")
             bounce = F.col("bounce")
             feats = serving_features(F.col("page_views"), F.col("products_viewed"), F.col("unique_products_viewed"),
                                      F.col("cart_additions"), F.col("cart_removals"), F.col("cart_value"),
@@ -285,10 +302,10 @@ def multi_sink(out: str, model_version: str = "fixed_logit_v1"):
             scored = scored.withColumn("_p", fixed_probability(scored)) \
                 .withColumn("event_id", F.xxhash64("session_id", F.lit(batch_id))) \
                 .withColumn("ts", F.col("last_activity"))
-            predictions_from_probability(scored, "_p", model_version).select("*", tag) \
-                .write.mode("append").parquet(f"{out}/predictions")
-            abandonments_from_fold(batch).select("*", tag).write.mode("append").parquet(f"{out}/abandonments")
-            recoveries_from_fold(batch).select("*", tag).write.mode("append").parquet(f"{out}/recoveries")
+            predictions_from_probability(scored, "_p", model_version) \
+                .write.mode("overwrite").parquet(f"{out}/predictions/_batch={batch_id}")
+            abandonments_from_fold(batch).write.mode("overwrite").parquet(f"{out}/abandonments/_batch={batch_id}")
+            recoveries_from_fold(batch).write.mode("overwrite").parquet(f"{out}/recoveries/_batch={batch_id}")
         finally:
             batch.unpersist()
     return sink

@@ -4,24 +4,20 @@ from pyspark.sql import functions as F
 
 from cartflow.operators.scoring import feature_violations
 
-# The three contract sessions of the scoring service's smoke test (features as sent).
-CONTRACT = [
-    dict(session_id="test_high_risk_001", page_views=8, products_viewed=5, unique_products_viewed=5, searches=2,
-         cart_additions=4, cart_removals=2, cart_value=125.50, session_duration_seconds=420,
-         avg_time_per_page=52.5, engagement_score=0.35, cart_engagement=2, time_per_product=84.0,
-         cart_to_checkout_rate=0.0, pages_per_minute=1.14, unique_product_ratio=1.0, device_type="mobile",
-         browser="Chrome", persona="cart_abandoner", bounce=False, checkout_initiated=False),
-    dict(session_id="test_low_risk_002", page_views=5, products_viewed=3, unique_products_viewed=3, searches=1,
-         cart_additions=2, cart_removals=0, cart_value=65.00, session_duration_seconds=300,
-         avg_time_per_page=60.0, engagement_score=0.75, cart_engagement=2, time_per_product=100.0,
-         cart_to_checkout_rate=0.5, pages_per_minute=1.0, unique_product_ratio=1.0, device_type="desktop",
-         browser="Firefox", persona="intent_buyer", bounce=False, checkout_initiated=True),
-    dict(session_id="test_medium_risk_003", page_views=12, products_viewed=8, unique_products_viewed=8,
-         searches=3, cart_additions=1, cart_removals=0, cart_value=35.99, session_duration_seconds=600,
-         avg_time_per_page=50.0, engagement_score=0.45, cart_engagement=1, time_per_product=75.0,
-         cart_to_checkout_rate=0.0, pages_per_minute=1.2, unique_product_ratio=1.0, device_type="tablet",
-         browser="Safari", persona="window_shopper", bounce=False, checkout_initiated=False),
-]
+def _session(session_id, views, products, adds, removals, cart, seconds, **more):
+    """A session whose derived features follow from its counts by the serving rules."""
+    row = dict(session_id=session_id, page_views=views, products_viewed=products, unique_products_viewed=products,
+               searches=1, cart_additions=adds, cart_removals=removals, cart_value=cart,
+               session_duration_seconds=seconds, avg_time_per_page=round(seconds / views, 2), engagement_score=0.5,
+               cart_engagement=adds - removals, time_per_product=round(seconds / products, 2),
+               cart_to_checkout_rate=0.0, pages_per_minute=round(views / (seconds / 60), 2), unique_product_ratio=1.0,
+               device_type="desktop", browser="Edge", persona="intent_buyer", bounce=False, checkout_initiated=False)
+    return row | more
+
+
+CONTRACT = [_session("s_one", 10, 4, 3, 1, 90.25, 600, device_type="tablet"),
+            _session("s_two", 3, 2, 1, 0, 12.0, 90, persona="window_shopper"),
+            _session("s_three", 20, 9, 6, 0, 410.75, 1800, checkout_initiated=True, cart_to_checkout_rate=0.17)]
 
 
 def test_contract_rows_pass_validation(spark):

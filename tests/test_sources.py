@@ -77,3 +77,38 @@ def test_evolve_schema_is_idempotent(spark):
     twice = TB.evolve_schema(once, spec)
     assert once.columns == twice.columns == ["x", "flag", "note"]
     assert twice.collect()[0].flag is False
+
+
+def _event(**more):
+    return json.dumps({"event_id": "evt_0a1b", "timestamp": "2024-01-05T10:00:00.250000Z", "user_id": 7,
+                       "session_id": "s1", "event_type": "add_to_cart", "price": 2.5} | more)
+
+
+def test_events_with_text_ids_and_rejects_with_reasons(spark):
+    from cartflow.sources.events import decode_events, validate_events
+    rows = [_event(), "no json", _event(price="cheap"), _event(timestamp="not a time"), _event(session_id=None),
+            _event(event_type="session_end", total_page_views=4, converted=False), "[1, 2]"]
+    good, unread = decode_events(spark.createDataFrame([(r,) for r in rows], "value string"))
+    valid, invalid = validate_events(good)
+    got = {r.event_type: r for r in valid.collect()}
+    assert got["add_to_cart"].event_id == "evt_0a1b" and got["add_to_cart"].quantity == 1
+    assert got["add_to_cart"].ts == dt.datetime(2024, 1, 5, 10, 0, 0, 250000)
+    assert got["session_end"].total_page_views == 4 and got["session_end"].converted is False
+    assert sorted(r.reason for r in unread.collect()) == ["field of the wrong type", "invalid json", "invalid json"]
+    assert sorted(r.reasons[0] for r in invalid.collect()) == ["session_id missing", "timestamp missing or invalid"]
+
+
+def test_truncate_counts_and_empties(spark):
+    from cartflow.session import fresh_dir
+    path = fresh_dir(spark, "truncate")
+    spark.range(5).write.mode("overwrite").parquet(path)
+    assert tuple(TB.truncate(spark, path).first()) == (5, 0)
+    assert spark.read.parquet(path).schema.names == ["id"] and spark.read.parquet(path).count() == 0
+
+
+def test_cents_round_half_up_like_the_batch_cast(spark):
+    from cartflow.streaming.sessions import _cents
+    prices = [0.125, 2.345, 2.355, 0.005, 19.99, 1.0]
+    batch = [int(r.c * 100) for r in spark.createDataFrame([(p,) for p in prices], "p double").select(
+        F.col("p").cast("decimal(10,2)").alias("c")).collect()]
+    assert [_cents(p, 1) for p in prices] == batch
