@@ -33,13 +33,14 @@ from .common import id_remainder, partitions, written
 CLASSES = 32
 MIN_COUNT = 20
 ROUNDS = 2
-BLOCK_BYTES = 24 << 20   # text in a block
+BLOCK_BYTES = 16 << 20   # text in a block
+SLICE = 1 << 19           # tokens of a block that are scored or counted together
 PRIOR = 5.0              # weight of the class frequencies in the transitions
 STATE = "kind string, block long, part int, code int, n long, blob binary"
 
 
 def pack(**arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+    return zstandard.ZstdCompressor(level=6).compress(pickle.dumps(arrays, protocol=5))
 
 
 def unpack(blob: bytes) -> dict:
@@ -52,6 +53,11 @@ def _frame(**columns) -> pd.DataFrame:
     return pd.DataFrame({k: v if isinstance(v, (list, np.ndarray)) else [v] * n for k, v in base.items()})
 
 
+def block_of(d: dict) -> "Block":
+    """The block in an unpacked row; its token numbers are kept as four planes of bytes."""
+    return Block(d["ids"], d["held"], d["ends"], np.ascontiguousarray(d["planes"].T).view(np.int32).ravel(), d["lows"])
+
+
 def first_class(words: list[bytes], classes: int) -> np.ndarray:
     return np.fromiter((zlib.adler32(w) % classes for w in words), dtype=np.uint8, count=len(words))
 
@@ -110,18 +116,31 @@ class Block:
 
     def profiles(self, cls: np.ndarray, size: int):
         """(word, context, count): contexts 0..size-1 are classes after the word, size..2 size-1 classes before it."""
-        before, after = self.neighbours(cls, size - 1)
         use = self.training()
         word = self.seq[use].astype(np.int64) * (2 * size)
-        code, n = np.unique(np.concatenate([word + after[use], word + size + before[use]]), return_counts=True)
+        found = [np.unique(word + side[use] + shift, return_counts=True)
+                 for side, shift in zip(self.neighbours(cls, size - 1)[::-1], (0, size))]
+        code = np.concatenate([c for c, _ in found])
+        order = np.argsort(code, kind="stable")
+        code, n = code[order], np.concatenate([n for _, n in found])[order]
         return code // (2 * size), (code % (2 * size)).astype(np.uint8), n.astype(np.int32)
 
+    def slices(self, tokens: int = SLICE) -> Iterator["Block"]:
+        """The block's documents a few at a time."""
+        start = 0
+        while start < len(self.ids):
+            base = self.ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(self.ends, base + tokens, side="right")))
+            yield Block(self.ids[start:stop], self.held[start:stop], self.ends[start:stop] - base,
+                        self.seq[base:self.ends[stop - 1]], self.lows)
+            start = stop
+
 
 def block_rows(number: int, block: Block, cls: np.ndarray, size: int, words: list[bytes] | None, profiles: bool,
                counts: np.ndarray | None = None) -> Iterator[pd.DataFrame]:
     """What a block hands on: itself, its class transitions, and for each part the words that belong there."""
     yield _frame(kind="block", block=number, blob=[pack(
-        ids=block.ids, held=block.held, ends=block.ends, seq=block.seq, lows=block.lows, cls=cls, counts=counts)])
+        ids=block.ids, held=block.held, ends=block.ends, planes=block.seq.view(np.uint8).reshape(-1, 4).T.copy(), lows=block.lows, cls=cls, counts=counts)])
     total = block.transitions(cls, size)
     code = np.flatnonzero(total)
     if len(code):
@@ -252,7 +271,7 @@ def spread(blocks: DataFrame, back: DataFrame, classes: int, profiles: bool) ->
         if not len(own):
             return _frame(kind=[])
         d = unpack(own.blob.iloc[0])
-        block = Block(d["ids"], d["held"], d["ends"], d["seq"], d["lows"])
+        block = block_of(d)
         parts = [unpack(x) for x in got.sort_values("part").blob]
         cls = np.concatenate([p["cls"] for p in parts]) if parts else np.zeros(0, np.uint8)
         counts = np.concatenate([p["counts"] for p in parts]) if parts else np.zeros(0, np.int64)
@@ -338,8 +357,8 @@ def score_documents(docs: DataFrame, classes: int = CLASSES, min_count: int = MI
         for b in batches:
             for blob in b.blob:
                 d = unpack(blob)
-                yield model.score(Block(d["ids"], d["held"], d["ends"], d["seq"], d["lows"]), d["cls"].astype(np.int64),
-                                  d["counts"])
+                for part in block_of(d).slices():
+                    yield model.score(part, d["cls"].astype(np.int64), d["counts"])
 
     scored = state.where("kind = 'block'").select("blob").mapInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
