@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 500_000  # pre-tokens kept by a worker before it starts afresh
+CACHE = 1_000_000  # pre-tokens kept by a worker before it starts afresh
 BYTE_CHARS = 0x100
 
 
@@ -120,10 +120,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit numbers, decoded as bytes from the ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from cartflow.llm import bpe  # the worker's own module keeps the coder from task to task
         key = (ranks_path, pattern)
-        if key not in _CODERS:
-            _CODERS[key] = ByteBpe(*key)
-        coder = _CODERS[key]
+        if key not in bpe._CODERS:
+            bpe._CODERS[key] = ByteBpe(*key)
+        coder = bpe._CODERS[key]
         for b in batches:
             for i in range(0, len(b), 500):
                 part = b.iloc[i:i + 500]

@@ -30,7 +30,7 @@ EM_ROUNDS = 3
 LONGEST = 8            # letters in a piece
 START = "▁"       # marks the beginning of a word, as in the vocabulary
 SHORT = 24             # letters of the words that are scored together
-CACHE = 300_000        # words kept by a worker before it starts afresh
+CACHE = 800_000        # words kept by a worker before it starts afresh
 
 # Multipliers of a word's characters in the hash of its pieces.
 POWERS = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(LONGEST + 1)], dtype=np.uint64)
@@ -242,10 +242,11 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text: str = "text")
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(*shared.value)
-        scorer = _SCORERS[key]
+        from cartflow.llm import langid  # the worker's own module keeps the scorer from task to task
+        if key not in langid._SCORERS:
+            langid._SCORERS.clear()
+            langid._SCORERS[key] = Scorer(*shared.value)
+        scorer = langid._SCORERS[key]
         for b in batches:
             for i in range(0, len(b), 500):
                 part = b.iloc[i:i + 500]

@@ -34,7 +34,7 @@ LANES = 1024
 STEPS = 256          # rounds between checkpoints
 BLOCK_TOKENS = 1 << 19
 NO_ID = -(1 << 63)   # stands for a null document id, before all others
-CACHE = 700_000      # pieces kept by a worker before it starts afresh
+CACHE = 1_400_000    # pieces kept by a worker before it starts afresh, about 300 MB
 
 TWO_SPACES = re.compile(r"\s\s")
 ANY_SPACE = re.compile(r"\s")
@@ -100,8 +100,10 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str
     """(doc_id, n_tokens, ids) with ``end_id`` appended; see ``pack_ids`` for ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _ENCODERS.setdefault(tokenizer_path, None) or PieceEncoder(tokenizer_path)
-        _ENCODERS[tokenizer_path] = enc
+        from cartflow.llm import rans  # the worker's own module keeps the encoder from task to task
+        if tokenizer_path not in rans._ENCODERS:
+            rans._ENCODERS[tokenizer_path] = PieceEncoder(tokenizer_path)
+        enc = rans._ENCODERS[tokenizer_path]
         end = np.array([end_id], dtype="<u4").tobytes()
         for b in batches:
             for i in range(0, len(b), 500):
