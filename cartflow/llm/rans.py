@@ -38,6 +38,8 @@ CACHE = 1_400_000    # pieces kept by a worker before it starts afresh, about 30
 
 TWO_SPACES = re.compile(r"\s\s")
 ANY_SPACE = re.compile(r"\s")
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"   # ASCII punctuation
+PLAIN = "\u0250"    # letters and digits before it are the same in every version of Unicode
 
 
 class PieceEncoder:
@@ -47,6 +49,8 @@ class PieceEncoder:
     break between non-spaces is a pre-token of its own.  So a text without two
     adjacent white-space characters is cut before its spaces and around its
     line breaks, and each distinct piece is encoded once.  Other texts go whole.
+    A pre-token does not run from a letter or digit into punctuation either, so
+    a word with closing marks takes the ids of the word and of the marks.
     """
 
     def __init__(self, path: str):
@@ -62,11 +66,28 @@ class PieceEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces, many to a text, one on each line."""
-        lone = [p for p in pieces if not p or ANY_SPACE.search(p, 1)]
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces, each distinct word and run of closing marks once."""
+        cut = []
+        need = set()
+        for p in pieces:
+            word = p.rstrip(MARKS)
+            if word and len(word) < len(p) and word[-1] < PLAIN and word[-1].isalnum():
+                marks = p[len(word):]
+                cut.append((p, word, marks))
+                need.update((word, marks))
+            else:
+                need.add(p)
+        self._merge(need.difference(self.cache))
+        known = self.cache
+        for p, word, marks in cut:
+            known[p] = known[word] + known[marks]
+
+    def _merge(self, pieces: set[str]) -> None:
+        """Encode pieces by the library, many to a text, one on each line."""
+        lone = [p for p in pieces if not p.strip() or ANY_SPACE.search(p, 1)]
         self.cache.update(zip(lone, self._ids(lone)))
-        rest = [p for p in pieces if p and not ANY_SPACE.search(p, 1)]
+        rest = [p for p in pieces if p.strip() and not ANY_SPACE.search(p, 1)]
         mark = np.frombuffer(self.newline, "<u4")[0]
         for i in range(0, len(rest), 4000):
             part = rest[i:i + 4000]
@@ -81,14 +102,16 @@ class PieceEncoder:
         """Little-endian 32-bit ids of each text."""
         if len(self.cache) > CACHE:
             self.cache = {}
-        cuts = [None if TWO_SPACES.search(t) else
-                [line.replace(" ", "\0 ").split("\0") for line in t.split("\n")]
-                if "\0" not in t else None for t in texts]
-        known = self.cache
-        self._learn(sorted({p for c in cuts if c for line in c for p in line if p not in known}))
+        cuts = [None if "\0" in t or TWO_SPACES.search(t) else
+                t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
+        pieces = set()
+        for c in cuts:
+            if c:
+                pieces.update(c)
+        self._learn(pieces.difference(self.cache))
         get = self.cache.__getitem__
         whole = iter(self._ids([t for t, c in zip(texts, cuts) if c is None]))
-        return [next(whole) if c is None else self.newline.join(b"".join(map(get, line)) for line in c) for c in cuts]
+        return [next(whole) if c is None else b"".join(map(get, c)) for c in cuts]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -179,10 +202,14 @@ class Coder:
         self.freq = slots.astype(np.uint64)
         self.cum = np.concatenate([[0], np.cumsum(slots)[:-1]]).astype(np.uint64) if len(slots) else self.freq
         self.symbol = np.repeat(np.arange(len(ids), dtype=np.int32), slots)
+        self.place = None  # of each id among ``ids``; large ids are searched for instead
+        if len(ids) and int(ids[-1]) < 1 << 24:
+            self.place = np.zeros(int(ids[-1]) + 1, dtype=np.int32)
+            self.place[ids] = np.arange(len(ids), dtype=np.int32)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, bytes]:
         """(payload words, checkpoints): the decoder reads the payload forwards."""
-        sym = np.searchsorted(self.ids, ids)
+        sym = np.searchsorted(self.ids, ids) if self.place is None else self.place[ids]
         rounds = -(-len(sym) // LANES)
         state = np.full(LANES, LOW, dtype=np.uint64)
         out: list[np.ndarray] = []
