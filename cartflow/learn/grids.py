@@ -1,13 +1,13 @@
 """Hyper-parameter grids.
 
-FIXED VALUES: the studied system's search spaces, mapped to Spark ML names
+FIXED VALUES: the studied system's search spaces for the forest and one of its two for boosted trees, mapped to Spark ML names
 (n_estimators -> numTrees / maxIter, max_depth -> maxDepth (None -> 30),
 max_features -> featureSubsetStrategy, learning_rate -> stepSize,
 subsample -> subsamplingRate, min_child_weight / min_samples_leaf ->
 minInstancesPerNode, gamma -> minInfoGain).  Options without a Spark
 counterpart (min_samples_split, bootstrap, colsample_bytree, reg_alpha,
 reg_lambda, num_leaves, min_child_samples) are listed in ``NO_SPARK_TWIN``.
-Class weighting ('balanced') is applied through a weight column instead.
+Class weighting (balanced or none) is the choice of a weight column.
 """
 
 FOREST_GRID = {
@@ -15,6 +15,7 @@ FOREST_GRID = {
     "maxDepth": [10, 20, 30],
     "minInstancesPerNode": [1, 2, 4],
     "featureSubsetStrategy": ["sqrt", "log2"],
+    "weightCol": ["balanced", "even"],
 }
 FOREST_FOLDS = 5
 
@@ -31,6 +32,6 @@ BOOSTED_FOLDS = 3
 NO_SPARK_TWIN = ["min_samples_split", "bootstrap", "colsample_bytree", "reg_alpha", "reg_lambda",
                  "num_leaves", "min_child_samples"]
 
-# Small grids for the registered queries and tests (2 x 2 combinations).
+# Ours: small grids for the registered queries and tests (2 x 2 combinations), with balanced weights.
 SMALL_FOREST_GRID = {"numTrees": [20, 50], "maxDepth": [5, 10]}
 SMALL_BOOSTED_GRID = {"maxIter": [10, 20], "maxDepth": [3, 5]}

@@ -26,19 +26,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow import constants as K
-from cartflow.functions.exprs import round_half_up
+from cartflow.functions.exprs import risk_confidence, round_half_up
+from cartflow.learn.grids import BOOSTED_FOLDS, BOOSTED_GRID, FOREST_FOLDS, FOREST_GRID
 from cartflow.operators.scoring import predictions_from_probability
+from cartflow.session import fresh_dir
 
 LABEL = "label"
 
 
 def training_frame(sess: DataFrame) -> DataFrame:
-    """C9 features with the names the models expect, plus the label."""
+    """C9 features with the names the models expect, plus the label, user and last activity (as ``ts``)."""
     c = F.col
     w = K.TRAIN_ENGAGEMENT_WEIGHTS
     dbl = lambda x: c(x).cast("double")
     return sess.select(
-        "session_id",
+        "session_id", "user_id", c("last_activity").alias("ts"),
         *[dbl(x).alias(x) for x in ["page_views", "products_viewed", "unique_products_viewed", "searches",
                                     "cart_additions", "cart_removals", "cart_value", "session_duration_seconds",
                                     "avg_time_per_page"]],
@@ -69,32 +71,58 @@ def feature_pipeline() -> list:
 FEATURE_NAMES = K.NUMERIC_FEATURES + K.CATEGORICAL_FEATURES + K.BINARY_FEATURES
 
 
+def id_bucket(id_col: str, seed: int, n: int) -> F.Column:
+    """0 to n-1 from the first 32 bits of md5('seed:id'), which SQL engines share."""
+    head = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col)).cast("binary")), 1, 8)
+    return F.pmod(F.conv(head, 16, 10).cast("long"), F.lit(n)).cast("int")
+
+
+def with_class_weights(train: DataFrame) -> DataFrame:
+    """``train`` with the weight columns a grid can choose from: ``balanced`` and ``even`` (1).
+
+    Balanced is rows / (labels * rows of the label); one row per label reaches the driver.
+    """
+    n = {r[LABEL]: r["n"] for r in train.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n")).collect()}
+    weight = F.lit(1.0)
+    for label, k in n.items():
+        weight = F.when(F.col(LABEL) == label, sum(n.values()) / (len(n) * k)).otherwise(weight)
+    return train.withColumn("balanced", weight).withColumn("even", F.lit(1.0))
+
+
 def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
                      id_col: str = "session_id") -> tuple[DataFrame, DataFrame]:
     """M2: deterministic split by a hash bucket of the id (per label in expectation)."""
-    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.col(LABEL)), F.lit(10_000))
+    bucket = id_bucket(id_col, seed, 10_000)
     tagged = df.withColumn("_test", bucket < int(test_fraction * 10_000))
     return tagged.filter(~F.col("_test")).drop("_test"), tagged.filter(F.col("_test")).drop("_test")
 
 
+def _stored(frame: DataFrame) -> DataFrame:
+    """``frame`` as a table in the shared folder, so that its many fits do not repeat its lineage."""
+    spark = frame.sparkSession
+    path = fresh_dir(spark, "training-frame")
+    frame.write.mode("overwrite").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def _f1_evaluator() -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction",
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
-def train_forest(train: DataFrame, grid: dict | None = None, folds: int = 5, seed: int = 42,
+def train_forest(train: DataFrame, grid: dict | None = None, folds: int = FOREST_FOLDS, seed: int = 42,
                  parallelism: int = 4) -> PipelineModel:
-    """M3: random forest chosen by cross-validated F1 of the abandoned class."""
-    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", seed=seed)
-    grid = grid or {"numTrees": [100], "maxDepth": [10]}
-    return _cross_validate(train, rf, grid, folds, seed, parallelism)
+    """M3: random forest chosen by cross-validated F1 of the abandoned class (all of ``FOREST_GRID`` by default)."""
+    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol="balanced", seed=seed)
+    grid = grid or FOREST_GRID
+    return _cross_validate(with_class_weights(train), rf, grid, folds, seed, parallelism)
 
 
-def train_boosted(train: DataFrame, grid: dict | None = None, folds: int = 3, seed: int = 42,
+def train_boosted(train: DataFrame, grid: dict | None = None, folds: int = BOOSTED_FOLDS, seed: int = 42,
                   parallelism: int = 4) -> PipelineModel:
-    """M4: gradient-boosted trees chosen by cross-validated F1."""
+    """M4: gradient-boosted trees chosen by cross-validated F1 (all of ``BOOSTED_GRID`` by default)."""
     gbt = GBTClassifier(labelCol=LABEL, featuresCol="features", seed=seed)
-    grid = grid or {"maxIter": [50], "maxDepth": [5], "stepSize": [0.1]}
+    grid = grid or BOOSTED_GRID
     return _cross_validate(train, gbt, grid, folds, seed, parallelism)
 
 
@@ -104,8 +132,8 @@ def _cross_validate(train: DataFrame, est, grid: dict, folds: int, seed: int, pa
         builder = builder.addGrid(est.getParam(name), list(values))
     pipe = Pipeline(stages=[*feature_pipeline(), est])
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=builder.build(), evaluator=_f1_evaluator(), numFolds=folds,
-                        seed=seed, parallelism=parallelism)
-    return cv.fit(train).bestModel
+                        foldCol="_fold", seed=seed, parallelism=parallelism)
+    return cv.fit(_stored(train.withColumn("_fold", id_bucket("session_id", seed + 1, folds)))).bestModel
 
 
 def positive_probability(pred: DataFrame, col: str = "probability") -> F.Column:
@@ -121,8 +149,7 @@ def train_stacked(train: DataFrame, bases: dict[str, object] | None = None, fold
     bases = bases or {"forest": RandomForestClassifier(labelCol=LABEL, featuresCol="features", seed=seed,
                                                        numTrees=50, maxDepth=8),
                       "boosted": GBTClassifier(labelCol=LABEL, featuresCol="features", seed=seed, maxIter=30)}
-    fold = (F.abs(F.xxhash64(F.col("session_id"), F.lit(seed + 1))) % folds).cast("int")
-    data = train.withColumn("_fold", fold)
+    data = _stored(train.withColumn("_fold", id_bucket("session_id", seed + 1, folds)))
     oof = None
     for k in range(folds):
         part = data.filter(F.col("_fold") == k).select("session_id", LABEL)
@@ -137,7 +164,7 @@ def train_stacked(train: DataFrame, bases: dict[str, object] | None = None, fold
     names = list(bases)
     meta = Pipeline(stages=[VectorAssembler(inputCols=[f"p_{n}" for n in names], outputCol="meta_features"),
                             LogisticRegression(labelCol=LABEL, featuresCol="meta_features", maxIter=1000)]).fit(oof)
-    full = {n: Pipeline(stages=[*feature_pipeline(), est.copy()]).fit(train) for n, est in bases.items()}
+    full = {n: Pipeline(stages=[*feature_pipeline(), est.copy()]).fit(data) for n, est in bases.items()}
     return full, meta, names
 
 
@@ -157,7 +184,7 @@ def evaluate(pred: DataFrame, model_name: str, prob_col: str = "probability") ->
         F.count_if((y == 1) & (yhat == 1)).alias("tp"), F.count_if((y == 0) & (yhat == 1)).alias("fp"),
         F.count_if((y == 0) & (yhat == 0)).alias("tn"), F.count_if((y == 1) & (yhat == 0)).alias("fn"))
     auc = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=prob_col,
-                                        metricName="areaUnderROC").evaluate(pred)
+                                        metricName="areaUnderROC", numBins=0).evaluate(pred)
     c = F.col
     prec = F.try_divide(c("tp").cast("double"), (c("tp") + c("fp")).cast("double"))
     rec = F.try_divide(c("tp").cast("double"), (c("tp") + c("fn")).cast("double"))
@@ -201,16 +228,14 @@ def compare_models(metrics: DataFrame) -> DataFrame:
 
 
 def score(features: DataFrame, model: PipelineModel, model_version: str = K.DEFAULT_MODEL_VERSION) -> DataFrame:
-    """M9: probability, flag, risk level, intervention per scored row (predictions shape)."""
+    """M9: probability, flag, risk level, intervention, confidence per row of ``training_frame`` (predictions shape).
+
+    The prediction's time is the session's last activity; its latency is NULL, as nothing serves a request here.
+    """
     t = model.transform(features)
-    t = t.withColumn("_p", round_half_up(positive_probability(t), 4))
-    if "event_id" not in t.columns:
-        t = t.withColumn("event_id", F.xxhash64("session_id"))
-    if "ts" not in t.columns:
-        t = t.withColumn("ts", F.current_timestamp())
-    if "user_id" not in t.columns:
-        t = t.withColumn("user_id", F.lit(None).cast("long"))
-    return predictions_from_probability(t, "_p", model_version)
+    t = t.withColumn("_p", round_half_up(positive_probability(t), 4)).withColumn("event_id", F.xxhash64("session_id"))
+    return predictions_from_probability(t, "_p", model_version) \
+        .withColumn("confidence", risk_confidence(F.col("abandonment_probability")))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

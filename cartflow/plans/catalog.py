@@ -800,7 +800,7 @@ def _fitted(spark, sf, kind):
     """Fitted models are memoised per process (driver-side model objects only)."""
     from cartflow.learn import grids as G
     from cartflow.learn import models as L
-    key = (sf, kind)
+    key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _MODELS:
         train, _ = _learn_data(spark, sf)
         if kind == "forest":
@@ -821,17 +821,59 @@ def _metrics(spark, sf, kind):
     return L.evaluate(_fitted(spark, sf, kind).transform(test), kind)
 
 
-@register("feature_matrix")
+TEST_ROW = "CAST('0x' || substr(md5('42:' || session_id), 1, 8) AS BIGINT) % 10000 < 2000"
+
+
+def _frame_sql():
+    """The training frame with its split, over the session table."""
+    w = K.TRAIN_ENGAGEMENT_WEIGHTS
+    counts = ["page_views", "products_viewed", "unique_products_viewed", "searches", "cart_additions", "cart_removals",
+              "cart_value", "session_duration_seconds", "avg_time_per_page"]
+    d = {x: f"CAST({x} AS DOUBLE)" for x in [*counts, "checkout_initiated"]}
+    d["checkout_initiated"] = "CAST(CAST(checkout_initiated AS INTEGER) AS DOUBLE)"
+    engaged = " + ".join(f"{d[x]} * CAST({w[x]} AS DOUBLE)" for x in ("page_views", "products_viewed", "searches"))
+    derived = {
+        "engagement_score": engaged, "cart_engagement": f"{d['cart_additions']} - {d['cart_removals']}",
+        "time_per_product": f"{d['session_duration_seconds']} / ({d['products_viewed']} + 1)",
+        "cart_to_checkout_rate": f"{d['checkout_initiated']} / ({d['cart_additions']} + 1)",
+        "pages_per_minute": f"{d['page_views']} / ({d['session_duration_seconds']} / CAST(60 AS DOUBLE) + 1)",
+        "unique_product_ratio": f"{d['unique_products_viewed']} / ({d['products_viewed']} + 1)"}
+    cols = [f"{d[x]} AS {x}" for x in counts] + [f"{e} AS {x}" for x, e in derived.items()]
+    cols += [f"COALESCE(CAST({x} AS VARCHAR), 'nan') AS {x}" for x in K.CATEGORICAL_FEATURES]
+    cols += [f"CAST(CAST({x} AS INTEGER) AS DOUBLE) AS {x}" for x in K.BINARY_FEATURES]
+    return (f"(SELECT session_id, {', '.join(cols)}, CAST(CAST(cart_value > 0 AND NOT is_converted AS INTEGER) AS DOUBLE)"
+            f" AS label, {TEST_ROW} AS is_test FROM sess)")
+
+
+def _matrix_sql():
+    f = _frame_sql()
+    moments = ", ".join(f"avg({x}) AS m_{x}, stddev_samp({x}) AS s_{x}" for x in K.NUMERIC_FEATURES)
+    cols = [rh(f"CASE WHEN s_{x} > 0 THEN ({x} - m_{x}) / s_{x} ELSE 0 END", 6) + f" AS {x}"
+            for x in K.NUMERIC_FEATURES]
+    kinds = ", ".join(f"list_sort(list(DISTINCT {x})) AS l_{x}" for x in K.CATEGORICAL_FEATURES)
+    cols += [f"CAST(COALESCE(list_position(l_{x}, {x}) - 1, len(l_{x})) AS DOUBLE) AS {x}"
+             for x in K.CATEGORICAL_FEATURES]
+    return (f"SELECT session_id, label, {', '.join([*cols, *K.BINARY_FEATURES])} FROM {f} f, "
+            f"(SELECT {moments}, {kinds} FROM {f} WHERE NOT is_test) m")
+
+
+@register("feature_matrix", _matrix_sql())
 def q_m1(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
+    from cartflow.functions.exprs import round_half_up
     from cartflow.learn import models as L
     train, test = _learn_data(spark, sf)
     model = Pipeline(stages=L.feature_pipeline()).fit(train)
-    return model.transform(test).select("session_id", vector_to_array("features").alias("features"), "label")
+    out = model.transform(train.unionByName(test)).withColumn("_f", vector_to_array("features"))
+    cols = [round_half_up(F.col("_f")[i], 6) if x in K.NUMERIC_FEATURES else F.col("_f")[i]
+            for i, x in enumerate(L.FEATURE_NAMES)]
+    return out.select("session_id", "label", *[c.alias(x) for c, x in zip(cols, L.FEATURE_NAMES)])
 
 
-@register("stratified_split")
+@register("stratified_split", f"""
+SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, label, count(*) AS rows
+FROM {_frame_sql()} GROUP BY ALL""")
 def q_m2(spark, sf):
     train, test = _learn_data(spark, sf)
     t = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
@@ -874,11 +916,16 @@ def q_m8(spark, sf):
     return L.compare_models(m)
 
 
+def _with_cart(spark, sf):
+    """P5: every session with something in its cart."""
+    from cartflow.learn import models as L
+    return L.training_frame(sessions(spark, sf)).where("cart_value > 0")
+
+
 @register("score_sessions")
 def q_m9(spark, sf):
     from cartflow.learn import models as L
-    _, test = _learn_data(spark, sf)
-    return L.score(test, _fitted(spark, sf, "forest"))
+    return L.score(_with_cart(spark, sf), _fitted(spark, sf, "forest"))
 
 
 @register("save_load_model")
@@ -887,8 +934,7 @@ def q_s15(spark, sf):
     from cartflow.session import fresh_dir
     path = fresh_dir(spark, "model")
     L.save_model(_fitted(spark, sf, "forest"), path)
-    _, test = _learn_data(spark, sf)
-    return L.score(test, L.load_model(path))
+    return L.score(_with_cart(spark, sf), L.load_model(path))
 
 
 # S: sources, sinks and the table layer ----------------------------------------------------
@@ -970,7 +1016,10 @@ def q_s12(spark, sf):
 @register("describe_columns")
 def q_s13(spark, sf):
     sessions(spark, sf).createOrReplaceTempView("v_user_sessions")
-    return TB.describe_columns(spark, "v_user_sessions", [m[0] for m in MIGRATED])
+    try:
+        return TB.describe_columns(spark, "v_user_sessions", [m[0] for m in MIGRATED])
+    finally:
+        spark.catalog.dropTempView("v_user_sessions")
 
 
 @register("purge_older_than", """
@@ -1101,5 +1150,9 @@ ORACLE["stream_recoveries"] = f"SELECT {RECOVERY_COLUMNS} FROM ({ORACLE['attribu
 
 @register("list_views")
 def q_s13b(spark, sf):
-    TB.register_views(sessions(spark, sf))
-    return TB.list_views(spark, "v_")
+    own = TB.register_views(sessions(spark, sf))
+    try:
+        return TB.list_views(spark, "v_").where(F.col("table_name").isin(own))
+    finally:
+        for name in own:
+            spark.catalog.dropTempView(name)

@@ -27,7 +27,7 @@ def test_streaming_matches_batch(spark, small_dir, con, name):
 
 def test_every_query_has_twin_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only <= {"system_metrics", "feature_matrix", "stratified_split", "train_forest", "train_boosted",
+    assert rows_only <= {"system_metrics", "train_forest", "train_boosted",
                          "train_stacked", "feature_importance", "meta_weights", "compare_models",
                          "score_sessions", "save_load_model", "describe_columns", "write_keyed_json",
                          "stream_predictions", "list_views"}

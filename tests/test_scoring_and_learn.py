@@ -42,6 +42,15 @@ def test_train_and_score_small(spark, small_dir):
     model = L.train_forest(train, {"numTrees": [10], "maxDepth": [4]}, folds=2)
     m = L.evaluate(model.transform(test), "forest").collect()[0]
     assert 0.0 <= m.accuracy <= 1.0 and m.tp + m.fp + m.tn + m.fn == test.count()
+    # AUC as the share of (abandoned, other) pairs ranked rightly, ties half.
+    p = model.transform(test).select("label", L.positive_probability(model.transform(test)).alias("p")).collect()
+    pos, neg = [r.p for r in p if r.label == 1], [r.p for r in p if r.label == 0]
+    pairs = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+    assert abs(m.roc_auc - pairs / (len(pos) * len(neg))) < 1e-3
+    weights = L.with_class_weights(train).groupBy("label").agg(F.sum("balanced").alias("w")).collect()
+    assert len(weights) == 2 and abs(weights[0].w - weights[1].w) < 1e-6
     scored = L.score(test, model)
+    assert scored.count() == test.count()
+    assert scored.filter("prediction_timestamp IS NULL OR user_id IS NULL OR confidence IS NULL").count() == 0
     assert scored.filter(~F.col("risk_level").isin("LOW", "MEDIUM", "HIGH", "CRITICAL")).count() == 0
     assert L.feature_importance(spark, model, 5).count() == 5
