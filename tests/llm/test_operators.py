@@ -435,6 +435,54 @@ def test_decontamination_by_brute_force(spark):
     assert got == want and 10 < len(want) < 60
 
 
+def test_decontamination_without_a_grid(spark):
+    """Any window, run of 13 words or short item, wherever it begins; brute force shares no constant with the code."""
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+
+    def some(n, low=3, high=9):
+        return " ".join("".join(rng.choice(letters, int(rng.integers(low, high)))) for _ in range(n))
+    items = [(i, some(40)) for i in range(6)] + [(i, some(40, 1, 4)) for i in range(6, 9)] \
+        + [(9, some(4, 7, 9)), (10, some(2, 5, 6)), (11, "qzx vk"), (12, some(15, 5, 7)[:90])]
+    texts = []
+
+    def doc(part, middle=True):
+        texts.append((len(texts), some(5) + (" " if middle else "") + part + (" " if middle else "") + some(5)))
+    for i in range(6):
+        t = items[i][1]
+        for at in range(1 + 6 * i, 70, 31):
+            doc(t[at:at + 70], False)            # a window that meets no grid
+            doc(t[at:at + 40], False)            # less than a window
+            edited = list(t[at:at + 75])
+            for x in rng.choice(len(edited), 3 + at % 5, replace=False):
+                edited[x] = "0"
+            doc("".join(edited), False)
+    for i in range(6, 9):
+        w = items[i][1].split()
+        for at in range(0, 27, 13):
+            doc(" ".join(w[at:at + 13]))         # 13 short words: less than a window
+            doc(" ".join(w[at:at + 12]))
+    for i in range(9, 13):
+        t = items[i][1]
+        doc(t)
+        doc(t, False)
+        doc(t[:len(t) // 2] + "0" + t[len(t) // 2 + 1:])
+
+    def holds(p, t):
+        size = min(64, len(p))
+        edits = min(5 * size // 64, max(0, size // 8 - 1))
+        w = p.split()
+        runs = [" ".join(w[k:k + 13]) for k in range(len(w) - 12)] + ([p] if not edits else [])
+        if any(f" {r} " in f" {t} " for r in runs):
+            return True
+        return edits > 0 and any(edit_distance(p[s:s + size], t) <= edits for s in range(len(p) - size + 1))
+    want = {(d, i) for d, t in texts for i, p in items if holds(p, t)}
+    got = decontam.contaminated(spark.createDataFrame(texts, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and {i for _, i in want} == set(range(13))
+    assert {d for d, _ in want} < set(range(len(texts)))
+
+
 def test_alignment_within_its_band():
     p = "the quick brown fox jumps over"
     assert decontam.aligned(p, "xx the quick brwn fox jumps over yy", 3, -5, 20)[0] == 1
