@@ -187,13 +187,16 @@ class Index:
         if not len(at):
             return
         joined = joined.astype(np.uint32)
-        # Diagonals are text position minus item position, moved up so that none is negative.
+        # Diagonals are text position minus item position, moved up so that none is negative, and apart from text to
+        # text, so that a band has hits of one text only.
         longest = max(map(len, self.texts))
-        diagonal = at - place + longest
-        stride = (len(joined) + longest) // BAND + 3
+        apart = longest + 3 * BAND
+        text_of = np.searchsorted(ends, at, side="right")
+        diagonal = at - place + longest + text_of * apart
+        stride = (len(joined) + longest + len(texts) * apart) // BAND + 3
         slot = item * stride + diagonal // BAND
         order = np.argsort(slot, kind="stable")
-        at, place, diagonal, slot = at[order], place[order], diagonal[order], slot[order]
+        text_of, place, diagonal, slot = text_of[order], place[order], diagonal[order], slot[order]
         keys, start, n = np.unique(slot, return_index=True, return_counts=True)
         following = np.append(np.where(keys[1:] == keys[:-1] + 1, n[1:], 0), 0)
         leading = np.append(False, keys[1:] == keys[:-1] + 1)
@@ -202,8 +205,9 @@ class Index:
         for b in np.flatnonzero((n + following >= self.least[keys // stride]) & ~(leading & (following == 0))).tolist():
             lo, hi = start[b], start[b] + n[b] + following[b]
             i = int(keys[b] // stride)
-            text = int(np.searchsorted(ends, at[lo], side="right"))
-            first = int(keys[b] % stride) * BAND - longest
+            text = int(text_of[lo])
+            moved = longest + text * apart
+            first = int(keys[b] % stride) * BAND - moved
             where = np.unique(place[lo:hi])
             size = min(WINDOW, len(self.texts[i]))
             if self.budget(size):
@@ -219,7 +223,7 @@ class Index:
                         own = np.sort(place[lo:hi][diagonal[lo:hi] == line])
                         same = s[np.searchsorted(own, s + size - Q, side="right") - np.searchsorted(own, s)
                                  == size - Q + 1]
-                        where_at = same + line - longest - begins[text]
+                        where_at = same + line - moved - begins[text]
                         rows[:, same] = np.zeros_like(same), where_at, where_at + size
                     s = s[rows[0][s] > 0]
                     if len(s):

@@ -483,6 +483,16 @@ def test_decontamination_without_a_grid(spark):
     assert {d for d, _ in want} < set(range(len(texts)))
 
 
+def test_documents_side_by_side_keep_their_own_hits():
+    rng = np.random.default_rng(3)
+    item = " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(60))
+    index = decontam.Index([(1, item)])
+    cut = item.index(" ", 100)
+    texts = [item[:cut], item[cut + 1:], "zz " + item[20:40], item[40:200]]
+    alone = {t for t, text in enumerate(texts) if list(index.search([text]))}
+    assert {t for t, *_ in index.search(texts)} == alone == {0, 1, 3}
+
+
 def test_alignment_within_its_band():
     p = "the quick brown fox jumps over"
     assert decontam.aligned(p, "xx the quick brwn fox jumps over yy", 3, -5, 20)[0] == 1
