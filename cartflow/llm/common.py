@@ -51,6 +51,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rows_where(docs: DataFrame, judge_of, text: str = "text", chars: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` that a judge of their texts keeps, as they are.
+
+    ``judge_of()`` is called once in each task and gives a function from a
+    list of texts to a list of verdicts.  The verdict stays beside its row, so
+    null or repeated ids do not matter.
+    """
+    at = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+        judge = judge_of()
+        for b in batches:
+            texts = b.column(at).to_pylist()
+            keep, i = [], 0
+            while i < len(texts):
+                j, size = i, 0
+                while j < len(texts) and size <= chars:
+                    size += len(texts[j] or "")
+                    j += 1
+                keep += judge(texts[i:j])
+                i = j
+            yield b.filter(pa.array([bool(k) for k in keep], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def id_remainder(col: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n."""
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(n))

@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import rows_where
+
 Q = 8
 WINDOW = 64
 STEP = 1
@@ -276,27 +278,45 @@ class Index:
 SCHEMA = "doc_id long, item_id long, start long, end long, edits long, covered long"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
-                 item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row for each document and benchmark item that it holds.
-
-    The benchmark is taken in blocks of about ``BLOCK_CHARS``, known from its
-    total length; each block is one pass over the documents.
-    """
-    spark = docs.sparkSession
+def _blocks(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text"):
+    """Broadcast blocks of the benchmark, of about ``BLOCK_CHARS``, known from its total length."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")) \
         .where(F.col("text").isNotNull())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS) or 1
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = None
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast(sorted((tuple(r) for r in part.collect()),
-                                                     key=lambda r: (r[0] is None, r)))
-        found = rows.mapInPandas(_scan(shared), SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out.distinct() if blocks > 1 else out
+        yield benchmark.sparkSession.sparkContext.broadcast(
+            sorted((tuple(r) for r in part.collect()), key=lambda r: (r[0] is None, r)))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
+                 item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row for each document and benchmark item that it holds; each block is one pass over the documents."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    found = [rows.mapInPandas(_scan(shared), SCHEMA) for shared in _blocks(benchmark, item_col, item_text)]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.distinct() if len(found) > 1 else out
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item."""
+    for shared in _blocks(benchmark):
+        docs = rows_where(docs, _judge(shared), chars=BATCH_CHARS)
+    return docs
+
+
+def _judge(shared):
+    def judge_of():
+        index = Index(shared.value)
+
+        def judge(texts):
+            held = {t for t, *_ in index.search([normalise(t) for t in texts])}
+            return [t not in held for t in range(len(texts))]
+        return judge
+    return judge_of
 
 
 def _scan(shared):

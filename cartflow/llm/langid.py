@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_remainder
+from .common import id_remainder, rows_where
 
 TRAIN_DOCS = 200       # labelled documents of each language that the fit reads
 EM_ROUNDS = 3
@@ -236,17 +236,34 @@ def train(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS):
     return languages, [math.log(counts[x] / total) for x in languages], {p: tuple(v) for p, v in table.items()}
 
 
+def _scorer(key: str, shared) -> Scorer:
+    from cartflow.llm import langid  # the worker's own module keeps the scorer from task to task
+    if key not in langid._SCORERS:
+        langid._SCORERS.clear()
+        langid._SCORERS[key] = Scorer(*shared.value)
+    return langid._SCORERS[key]
+
+
+def explained(docs: DataFrame, model_path: str, least: float, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """The rows of ``docs`` that have a language, with a score of at least ``least``."""
+    import uuid
+    model = train(docs, model_path, train_docs)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+
+    def judge_of():
+        scorer = _scorer(key, shared)
+        return lambda texts: [lang != "und" and score >= least for lang, score in scorer.predict(texts)]
+
+    return rows_where(docs, judge_of)
+
+
 def predict(docs: DataFrame, model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs``."""
     import uuid
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from cartflow.llm import langid  # the worker's own module keeps the scorer from task to task
-        if key not in langid._SCORERS:
-            langid._SCORERS.clear()
-            langid._SCORERS[key] = Scorer(*shared.value)
-        scorer = langid._SCORERS[key]
+        scorer = _scorer(key, shared)
         for b in batches:
             for i in range(0, len(b), 500):
                 part = b.iloc[i:i + 500]

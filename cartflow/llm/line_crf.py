@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder
+from .common import id_remainder, rows_where
 
 TRAIN_DOCS = 1500   # labelled documents that the fit reads
 SEGMENT = 64        # lines of a document taken together in the fit
@@ -169,6 +169,12 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text: str = "text") ->
     return rows.mapInPandas(run, "doc_id long, score double")
 
 
+def good_rows(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """The rows of ``docs`` that are predicted to be good."""
+    weights, moves = train(docs, labels, train_docs)
+    return rows_where(docs, lambda: lambda texts: [quality(t, weights, moves) >= 0.5 for t in texts])
+
+
 def classify(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``."""
     return score(docs, train(docs, labels, train_docs)).select(

@@ -20,48 +20,41 @@ from cartflow.llm import bpe, decontam, langid, line_crf, simhash
 from cartflow.llm.common import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-BROADCAST_IDS = 500_000   # ids, 8 bytes each, that are still sent to every executor
+BROADCAST_ROWS = 500_000   # row numbers, 8 bytes each, that are still sent to every executor
 LEAST_LANGUAGE_SCORE = 0.5
 
 
-def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Keep or drop documents by id: a table of ids is broadcast only while it is small, counted first.
-
-    Null ids meet null ids.
-    """
-    ids = written(ids.distinct(), "stage-ids").select(F.col("doc_id").alias("_id"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), how).select(*COLUMNS)
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language (no letters) and those that no language explains well."""
-    found = langid.identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_LANGUAGE_SCORE))
-    return _by_id(docs, rejected.select("doc_id"), "left_anti")
+    return langid.explained(docs.select(*COLUMNS), public_tokenizers.path("piece_bpe_32k.model"), LEAST_LANGUAGE_SCORE)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the line field predicts to be bad."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rejected = line_crf.classify(docs, labels).where("predicted = 0")
-    return _by_id(docs, rejected.select("doc_id"), "left_anti")
+    return line_crf.good_rows(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; its repeated rows are one document."""
-    groups = written(simhash.near_duplicates(docs, shingle=4, bits=4).select("doc_id", "component_id"), "stage-groups")
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    repeated = kept.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    out = _by_id(docs, kept.select("doc_id"), "left_semi")
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    """Keeps one row of each group: that with the smallest id, null last; of equal ids, that with the smallest text hash.
+
+    Rows are told apart by a number, written once beside them, as ids may be null or repeated.
+    """
+    rows = written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "stage-rows")
+    groups = simhash.near_duplicates(rows.select("_row", "text"), shingle=4, bits=4, id_col="_row") \
+        .select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64("lang", "source", "n_chars"),
+                     "_row")
+    kept = written(rows.select("_row", order.alias("_order")).join(groups, "_row")
+                   .groupBy("_group").agg(F.min("_order").getField("_row").alias("_row")).select("_row"), "stage-kept")
+    # Broadcast only while it is small, counted first.
+    if kept.count() <= BROADCAST_ROWS:
+        kept = F.broadcast(kept)
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _by_id(docs, found.select("doc_id"), "left_anti")
+    return decontam.clean_rows(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

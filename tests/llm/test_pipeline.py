@@ -83,3 +83,33 @@ def test_edge_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in C.STAGES:
         assert stage(spark, empty, SMALL).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    """Verdicts are of rows: a bad row takes no other row of its id along."""
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    good = {r.text for r in C.quality(spark, given, SMALL).collect()}
+    bad = sorted({r.text for r in given.collect()} - good)
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    some = sorted(t for t in good if len(t) > 200)[:8]
+
+    def rows(texts):
+        return spark.createDataFrame([((None, 2**60 + 1)[i % 2], t, "en", "a", i) for i, t in enumerate(texts)], schema)
+
+    def texts(df):
+        return sorted(r.text for r in df.collect())
+    assert texts(C.language_id(spark, given.unionByName(rows([*some, "12 34", "5 6"])), SMALL).where("source = 'a' AND "
+                 "(doc_id IS NULL OR doc_id > 1000000000)")) == some
+    mixed = given.unionByName(rows([*some, *bad[:2]]))
+    own = "n_chars < 10 AND (doc_id IS NULL OR doc_id = 1152921504606846977)"
+    got = C.quality(spark, mixed, SMALL).where(own)
+    assert texts(got) == some and len(bad) >= 2
+    singles = texts(C.near_duplicates(spark, rows([*some, *some]), SMALL))
+    assert singles == texts(C.near_duplicates(spark, spark.createDataFrame(
+        [(i, t, "en", "a", i) for i, t in enumerate(some)], schema), SMALL)) and len(singles) > 2
+    clean = texts(C.decontaminate(spark, rows(some), SMALL))
+    with_item = rows([*some, "xx " + item, item])
+    left = C.decontaminate(spark, with_item, SMALL).collect()
+    assert sorted(r.text for r in left) == clean and len(clean) > 2
+    assert {r.doc_id for r in left} == {None, 2**60 + 1}
