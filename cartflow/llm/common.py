@@ -51,6 +51,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` written once with a dense row number from 0 in ``column``.
+
+    The driver sees one count for each written part, not the rows.
+    """
+    spark = df.sparkSession
+    table = written(df.withColumn(column, F.monotonically_increasing_id()), name)
+    part = F.shiftright(F.col(column), 33)
+    counts = table.groupBy(part.alias("_part")).count().orderBy("_part").collect()
+    starts, rows = 0, []
+    for r in counts:
+        rows.append((r["_part"], starts))
+        starts += r["count"]
+    starts = spark.createDataFrame(rows, "_part long, _start long")
+    within = F.col(column).bitwiseAND(F.lit((1 << 33) - 1))
+    return table.withColumn("_part", part).join(F.broadcast(starts), "_part") \
+        .withColumn(column, F.col("_start") + within).drop("_part", "_start")
+
+
 def rows_where(docs: DataFrame, judge_of, text: str = "text", chars: int = 1_000_000) -> DataFrame:
     """The rows of ``docs`` that a judge of their texts keeps, as they are.
 

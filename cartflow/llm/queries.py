@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, class_lm, decontam, langid, licenses, line_crf, quality_rules, rans, simhash, url_filter)
+from . import (bpe, class_lm, decontam, langid, licenses, line_crf, quality_rules, rans, simhash, url_filter,
+               whitening)
 
 PIECES = "piece_bpe_32k.model"
 BPE_JSON = "byte_bpe_50k.json"
@@ -63,8 +64,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             public_tokenizers.PATTERN))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_class_lm, op3_url_filter, op4_token_files, op5_simhash, op6_line_crf, op7_langid,
-    op8_decontaminate, op9_licenses, op10_byte_bpe)}
+    op8_decontaminate, op9_licenses, op10_byte_bpe, op11_whitening)}
 
 ORACLE = {"op1_quality_rules": quality_rules.JUDGE_SQL, "op3_url_filter": url_filter.PAGES_SQL}
