@@ -109,3 +109,29 @@ def id_remainder_py(doc_id, n: int) -> int:
 def partitions(spark: SparkSession) -> int:
     """How finely this session deals out shuffled rows; users size it with their data."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root): the smallest node of each connected group, by alternating star contraction.
+
+    Each round is two grouped minima; rounds grow with the logarithm of the number of links.  Minima are
+    written tables, so that Spark may split the joins with them where a node has very many links.
+    """
+    edges = written(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(),
+                    "links")
+    before = None
+    while True:
+        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "links-low")
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = written(large.where("u <> v").distinct(), "links-large")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "links-low")
+        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "links")
+        now = tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first())
+        if before == now:
+            break
+        before = now
+    roots = edges.groupBy("u").agg(F.min("v").alias("root"))
+    return roots.select(F.col("u").alias("node"), "root").unionByName(
+        roots.select(F.col("root").alias("node"), "root").distinct())

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, class_lm, decontam, langid, licenses, line_crf, phrases, quality_rules, rans, simhash,
-               url_filter, whitening)
+from . import (bpe, class_lm, decontam, langid, licenses, line_crf, minhash, phrases, quality_rules, rans,
+               simhash, url_filter, whitening)
 
 PIECES = "piece_bpe_32k.model"
 BPE_JSON = "byte_bpe_50k.json"
@@ -68,13 +68,17 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_class_lm, op3_url_filter, op4_token_files, op5_simhash, op6_line_crf, op7_langid,
-    op8_decontaminate, op9_licenses, op10_byte_bpe, op11_whitening, op13_phrases)}
+    op8_decontaminate, op9_licenses, op10_byte_bpe, op11_whitening, op12_minhash, op13_phrases)}
 
 ORACLE = {"op1_quality_rules": quality_rules.JUDGE_SQL, "op3_url_filter": url_filter.PAGES_SQL,
           "op13_phrases": phrases.COLLOCATIONS_SQL}
