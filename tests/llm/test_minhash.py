@@ -82,23 +82,36 @@ def test_families_and_odd_rows(spark):
     hold(df.where("doc_id < 990 or doc_id is null"), [r for r in rows if r[0] is None or r[0] < 990], 5)
 
 
-def test_links_that_no_hub_has(spark, monkeypatch):
-    """A chain in one crowded bucket: neighbours are linked, most pairs are not, and blocks split the bucket."""
-    monkeypatch.setattr(minhash, "BLOCK", 8)
-    real = minhash.pairs_between
-    seen = []
-
-    def watched(*a):
-        out = real(*a, block=8)
-        seen.append(out.count())
-        return out
-    monkeypatch.setattr(minhash, "pairs_between", watched)
+def test_chain_without_a_centre(spark):
+    """Neighbours are linked, most pairs are not, and all share passages."""
     common = [f"c{i}" for i in range(140)]
-    rows = []
-    for i in range(60):
-        rows.append((i, " ".join(common + [f"v{j}" for j in range(4 * i, 4 * i + 24)])))
+    rows = [(i, " ".join(common + [f"v{j}" for j in range(10 * i, 10 * i + 24)])) for i in range(40)]
     hold(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2)
-    assert seen[0] > 0
+
+
+def test_blocks_of_a_crowded_bucket(spark):
+    """All pairs of other groups that pass come out, however the bucket is cut, but for those already tested."""
+    hasher = minhash.Hasher(minhash.BANDS, minhash.ROWS, minhash.SKETCH_BITS)
+    limit = minhash.most_different(minhash.BANDS * minhash.ROWS, minhash.SKETCH_BITS, 80)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[:200 - d], rng.integers(0, 1 << 63, d, dtype=np.uint64)]))
+            for d in rng.integers(0, 60, 70).tolist()]
+    sketches = [hasher.sketch(hasher.samples(h)) for h in sets]
+    nodes = spark.createDataFrame([(i, len(h), [int(x) for x in s]) for i, (h, s) in enumerate(zip(sets, sketches))],
+                                  "node long, n_shingles long, sketch array<long>")
+    shared = spark.createDataFrame([(9, i, 70) for i in range(70)], "bucket long, node long, members long")
+    groups = spark.createDataFrame([(i, 0) for i in range(20)], "node long, root long")
+    tested = spark.createDataFrame([(30, 31), (0, 40)], "a long, b long")
+
+    def allowed(i, j):
+        d = np.bitwise_count(sketches[i].view(np.uint64) ^ sketches[j].view(np.uint64)).sum()
+        return 100 * min(len(sets[i]), len(sets[j])) >= 80 * max(len(sets[i]), len(sets[j])) and d <= limit
+    want = {(i, j) for j in range(70) for i in range(j) if j >= 20 and allowed(i, j)} - {(30, 31), (0, 40)}
+    assert len(want) > 100
+    for block in (8, 1000):
+        got = minhash.pairs_between(shared, groups, nodes, tested, 80, limit, block=block).collect()
+        assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
 
 
 def test_empty_table(spark):
