@@ -43,11 +43,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, lineage cut, safe from lost executors."""
+def written(df: DataFrame, name: str, group_mb: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, lineage cut, safe from lost executors.
+
+    ``group_mb`` bounds the row groups, which readers of large values hold whole.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if group_mb:
+        writer = writer.option("parquet.block.size", group_mb << 20).option("parquet.block.size.row.check.min", 1) \
+            .option("parquet.page.size.row.check.min", 1)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
