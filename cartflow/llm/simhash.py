@@ -1,30 +1,38 @@
 """SimHash near-duplicates found in vantage-point trees.
 
-Distinct fingerprints are dealt to the leaves (shards) of a vantage-point tree
-grown on a bounded sample; the sample shapes the tree and nothing else.  A
-fingerprint also visits every later shard that its ball of the link radius
-may reach by the triangle inequality, so each linked pair meets in one shard.
-There a local tree finds the exact pairs, of which only the links that join
-different groups leave the task; components follow by star contraction.
+Fingerprints within the link radius agree on some pieces of their bits, so
+each distinct fingerprint joins one group for every choice of pieces: a fixed
+number of copies, whatever the number of fingerprints.  A crowded group is
+split into the leaves (shards) of a vantage-point tree grown on a share of it,
+which shapes the tree and nothing else; there a fingerprint also visits every
+later shard that its ball of the link radius may reach by the triangle
+inequality, so each linked pair meets in one shard.  In a shard a local tree
+finds the exact pairs, of which only the links that join different groups
+leave the task; components follow by star contraction.
 
 Null and word-less texts have fingerprint zero and are linked like any other.
-Repeated rows share their fingerprint and component.
+Repeated rows share their fingerprint and component.  Null ids are never the
+smallest of a component that has another id.  An empty table gives no rows.
+Only the id and the text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, written
+from .common import components, partitions, written
 
 SEED = 42
-TREE_SAMPLE = 16_384   # fingerprints that shape the tree
 SHARD_POINTS = 8_192   # fingerprints aimed at for each shard
+SAMPLES = 16           # fingerprints that shape a leaf of a crowded group's tree
+MOST_LEAVES = 1 << 20
 LEAF = 256
 
 
@@ -128,6 +136,18 @@ class Groups:
                 self.parent[max(x, y)] = min(x, y)
 
 
+def small_links(points: np.ndarray, bits: int):
+    """Links that span the groups of a few points."""
+    a, b = np.nonzero(np.triu(distance(points[:, None], points[None, :]) <= bits, 1))
+    if len(a) > 1:
+        groups = Groups(len(points))
+        groups.link(a, b)
+        b = groups.labels()
+        a = np.flatnonzero(b != np.arange(len(points)))
+        b = b[a]
+    return points[a], points[b]
+
+
 def leaf_pairs(points: np.ndarray, leaf: np.ndarray, queries: np.ndarray, bits: int):
     """(index in leaf, index in queries) of the pairs within ``bits``, a slice of the queries at a time."""
     for i in range(0, len(queries), 4096):
@@ -183,83 +203,122 @@ class Shard:
         return queries[codes // n], self.points[codes % n]
 
 
-def linked(distinct: DataFrame, bits: int, shard_points: int = SHARD_POINTS) -> DataFrame:
-    """(a, b): links between distinct fingerprints that span all groups within ``bits``."""
-    spark = distinct.sparkSession
-    n = distinct.count()
-    sample = np.array([r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()],
-                      dtype=np.int64).view(np.uint64)
-    leaf = max(1, int(len(sample) * shard_points / max(n, 1)))
-    tree, _ = number_leaves(grow(sample, leaf))
-    shared = spark.sparkContext.broadcast(tree)
+def masks(bits: int, agree: int) -> list[int]:
+    """Signed masks of ``agree`` out of ``bits + agree`` pieces of the 64 bits, one for each choice of pieces.
+
+    Fingerprints within ``bits`` bits differ in at most ``bits`` pieces, so they agree under some mask.
+    """
+    n = min(64, bits + agree)
+    edges = [64 * i // n for i in range(n + 1)]
+    pieces = [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:])]
+    chosen = [sum(c) for c in combinations(pieces, max(0, n - bits))]
+    return [m - (1 << 64) if m >> 63 else m for m in chosen]
+
+
+def pieces_for(n: int, bits: int, shard_points: int) -> list[int]:
+    """The fewest masks under which ``n`` evenly spread fingerprints fall into groups of ``shard_points`` at most."""
+    for agree in (1, 2, 3):
+        if n <= shard_points << (64 * agree // (bits + agree)):
+            break
+    return masks(bits, agree)
+
+
+def trees_of(hot: DataFrame, points: int) -> dict:
+    """A numbered vantage-point tree for each crowded group, grown on a share of its fingerprints.
+
+    Leaves are aimed at ``points`` fingerprints and sampled by about SAMPLES of them.
+    """
+    rate = max(1, points // SAMPLES)
+
+    def build(part: pd.DataFrame) -> pd.DataFrame:
+        sample = np.unique(part.fp.to_numpy(np.int64).view(np.uint64))
+        tree, _ = number_leaves(grow(sample, SAMPLES))
+        return pd.DataFrame({"group": part.group[:1], "tree": [pickle.dumps(tree)]})
+
+    sample = hot.where(F.pmod(F.xxhash64("fp", F.lit(rate)), F.lit(rate)) == 0)
+    return {r.group: pickle.loads(r.tree)
+            for r in sample.groupBy("group").applyInPandas(build, "group long, tree binary").collect()}
+
+
+def split_by_trees(hot: DataFrame, trees: dict, bits: int) -> DataFrame:
+    """(group, shard, visitor, fp): each fingerprint at home in a leaf of its group's tree, and a visitor in every later
+    leaf that its ball of ``bits`` may reach."""
+    shared = hot.sparkSession.sparkContext.broadcast(trees)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            points = b.fp.to_numpy(np.int64).view(np.uint64)
-            at = np.arange(len(points))
-            homes: list = []
-            reach(shared.value, points, at, 0, homes)
-            home = np.empty(len(points), dtype=np.int64)
-            for shard, i in homes:
-                home[i] = shard
-            visits: list = []
-            reach(shared.value, points, at, bits, visits)
-            for shard, i in visits:
-                i = i[home[i] <= shard]
-                yield pd.DataFrame({"shard": shard, "visitor": home[i] != shard, "fp": points[i].view(np.int64)})
+            for group, part in b.groupby("group"):
+                tree = shared.value.get(group, 0)
+                points = part.fp.to_numpy(np.int64).view(np.uint64)
+                at = np.arange(len(points))
+                homes: list = []
+                reach(tree, points, at, 0, homes)
+                home = np.empty(len(points), dtype=np.int64)
+                for shard, i in homes:
+                    home[i] = shard
+                visits: list = []
+                reach(tree, points, at, bits, visits)
+                for shard, i in visits:
+                    i = i[home[i] <= shard]
+                    yield pd.DataFrame({"group": group, "shard": shard, "visitor": home[i] != shard,
+                                        "fp": points[i].view(np.int64)})
+
+    return hot.mapInPandas(deal, "group long, shard long, visitor boolean, fp long")
+
+
+def linked(distinct: DataFrame, bits: int, shard_points: int = SHARD_POINTS) -> DataFrame:
+    """(a, b): links between distinct fingerprints that span all groups within ``bits``."""
+    spark = distinct.sparkSession
+    chosen = pieces_for(distinct.count(), bits, shard_points)
+    group = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(chosen)]))
+    dealt = distinct.select(group.alias("group"), "fp")
+    hot = written(dealt.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard_points),
+                  "crowded-groups")
+    crowded = hot.agg(F.sum("n")).first()[0]
+    plain = dealt if crowded is None else dealt.join(hot, "group", "left_anti")
+    dealt_out = plain.select("group", F.lit(0).cast("long").alias("shard"), F.lit(False).alias("visitor"), "fp")
+    if crowded is not None:
+        rows = written(dealt.join(hot, "group", "left_semi"), "crowded-fingerprints")
+        # All trees together have at most about MOST_LEAVES leaves, which bounds what is broadcast.
+        trees = trees_of(rows, max(shard_points, crowded // MOST_LEAVES))
+        dealt_out = dealt_out.unionByName(split_by_trees(rows, trees, bits))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows(pair):
-            return pd.DataFrame({"a": pair[0].view(np.int64), "b": pair[1].view(np.int64)})
-        current, held, shard = None, [], None
-        for b in batches:
-            for number, part in b.groupby("shard", sort=True):
-                points = part.fp.to_numpy(np.int64).view(np.uint64)
-                visitor = part.visitor.to_numpy(bool)
-                if number != current:
-                    if shard is None and held:
-                        yield rows(Shard(np.concatenate(held), bits).own_links())
-                    current, held, shard = number, [], None
-                if not visitor.all():
-                    held.append(points[~visitor])
-                if visitor.any():
-                    if shard is None:  # homes come first: all of them are here
-                        if not held:
-                            continue
-                        shard = Shard(np.concatenate(held), bits)
-                        yield rows(shard.own_links())
-                    yield rows(shard.links(points[visitor]))
-        if shard is None and held:
-            yield rows(Shard(np.concatenate(held), bits).own_links())
-
-    dealt = distinct.select("fp").mapInPandas(deal, "shard long, visitor boolean, fp long")
-    met = dealt.repartition(partitions(spark), "shard").sortWithinPartitions("shard", "visitor")
-    return met.mapInPandas(meet, "a long, b long").where("a <> b")
+        key, homes, shard, out = None, [], None, []
 
+        def finish():
+            if shard is None and homes:
+                points = np.concatenate(homes)
+                out.append(small_links(points, bits) if len(points) <= LEAF else Shard(points, bits).own_links())
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root): the smallest node of each group, by alternating star contraction.
+        def rows():
+            a, b = (np.concatenate(x).view(np.int64) for x in zip(*out))
+            out.clear()
+            return pd.DataFrame({"a": a, "b": b})
 
-    Each round is two grouped minima; rounds grow with the logarithm of the
-    number of links.  Every round is a written table.
-    """
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
-        if before == tuple(now):
-            break
-        before = tuple(now)
-    roots = edges.groupBy("u").agg(F.min("v").alias("root"))
-    return roots.select(F.col("u").alias("node"), "root").unionByName(
-        roots.select(F.col("root").alias("node"), "root").distinct())
+        for b in batches:
+            g, s, visitor = b.group.to_numpy(), b.shard.to_numpy(), b.visitor.to_numpy(bool)
+            points = b.fp.to_numpy(np.int64).view(np.uint64)
+            cuts = np.flatnonzero((g[1:] != g[:-1]) | (s[1:] != s[:-1]) | (visitor[1:] != visitor[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(g)]):
+                if (g[lo], s[lo]) != key:
+                    finish()
+                    key, homes, shard = (g[lo], s[lo]), [], None
+                if not visitor[lo]:
+                    homes.append(points[lo:hi])
+                elif homes:  # homes come first: all of them are here
+                    if shard is None:
+                        shard = Shard(np.concatenate(homes), bits)
+                        out.append(shard.own_links())
+                    out.append(shard.links(points[lo:hi]))
+            if out:
+                yield rows()
+        finish()
+        if out:
+            yield rows()
+
+    met = dealt_out.repartition(partitions(spark), "group", "shard").sortWithinPartitions("group", "shard", "visitor")
+    return met.mapInPandas(meet, "a long, b long").where("a <> b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, id_col: str = "doc_id",
@@ -272,7 +331,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, id_col: st
     grouped = distinct.join(roots, distinct.fp == roots.node, "left") \
         .select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     grouped = written(grouped, "fingerprint-groups")
-    smallest = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    smallest = written(grouped.groupBy("root").agg(F.min("first_doc").alias("component_id")), "fingerprint-smallest")
     named = written(grouped.join(smallest, "root").select("fp", "component_id"), "fingerprint-components")
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
