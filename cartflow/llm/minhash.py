@@ -9,9 +9,10 @@ Nodes that agree on a band of samples share a bucket.  First every node of a
 bucket meets only the bucket's hub, the node that shares most buckets with
 others, and the confirmed links make groups.  Then buckets that still hold
 several groups are searched for links between their groups, in blocks of
-nodes, by the sketches alone; pairs that pass are confirmed like the others.
+nodes: by the sketches, then on the full sets of the nodes that have partners.
 Within a group nothing needs another comparison, so copies are never expanded
-into all pairs, and no bucket is cut short.
+into all pairs, no row is made for a pair that fails, and no bucket is cut
+short.
 
 With 64 bands of 6 samples a link at the least similarity of 0.8 shares no
 band with a chance of 4e-9, and its sketches are further apart than allowed
@@ -38,7 +39,7 @@ from .common import components, partitions, written
 BANDS, ROWS = 64, 6
 SKETCH_BITS = 512
 MISS = 1e-9
-PART = 2048      # shingles hashed together
+PART = 512       # shingles hashed together
 BLOCK = 1024     # nodes of a bucket in a block
 SEED = 20_14
 
@@ -58,19 +59,27 @@ class Hasher:
         rng = np.random.default_rng(SEED)
         self.bands, self.rows, self.bits = bands, rows, sketch_bits
         k = bands * rows
-        odd = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.factor, self.salt, self.spread, self.step = odd(k), odd(k), odd(k), odd(rows)
+        odd = lambda n, kind: rng.integers(0, np.iinfo(kind).max, n, dtype=kind) | kind(1)
+        self.factor, self.salt = odd(k, np.uint32), odd(k, np.uint32)
+        self.spread, self.step, self.start = odd(k, np.uint64), odd(rows, np.uint64), odd(k, np.uint64)
 
     def samples(self, hashes: np.ndarray) -> np.ndarray:
-        low = np.full(len(self.factor), np.iinfo(np.uint64).max, dtype=np.uint64)
+        """The least of each sample's own permutation of the numbers (32 bits, which vector units multiply fast)."""
+        hashes = hashes.astype(np.uint32)
+        low = np.full(len(self.factor), np.iinfo(np.uint32).max, dtype=np.uint32)
+        held = np.empty((min(PART, len(hashes)), len(low)), dtype=np.uint32)
         for i in range(0, len(hashes), PART):
-            mixed = (hashes[i:i + PART, None] ^ self.salt) * self.factor
+            part = hashes[i:i + PART, None]
+            mixed = held[:len(part)]
+            np.bitwise_xor(part, self.salt, out=mixed)
+            np.multiply(mixed, self.factor, out=mixed)
             np.minimum(low, mixed.min(axis=0), out=low)
         return low
 
     def band_keys(self, samples: np.ndarray) -> np.ndarray:
         """One number for each band; the band's own salt tells bands apart."""
-        mixed = (samples.reshape(self.bands, self.rows) + self.salt.reshape(self.bands, self.rows)) * self.step
+        shape = (self.bands, self.rows)
+        mixed = (samples.astype(np.uint64).reshape(shape) + self.start.reshape(shape)) * self.step
         mixed ^= mixed >> np.uint64(29)
         total = np.zeros(self.bands, dtype=np.uint64)
         for column in mixed.T:
@@ -79,7 +88,7 @@ class Hasher:
         return total.view(np.int64)
 
     def sketch(self, samples: np.ndarray) -> np.ndarray:
-        place = (samples ^ (samples >> np.uint64(31))) * self.spread
+        place = (samples.astype(np.uint64) + self.start) * self.spread
         place = (place >> np.uint64(40)).astype(np.int64) % self.bits
         odd = np.bincount(place, minlength=self.bits) & 1
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
@@ -152,7 +161,6 @@ def distance(a, b, words: int):
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int, limit: int) -> DataFrame:
     """The pairs (a, b) whose sizes and sketches allow the similarity and whose full sets have it."""
-    spark = pairs.sparkSession
     words = SKETCH_BITS // 64
     sides = [nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
              for s in "ab"]
@@ -197,61 +205,128 @@ def hub_pairs(shared: DataFrame) -> DataFrame:
     return written(met.select(F.col("node").alias("a"), "b").distinct(), "minhash-pairs")
 
 
-def pairs_between(shared: DataFrame, groups: DataFrame, nodes: DataFrame, tested: DataFrame, percent: int, limit: int,
-                  block: int = BLOCK) -> DataFrame:
-    """(a, b): nodes of different groups in a bucket whose sizes and sketches allow a link, but for the tested pairs.
+def passing(n: np.ndarray, sketch: np.ndarray, root: np.ndarray, own: np.ndarray, percent: int, limit: int):
+    """(index, indices) of the rows of other groups that sizes and sketches let a row be linked with.
 
-    A large bucket is dealt to tasks by pairs of blocks, so that no task holds more than two of them.
+    Rows are sorted by root.  In a task of two blocks only rows of different blocks meet.
+    """
+    two = own.min() != own.max()
+    for x in range(len(n)):
+        first = int(np.searchsorted(root, root[x], side="right"))
+        near = 100 * np.minimum(n[x], n[first:]) >= percent * np.maximum(n[x], n[first:])
+        if two:
+            near &= own[first:] != own[x]
+        at = np.flatnonzero(near) + first
+        if len(at):
+            at = at[np.bitwise_count(sketch[at] ^ sketch[x]).sum(axis=1) <= limit]
+            if len(at):
+                yield x, at
+
+
+def by_task(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, list]]:
+    """((bucket, i, j), rows) of frames sorted by these three first columns."""
+    current, part = None, []
+    for b in batches:
+        for bucket, i, j, *row in b.itertuples(index=False, name=None):
+            if (bucket, i, j) != current:
+                if part:
+                    yield current, part
+                current, part = (bucket, i, j), []
+            part.append(row)
+    if part:
+        yield current, part
+
+
+def arrays(part: list, width: int) -> list[np.ndarray]:
+    """The first columns of the rows as arrays of whole numbers, sorted by root (the second) and node (the first)."""
+    columns = [np.array(c, dtype=np.int64) for c in list(zip(*part))[:width]]
+    order = np.lexsort((columns[0], columns[1]))
+    return [c[order] for c in columns] + [order]
+
+
+def mixed_buckets(shared: DataFrame, groups: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(bucket, i, j, node, root, own): nodes of the buckets that hold several groups, dealt to pairs of blocks.
+
+    A large bucket is cut by the nodes' hashes, so that no task holds more than two blocks.
     """
-    spark = shared.sparkSession
     own = written(shared.join(groups, "node", "left")
                   .select("bucket", "node", "members", F.coalesce("root", "node").alias("root")), "minhash-grouped")
-    mixed = own.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    rows = own.join(written(mixed.select("bucket"), "minhash-mixed"), "bucket") \
-        .join(nodes.select("node", "n_shingles", "sketch"), "node")
-    rows = rows.withColumn("k", F.ceil(F.col("members") / block).cast("int"))
+    mixed = written(own.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+                    .select("bucket"), "minhash-mixed")
+    rows = own.join(mixed, "bucket").withColumn("k", F.ceil(F.col("members") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                       "own", "node", "root", "n_shingles", "sketch")
-
-    def close(part: list) -> pd.DataFrame | None:
-        own, node, root, n = (np.array(x, dtype=np.int64) for x in list(zip(*part))[:4])
-        sketch = np.array([p[4] for p in part], dtype=np.int64).view(np.uint64)
-        order = np.lexsort((node, root))
-        own, node, root, n, sketch = own[order], node[order], root[order], n[order], sketch[order]
-        two = own.min() != own.max()  # blocks meet each other here, and themselves elsewhere
-        found = []
-        for x in range(len(node)):
-            y = slice(np.searchsorted(root, root[x], side="right"), None)
-            near = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
-            if two:
-                near &= own[y] != own[x]
-            at = np.flatnonzero(near) + y.start
-            if len(at):
-                d = np.bitwise_count(sketch[at] ^ sketch[x]).sum(axis=1)
-                at = at[d <= limit]
-                found.append(np.column_stack([np.full(len(at), node[x]), node[at]]))
-        if found:
-            found = np.concatenate(found)
-            return pd.DataFrame({"a": found.min(axis=1), "b": found.max(axis=1)})
+    return rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
+                       "root", "own")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, part = None, []
-        for b in batches:
-            for bucket, i, j, *row in b.itertuples(index=False, name=None):
-                if (bucket, i, j) != current:
-                    if len(part) > 1 and (out := close(part)) is not None:
-                        yield out
-                    current, part = (bucket, i, j), []
-                part.append(row)
-        if len(part) > 1 and (out := close(part)) is not None:
-            yield out
 
-    dealt = rows.repartition(partitions(spark), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    found = dealt.mapInPandas(run, "a long, b long").distinct()
-    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return written(found.join(done, ["a", "b"], "left_anti"), "minhash-pairs")
+def dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
+def links_between(mixed: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int,
+                  limit: int) -> DataFrame:
+    """(a, b): links between nodes of different groups in a bucket, as many as join all groups that are linked.
+
+    The sketches first tell which nodes have any partner in their task; only those come back with their texts,
+    and a pair is compared in the first bucket that it shares.
+    """
+    sketches = nodes.select("node", "n_shingles", "sketch")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (bucket, i, j), part in by_task(batches):
+            if len(part) < 2:
+                continue
+            node, root, own, n, order = arrays(part, 4)
+            sketch = np.array([part[o][4] for o in order], dtype=np.int64).view(np.uint64)
+            found = np.zeros(len(node), dtype=bool)
+            for x, at in passing(n, sketch, root, own, percent, limit):
+                found[x] = True
+                found[at] = True
+            if found.any():
+                yield pd.DataFrame({"bucket": bucket, "i": i, "j": j, "node": node[found], "root": root[found],
+                                    "own": own[found]})
+
+    met = dealt(mixed.join(sketches, "node").select("bucket", "i", "j", "node", "root", "own", "n_shingles", "sketch"))
+    found = written(met.mapInPandas(search, "bucket long, i int, j int, node long, root long, own int"), "minhash-found")
+    needed = written(found.select("node").distinct(), "minhash-needed")
+    full = written(nodes.select("node", "n_shingles", "sketch", "bands").join(needed, "node").join(texts, "node"),
+                   "minhash-texts")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (bucket, i, j), part in by_task(batches):
+            node, root, own, n, order = arrays(part, 4)
+            sketch = np.array([part[o][4] for o in order], dtype=np.int64).view(np.uint64)
+            bands = np.array([part[o][5] for o in order], dtype=np.int64)
+            sets: dict[int, set] = {}
+            joined: dict[int, int] = {}
+
+            def set_of(x):
+                if x not in sets:
+                    sets[x] = shingles_of(part[order[x]][6], shingle)
+                return sets[x]
+
+            def find(r):
+                while joined.get(r, r) != r:
+                    r = joined[r]
+                return r
+            out = []
+            for x, at in passing(n, sketch, root, own, percent, limit):
+                same = bands[at] == bands[x]
+                at = at[bands[x][same.argmax(axis=1)] == bucket]  # else an earlier bucket compares them
+                for y in at.tolist():
+                    rx, ry = find(int(root[x])), find(int(root[y]))
+                    if rx != ry:
+                        both = len(set_of(x) & set_of(y))
+                        if 100 * both >= percent * (len(set_of(x)) + len(set_of(y)) - both):
+                            joined[rx] = ry
+                            out.append((node[x], node[y]))
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"])
+
+    met = dealt(found.join(full, "node").select("bucket", "i", "j", "node", "root", "own", "n_shingles", "sketch", "bands",
+                                                "text"))
+    return written(met.mapInPandas(compare, "a long, b long"), "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -269,12 +344,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     tested = hub_pairs(shared)
     links = confirmed(tested, nodes, texts, shingle, percent, limit)
     groups = written(components(links), "minhash-groups")
-    more = pairs_between(shared, groups, nodes, tested, percent, limit)
+    more = links_between(mixed_buckets(shared, groups), nodes, texts, shingle, percent, limit)
     if not more.isEmpty():
-        # The groups' own links are few: one from each node to its root.
-        links = confirmed(more, nodes, texts, shingle, percent, limit).unionByName(
-            groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        groups = written(components(links), "minhash-groups")
+        # Of the links that made the groups, one from each node to its root is enough.
+        groups = written(components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))),
+                         "minhash-groups")
     grouped = written(nodes.select("key", "node", "first_doc").join(groups, "node", "left")
                       .select("key", "first_doc", F.coalesce("root", "node").alias("root")), "minhash-grouped")
     smallest = written(grouped.groupBy("root").agg(F.min("first_doc").alias("component_id")), "minhash-smallest")

@@ -90,28 +90,48 @@ def test_chain_without_a_centre(spark):
 
 
 def test_blocks_of_a_crowded_bucket(spark):
-    """All pairs of other groups that pass come out, however the bucket is cut, but for those already tested."""
+    """All groups with a link come together, however the bucket is cut."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(70):
+        w = list(base)
+        for _ in range(rng.randrange(4, 12)):
+            w[rng.randrange(120)] = f"n{rng.randrange(40)}"
+        texts.append(" ".join(w))
     hasher = minhash.Hasher(minhash.BANDS, minhash.ROWS, minhash.SKETCH_BITS)
     limit = minhash.most_different(minhash.BANDS * minhash.ROWS, minhash.SKETCH_BITS, 80)
-    rng = np.random.default_rng(8)
-    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
-    sets = [np.unique(np.concatenate([base[:200 - d], rng.integers(0, 1 << 63, d, dtype=np.uint64)]))
-            for d in rng.integers(0, 60, 70).tolist()]
-    sketches = [hasher.sketch(hasher.samples(h)) for h in sets]
-    nodes = spark.createDataFrame([(i, len(h), [int(x) for x in s]) for i, (h, s) in enumerate(zip(sets, sketches))],
-                                  "node long, n_shingles long, sketch array<long>")
-    shared = spark.createDataFrame([(9, i, 70) for i in range(70)], "bucket long, node long, members long")
-    groups = spark.createDataFrame([(i, 0) for i in range(20)], "node long, root long")
-    tested = spark.createDataFrame([(30, 31), (0, 40)], "a long, b long")
-
-    def allowed(i, j):
-        d = np.bitwise_count(sketches[i].view(np.uint64) ^ sketches[j].view(np.uint64)).sum()
-        return 100 * min(len(sets[i]), len(sets[j])) >= 80 * max(len(sets[i]), len(sets[j])) and d <= limit
-    want = {(i, j) for j in range(70) for i in range(j) if j >= 20 and allowed(i, j)} - {(30, 31), (0, 40)}
-    assert len(want) > 100
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = minhash.signatures(docs, 2, hasher, "doc_id", "text").withColumnRenamed("doc_id", "node").persist()
+    shared = minhash.buckets(nodes)
+    groups = spark.createDataFrame([(i, 0) for i in range(10)], "node long, root long")
+    sets = [minhash.shingles_of(t, 2) for t in texts]
+    root = [0 if i < 10 else i for i in range(70)]
+    parent = list(range(70))
+
+    def find(r):
+        while parent[r] != r:
+            r = parent[r]
+        return r
+    for j in range(70):
+        for i in range(j):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                parent[find(root[i])] = find(root[j])
+    want = len({find(r) for r in root})
     for block in (8, 1000):
-        got = minhash.pairs_between(shared, groups, nodes, tested, 80, limit, block=block).collect()
-        assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
+        mixed = minhash.mixed_buckets(shared, groups, block)
+        got = minhash.links_between(mixed, nodes, docs.withColumnRenamed("doc_id", "node"), 2, 80, limit).collect()
+        mine = list(range(70))
+
+        def top(r):
+            while mine[r] != r:
+                r = mine[r]
+            return r
+        for r in got:
+            assert 100 * len(sets[r.a] & sets[r.b]) >= 80 * len(sets[r.a] | sets[r.b])
+            mine[top(root[r.a])] = top(root[r.b])
+        assert len({top(r) for r in root}) == want
+    assert 1 < want < 61
 
 
 def test_empty_table(spark):
