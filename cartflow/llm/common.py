@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +60,18 @@ def written(df: DataFrame, name: str, group_mb: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python tasks of the jobs started inside get ``rows`` rows at a time; for tables of large values."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def numbered(df: DataFrame, column: str, name: str) -> DataFrame:
     """``df`` written once with a dense row number from 0 in ``column``.
 
