@@ -59,9 +59,13 @@ def predictions_from_probability(scored: DataFrame, prob_col: str, model_version
 
 
 def fixed_predictions(snap: DataFrame) -> DataFrame:
-    """Predictions of the fixed scorer for every snapshot with a cart."""
+    """Predictions of the fixed scorer for every snapshot with a cart.
+
+    The fixture's snapshots carry a number ``k`` that stands for the latency; others have none.
+    """
     s = scorable(snap).withColumn("_p", fixed_probability(scorable(snap)))
-    return predictions_from_probability(s, "_p", "fixed_logit_v1", (F.col("k") * 2).cast("int"))
+    latency = (F.col("k") * 2).cast("int") if "k" in snap.columns else None
+    return predictions_from_probability(s, "_p", "fixed_logit_v1", latency)
 
 
 def risk_levels(snap: DataFrame) -> DataFrame:

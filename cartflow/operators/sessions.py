@@ -168,9 +168,11 @@ def snapshots(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -> Da
     """The session record as of every event, with serving features.
 
     This is what the streaming job scores at each tick: one row per event.
+    The fixture's ``k`` is passed on where the events carry it.
     """
+    own = [c for c in ("k",) if c in ev.columns]
     df = _session_scan(_first_view_flag(ev), bucket_seconds, F.col("_new_product"))
-    df = df.select("session_id", "event_id", "user_id", "ts", "event_type", "k", *_record_columns(),
+    df = df.select("session_id", "event_id", "user_id", "ts", "event_type", *own, *_record_columns(),
                    F.col("_prod").alias("products_viewed"), F.col("_prod").alias("unique_products_viewed"))
     bounce = (F.col("page_views") <= 1) & (F.col("session_duration_seconds") < 30)
     feats = serving_features(F.col("page_views"), F.col("products_viewed"), F.col("unique_products_viewed"),

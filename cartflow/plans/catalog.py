@@ -724,24 +724,18 @@ def q_r5(spark, sf):
 
 # T: streaming (replayed from a Spark-derived file stream with availableNow) ----------
 
-REPLAY_WATERMARK = "400 days"  # the replay files come in any order; nothing may be late
-
-
-def _stream_input(spark, sf, duplicate: bool = False):
-    from cartflow.streaming.runner import replay_source
-    ev = events(spark, sf)
-    if duplicate:  # at-least-once delivery: every event arrives twice
-        ev = ev.unionByName(ev)
-    return replay_source(spark, ev)
+def _replayed(spark, ev, build, output_mode, name, schema, close_after=()):
+    """An ordered replay with a watermark of minutes, and what its batches wrote."""
+    from cartflow.streaming.runner import read_sink, run_ordered_to
+    out, _ = run_ordered_to(spark, ev, build, output_mode, name, close_after=close_after)
+    return read_sink(spark, out, schema)
 
 
 @register("stream_sessions", "SELECT * FROM sess")
 def q_t1(spark, sf):
-    from cartflow.streaming.runner import read_sink, run_bounded
     from cartflow.streaming.sessions import RECORD_SCHEMA, latest_per_key, stream_sessions
-    out, _ = run_bounded(stream_sessions(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update",
-                         "sessions")
-    return latest_per_key(read_sink(spark, out, RECORD_SCHEMA), ["session_id"])
+    rows = _replayed(spark, events(spark, sf), stream_sessions, "update", "sessions", RECORD_SCHEMA)
+    return latest_per_key(rows, ["session_id"])
 
 
 @register("hopping_counts", """
@@ -749,40 +743,40 @@ SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type,
 FROM (SELECT event_type, time_bucket(INTERVAL 1 MINUTE, ts) - r.j * INTERVAL 1 MINUTE AS window_start
       FROM ev, range(5) r(j)) GROUP BY ALL""")
 def q_t3(spark, sf):
-    from cartflow.streaming.runner import read_sink, run_bounded
     from cartflow.streaming.sessions import latest_per_key
     from cartflow.streaming.windows import hopping_counts
-    out, _ = run_bounded(hopping_counts(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update", "hop")
-    return latest_per_key(read_sink(spark, out, "window_start timestamp, window_end timestamp, event_type string, "
-                                                "events long"), ["window_start", "event_type"])
+    rows = _replayed(spark, events(spark, sf), hopping_counts, "update", "hop",
+                     "window_start timestamp, window_end timestamp, event_type string, events long")
+    return latest_per_key(rows, ["window_start", "event_type"])
 
 
 @register("hourly_tumbling", """
 SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS events FROM ev GROUP BY ALL""")
 def q_t11(spark, sf):
-    from cartflow.streaming.runner import read_sink, run_bounded
     from cartflow.streaming.sessions import latest_per_key
     from cartflow.streaming.windows import hourly_tumbling
-    out, _ = run_bounded(hourly_tumbling(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update", "hour")
-    return latest_per_key(read_sink(spark, out, "hour timestamp, event_type string, events long"),
-                          ["hour", "event_type"])
+    rows = _replayed(spark, events(spark, sf), hourly_tumbling, "update", "hour",
+                     "hour timestamp, event_type string, events long")
+    return latest_per_key(rows, ["hour", "event_type"])
 
 
 @register("dedup_events", "SELECT event_id, ts, event_type, session_id FROM ev")
 def q_t12(spark, sf):
-    from cartflow.streaming.runner import read_sink, run_bounded
     from cartflow.streaming.windows import dedup_events
-    s = dedup_events(_stream_input(spark, sf, duplicate=True), watermark=REPLAY_WATERMARK)
-    out, _ = run_bounded(s.select("event_id", "ts", "event_type", "session_id"), "append", "dedup")
-    return read_sink(spark, out, "event_id long, ts timestamp, event_type string, session_id string").drop("_batch")
+    ev = events(spark, sf).select("event_id", "ts", "event_type", "session_id")
+    # At-least-once delivery: every event arrives twice.
+    return _replayed(spark, ev.unionByName(ev), dedup_events, "append", "dedup",
+                     "event_id long, ts timestamp, event_type string, session_id string").drop("_batch")
 
 
 @register("system_metrics")
 def q_t14(spark, sf):
-    from cartflow.streaming.runner import run_bounded, system_metrics
+    from cartflow.streaming.metrics import progress_log, system_metrics
+    from cartflow.streaming.runner import run_ordered_to
     from cartflow.streaming.windows import hourly_tumbling
-    _, q = run_bounded(hourly_tumbling(_stream_input(spark, sf), watermark=REPLAY_WATERMARK), "update", "metrics")
-    return system_metrics(spark, q)
+    with progress_log(spark) as log:
+        run_ordered_to(spark, events(spark, sf), hourly_tumbling, "update", "metrics")
+    return system_metrics(spark, log)
 
 
 # M: learning jobs (rows-only: no SQL twin for model fitting) ---------------------------
@@ -1094,27 +1088,60 @@ def q_s17(spark, sf):
 
 
 _STREAM_RUNS: dict = {}
-# After AS_OF plus the session gap and the watermark: the first passes all idle carts, the second all sessions.
-CLOSING_TIMES = ["2024-01-31 14:00:00", "2024-02-01 06:00:00"]
 
 
 def _scored_stream(spark, sf):
-    """Ordered replay through the stateful fold and the multi-sink (run once per process)."""
+    """Ordered replay through the stateful fold and the multi-sink (run once per session and folder)."""
     from cartflow.session import fresh_dir
-    from cartflow.streaming.runner import run_ordered, start_multi_sink
+    from cartflow.streaming.runner import closing_seconds, run_ordered, start_multi_sink
     from cartflow.streaming.sessions import fold_stream, multi_sink
-    if sf not in _STREAM_RUNS:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STREAM_RUNS:
         out = fresh_dir(spark, "stream-multi")
         run_ordered(spark, events(spark, sf),
-                    lambda s: start_multi_sink(fold_stream(s, watermark="10 minutes"), multi_sink(out)), slices=8,
-                    close_after=CLOSING_TIMES)
-        _STREAM_RUNS[sf] = out
-    return _STREAM_RUNS[sf]
+                    lambda s: start_multi_sink(fold_stream(s, snapshots=True), multi_sink(out, label=True)), slices=4,
+                    close_after=closing_seconds())
+        _STREAM_RUNS[key] = out
+    return _STREAM_RUNS[key]
 
 
 @register("stream_predictions")
 def q_t8(spark, sf):
-    return spark.read.parquet(f"{_scored_stream(spark, sf)}/predictions")
+    return _of_run(spark, sf, "predictions", PREDICTION_SCHEMA)
+
+
+PREDICTION_SCHEMA = (
+    "prediction_id long, session_id string, user_id long, prediction_timestamp timestamp, abandonment_probability double, "
+    "predicted_abandoned boolean, risk_level string, intervention_triggered boolean, intervention_type string, "
+    "model_version string, prediction_latency_ms int")
+
+LABELLED = ("prediction_id, session_id, user_id, prediction_timestamp, abandonment_probability, predicted_abandoned, "
+            "risk_level, intervention_triggered, intervention_type, model_version, actual_outcome, "
+            "was_prediction_correct")
+
+
+@register("stream_label_outcomes")
+def q_t9(spark, sf):
+    """Every committed event with a cart is scored, and its prediction closed when the outcome arrives."""
+    from cartflow.streaming.merge import labelled_predictions
+    got = labelled_predictions(spark, _scored_stream(spark, sf))
+    if got is None:
+        got = spark.createDataFrame([], PREDICTION_SCHEMA + ", actual_outcome string, was_prediction_correct boolean")
+    return got.where("session_id <> 'closing'").select(*LABELLED.split(", "))
+
+
+ORACLE["stream_label_outcomes"] = f"SELECT {LABELLED} FROM ({ORACLE['label_outcomes']})"
+
+
+@register("stream_latest_sessions", "SELECT * FROM sess")
+def q_t9_latest(spark, sf):
+    """S6 on a stream: the session table that the sink's batches keep."""
+    from cartflow.streaming.merge import KeyedTable
+    from cartflow.streaming.sessions import RECORD_SCHEMA
+    got = KeyedTable(spark, f"{_scored_stream(spark, sf)}/latest_sessions", ["session_id"], ["last_activity"]).read()
+    if got is None:
+        got = spark.createDataFrame([], RECORD_SCHEMA)
+    return got.where("session_id <> 'closing'").select(*[f.split()[0] for f in RECORD_SCHEMA.split(", ")])
 
 
 IDLE_COLUMNS = "session_id, user_id, last_activity, detected_at, cart_value, items_count"

@@ -70,6 +70,8 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(out)
+    # The driver's own helper processes (of stateful streaming) know no added files; they look along this path.
+    sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (out, sc.environment.get("PYTHONPATH")) if p)
     _SHIPPED.add(key)
 
 

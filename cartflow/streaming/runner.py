@@ -6,13 +6,11 @@
 * ``run_bounded``    T13: ``trigger(availableNow=True)`` with a checkpoint in
   the scratch folder; every micro-batch is appended by ``foreachBatch`` with
   its batch id, so a retried batch rewrites identical rows (idempotent).
-* ``system_metrics`` T14: query progress as metric rows.
+* ``run_ordered``    replays a table slice by slice in event time, closing events last.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,30 +29,55 @@ def replay_source(spark: SparkSession, df: DataFrame, files: int = 8,
 CLOSING_SESSION = "closing"
 
 
-def run_ordered(spark: SparkSession, df: DataFrame, start_query, slices: int = 8, close_after: list[str] = ()):
+def closing_seconds(watermark_seconds: int = 600) -> list[int]:
+    """When closing events must come after the last event: the first passes all idle carts, the second all sessions."""
+    from cartflow import constants as K
+    return [K.CART_ABANDONMENT_IDLE_SECONDS + watermark_seconds + 60, K.SESSION_GAP_SECONDS + watermark_seconds + 60]
+
+
+def run_ordered_to(spark: SparkSession, df: DataFrame, build, output_mode: str, name: str, slices: int = 8,
+                   close_after: list[int] = ()) -> tuple[str, object]:
+    """``run_ordered`` of ``build(stream)`` with each batch in a folder of its own: (output folder, finished query)."""
+    out, ckpt = fresh_dir(spark, f"stream-{name}"), fresh_dir(spark, f"ckpt-{name}")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+
+    q = run_ordered(spark, df, lambda s: build(s).writeStream.outputMode(output_mode)
+                    .option("checkpointLocation", ckpt).foreachBatch(sink).start(), slices, close_after)
+    return out, q
+
+
+def run_ordered(spark: SparkSession, df: DataFrame, start_query, slices: int = 8, close_after: list[int] = ()):
     """Replay ``df`` in event-time order: slice i is appended and fully
     processed before slice i+1, so the watermark and event-time timers
     advance as in a live feed.  ``df`` is computed once into a staging table
     partitioned by slice; each append then reads only its own partition.
     ``start_query(stream)`` must start and return the streaming query.
-    Each time in ``close_after`` then arrives as one event of the session
-    ``CLOSING_SESSION``, which moves the watermark past all that is left.
+    After each number of seconds in ``close_after`` past the last event, one
+    event of the session ``CLOSING_SESSION`` arrives, which moves the
+    watermark past all that is left.  An empty table brings no micro-batch.
     """
     stage, path = fresh_dir(spark, "replay-stage"), fresh_dir(spark, "replay-ordered")
-    bounds = df.select(F.unix_micros(F.min("ts")).alias("lo"), F.unix_micros(F.max("ts")).alias("hi")).first()
-    lo, hi = int(bounds.lo), int(bounds.hi) + 1
-    step = -(-(hi - lo) // slices)
-    sl = ((F.unix_micros(F.col("ts")) - F.lit(lo)) / F.lit(step)).cast("int")
-    df.withColumn("_slice", sl).write.mode("overwrite").partitionBy("_slice").parquet(stage)
-    staged = spark.read.parquet(stage)
+    df.withColumn("_us", F.unix_micros("ts")).write.mode("overwrite").parquet(f"{stage}/all")
+    whole = spark.read.parquet(f"{stage}/all")
+    bounds = whole.select(F.min("_us").alias("lo"), F.max("_us").alias("hi")).first()
     q = start_query(spark.readStream.schema(df.schema).parquet(path))
     try:
+        if bounds.lo is None:
+            return q
+        lo, hi = int(bounds.lo), int(bounds.hi) + 1
+        step = -(-(hi - lo) // slices)
+        sl = F.least(F.floor((F.col("_us") - F.lit(lo)) / F.lit(step)), F.lit(slices - 1)).cast("int")
+        whole.withColumn("_slice", sl).drop("_us").write.mode("overwrite").partitionBy("_slice").parquet(f"{stage}/cut")
+        staged = spark.read.parquet(f"{stage}/cut")
         for i in range(slices):
-            staged.filter(F.col("_slice") == i).drop("_slice").write.mode("append").parquet(path)
+            staged.filter(F.col("_slice") == i).select(*df.columns).write.mode("append").parquet(path)
             q.processAllAvailable()
-        for at in close_after:
+        for after in close_after:
+            at = F.timestamp_micros(F.lit(hi - 1 + after * 1_000_000))
             last = spark.range(1).select(*[
-                {"ts": F.to_timestamp(F.lit(at)), "session_id": F.lit(CLOSING_SESSION),
+                {"ts": at, "session_id": F.lit(CLOSING_SESSION), "event_id": F.lit("0"),
                  "event_type": F.lit("page_view")}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in df.schema.fields])
             last.write.mode("append").parquet(path)
@@ -105,25 +128,7 @@ def read_sink(spark: SparkSession, out: str, schema: str) -> DataFrame:
     """Read a bounded run's output (empty frame when no batch produced rows)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(out)
-    if not path.getFileSystem(conf).exists(path):
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path) or not any(f.getPath().getName().startswith("_batch=") for f in fs.listStatus(path)):
         return spark.createDataFrame([], schema + ", _batch int")
     return spark.read.parquet(out)
-
-
-def system_metrics(spark: SparkSession, query) -> DataFrame:
-    """One row per progress report and metric (name, value, unit, time)."""
-    rows = []
-    for p in query.recentProgress:
-        ts = dt.datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
-        dur = p.get("durationMs", {}) or {}
-        vals = [("input_rows", float(p.get("numInputRows", 0) or 0), "rows"),
-                ("input_rows_per_second", float(p.get("inputRowsPerSecond", 0) or 0), "rows/s"),
-                ("processed_rows_per_second", float(p.get("processedRowsPerSecond", 0) or 0), "rows/s"),
-                ("trigger_execution_ms", float(dur.get("triggerExecution", 0) or 0), "ms")]
-        for so in p.get("stateOperators", []) or []:
-            vals.append(("state_rows", float(so.get("numRowsTotal", 0) or 0), "rows"))
-            vals.append(("rows_dropped_by_watermark", float(so.get("numRowsDroppedByWatermark", 0) or 0), "rows"))
-        for name, value, unit in vals:
-            rows.append((ts, int(p["batchId"]), name, round(value, 2), unit))
-    return spark.createDataFrame(rows, "timestamp timestamp, batch_id long, metric_name string, "
-                                       "metric_value double, metric_unit string")

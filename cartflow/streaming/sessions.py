@@ -1,32 +1,29 @@
-"""The continuously updated session record.
-
-``stream_sessions`` keys the event stream by session id and keeps, per
-session, the folded accumulator (counters, flags, floored cart in cents, the
-set of viewed products) plus a buffer of events newer than the watermark.
-Each micro-batch folds, in (ts, event_id) order, every buffered event the
-watermark has passed, and emits a provisional record folded over the buffer
-too (update mode).  Because only rows behind the watermark are committed, the
-final record equals the batch ``session_records`` whatever order the
-micro-batches arrive in.  Sessions idle past the watermark + gap are closed
-by an event-time timeout and their state is dropped.
-
-State per session is bounded by the number of distinct products it viewed
-plus the events inside the watermark delay; a micro-batch hands each key's
-rows to the function in Arrow batches.
+"""The continuously updated session record.
+
+``SessionFold`` keys the event stream by session id.  Its state is the folded
+accumulator (counters, flags, floored cart in cents), the viewed products (a
+map), the abandonments not settled yet (a list) and the events newer than the
+watermark (an append-only list).  Each micro-batch folds, in (ts, event_id)
+order, every waiting event the watermark has passed, and emits a provisional
+record folded over the others too (update mode).  Because only rows behind the
+watermark are committed, the final record equals the batch ``session_records``
+whatever order the micro-batches arrive in.  A timer reports a cart left idle;
+a session idle for the session gap is closed and all its state is cleared.
+
+Event ids may be whole numbers or text; they order events as in batch.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cartflow import constants as K
+from cartflow.streaming.keyed import OrderedFold, ordered_fold
 
 EVENT_COLS = ["session_id", "event_id", "ts", "user_id", "event_type", "product_id", "price", "quantity",
               "cart_value", "device_type", "browser", "persona", "abandonment_reason", "time_in_cart_seconds"]
@@ -39,15 +36,10 @@ RECORD_SCHEMA = (
     "bounce boolean, is_cart_abandoned boolean, abandonment_reason string, time_in_cart_seconds int, "
     "checkout_initiated boolean, persona string, updated_at timestamp, event_count long")
 
-STATE_SCHEMA = "acc string, buffer string, phase string"
-FOLD_SCHEMA = "kind string, session_id string, acc string, at_us long"
-
-
-def _new_acc() -> dict:
-    return {"user_id": None, "first_ts": None, "start_ts": None, "last_ts": None, "dev": None, "brw": None,
-            "pv": 0, "pvc": 0, "products": set(), "srch": 0, "add": 0, "rem": 0, "cart_cents": 0, "buy": False,
-            "pval": None, "abd": False, "reason": None, "tic": None, "chk": False, "pers_start": None,
-            "pers_any": None, "n": 0, "pending": []}
+ACC_FIELDS = ("user_id long, first_ts long, start_ts long, last_ts long, dev string, brw string, pv long, pvc long, "
+              "np long, srch long, add long, rem long, cart_cents long, buy boolean, pval double, abd boolean, "
+              "reason string, tic int, chk boolean, pers_start string, pers_any string, n long")
+ACC_NAMES = [f.split()[0] for f in ACC_FIELDS.split(", ")]
 
 
 def _cents(price, qty) -> int:
@@ -56,14 +48,15 @@ def _cents(price, qty) -> int:
     return p * q
 
 
-def _fold(acc: dict, e: dict) -> list[dict]:
-    """Apply one event (the reference's per-event fold, with our defaults).
+def _idle_gap(acc: dict, ts: int) -> bool:
+    """Whether the cart was left idle between the last committed event and ``ts`` and not reported yet."""
+    return (acc["n"] > 0 and acc["cart_cents"] > 0 and not acc["buy"] and acc["idle_at"] != acc["last_ts"]
+            and (ts - acc["last_ts"]) // 1_000_000 >= K.CART_ABANDONMENT_IDLE_SECONDS)
 
-    Returns the recoveries this event resolves (T7): a purchase settles every
-    abandonment still pending in the session.
-    """
-    resolved = []
-    et, ts = e["event_type"], int(e["ts_us"])
+
+def _fold(acc: dict, e: dict) -> None:
+    """Apply one event to the counters, flags and cart (products and abandonments are kept elsewhere)."""
+    et, ts = e["event_type"], e["ts_us"]
     if acc["n"] == 0:
         acc["user_id"], acc["first_ts"] = e["user_id"], ts
         acc["dev"], acc["brw"] = e["device_type"], e["browser"]
@@ -79,8 +72,6 @@ def _fold(acc: dict, e: dict) -> list[dict]:
         acc["pv"] += 1
     elif et == "product_view":
         acc["pvc"] += 1
-        if e["product_id"] is not None:
-            acc["products"].add(int(e["product_id"]))
     elif et == "add_to_cart":
         acc["add"] += 1
         acc["cart_cents"] += _cents(e["price"], e["quantity"])
@@ -94,153 +85,142 @@ def _fold(acc: dict, e: dict) -> list[dict]:
     elif et == "purchase":
         acc["buy"] = True
         acc["pval"] = 0.0 if e["cart_value"] is None else float(e["cart_value"])
-        for ab_ts, ab_id in acc["pending"]:
-            resolved.append({"abandonment_event_id": ab_id, "abandonment_ts": ab_ts, "purchase_ts": ts,
-                             "recovery_value": acc["pval"]})
-        acc["pending"] = []
     elif et == "cart_abandoned":
         acc["abd"] = True
         if e["abandonment_reason"] is not None:
             acc["reason"] = e["abandonment_reason"]
         acc["tic"] = 0 if e["time_in_cart_seconds"] is None else int(e["time_in_cart_seconds"])
-        acc["pending"].append([ts, int(e["event_id"])])
-    return resolved
 
 
-def _idle_gap(acc: dict, ts: int) -> bool:
-    """Whether the cart was left idle between the last committed event and ``ts`` and not reported yet."""
-    return (acc["n"] > 0 and acc["cart_cents"] > 0 and not acc["buy"] and acc.get("idle_at") != acc["last_ts"]
-            and (ts - acc["last_ts"]) // 1_000_000 >= K.CART_ABANDONMENT_IDLE_SECONDS)
+class SessionFold(OrderedFold):
+    """Session records, and the rows that committed events bring about, each once:
 
+    ``record``    the session as of all events seen (provisional until the watermark passes them)
+    ``snapshot``  the session right after a committed event (W5), with ``snapshots=True``
+    ``outcome``   a committed purchase or abandonment
+    ``idle``      a cart left idle (T6)
+    ``recovery``  an abandonment settled by the next purchase, or by the session's end (T7)
+    ``closed``    the session's end
+    """
 
-def _commit(session_id: str, acc: dict, events: list[dict]) -> Iterator[pd.DataFrame]:
-    """Fold events in order; emits idle gaps (T6) and settled abandonments (T7), each once,
-    whichever micro-batch brought the events."""
-    for e in events:
-        if _idle_gap(acc, int(e["ts_us"])):
-            yield _idle(session_id, acc)
-        for r in _fold(acc, e):
-            yield _recovery(session_id, r)
-
-
-def _idle(session_id: str, acc: dict) -> pd.DataFrame:
-    acc["idle_at"] = acc["last_ts"]
-    return _out("idle", session_id, acc, acc["last_ts"] + K.CART_ABANDONMENT_IDLE_SECONDS * 1_000_000)
-
-
-def _dump(acc: dict) -> str:
-    return json.dumps({**acc, "products": sorted(acc["products"])})
-
-
-def _load(text: str) -> dict:
-    acc = json.loads(text)
-    acc["products"] = set(acc["products"])
-    return acc
-
-
-def _rows(pdf: pd.DataFrame) -> list[dict]:
-    """Arrow batch -> event dicts (NULLs as None, ts as epoch microseconds)."""
-    cols = {c: pdf[c].tolist() for c in pdf.columns if c != "ts"}
-    cols["ts_us"] = pdf["ts"].astype("datetime64[us]").astype("int64").tolist()
-    names = list(cols)
-    out = []
-    for vals in zip(*cols.values()):
-        out.append({k: (None if v is None or (isinstance(v, float) and v != v) else v)
-                    for k, v in zip(names, vals)})
-    return out
-
-
-def _out(kind: str, session_id: str, acc: dict, at_us) -> pd.DataFrame:
-    return pd.DataFrame({"kind": [kind], "session_id": [session_id], "acc": [_dump(acc)],
-                         "at_us": pd.array([at_us], dtype="Int64")})
-
-
-def _recovery(session_id: str, r: dict) -> pd.DataFrame:
-    return pd.DataFrame({"kind": ["recovery"], "session_id": [session_id], "acc": [json.dumps(r)],
-                         "at_us": pd.array([r["purchase_ts"]], dtype="Int64")})
-
-
-def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    (session_id,) = key
-    wm_ms = state.getCurrentWatermarkMs()
-    if state.hasTimedOut:
-        acc_json, buf_json, phase = state.get
-        acc = _load(acc_json)
-        yield from _commit(session_id, acc, json.loads(buf_json))  # the watermark has passed them all
-        if phase == "idle":            # T6: the cart is idle since the last event
-            if acc.get("idle_at") != acc["last_ts"]:
-                yield _idle(session_id, acc)
-            state.update((_dump(acc), "[]", "closing"))
-            close_ms = acc["last_ts"] // 1000 + K.SESSION_GAP_SECONDS * 1000
-            state.setTimeoutTimestamp(max(close_ms, wm_ms + 1))
-        else:                          # the session is over: its abandonments were never bought again
-            for ab_ts, ab_id in acc["pending"]:
-                yield _recovery(session_id, {"abandonment_event_id": ab_id, "abandonment_ts": ab_ts,
-                                             "purchase_ts": None, "recovery_value": None})
-            state.remove()
-        return
-    if state.exists:
-        acc_json, buf_json, _ = state.get
-        acc, buf = _load(acc_json), json.loads(buf_json)
-    else:
-        acc, buf = _new_acc(), []
-    for pdf in pdfs:
-        buf.extend(_rows(pdf))
-    buf.sort(key=lambda e: (e["ts_us"], e["event_id"]))
-    wm_us = wm_ms * 1000
-    keep = [e for e in buf if e["ts_us"] > wm_us]
-    yield from _commit(session_id, acc, buf[:len(buf) - len(keep)])  # what the watermark has passed, in order
-    view = {**acc, "products": set(acc["products"]), "pending": list(acc["pending"])}
-    for e in keep:
-        _fold(view, e)
-    idle_pending = view["cart_cents"] > 0 and not view["buy"]
-    wait_s = K.CART_ABANDONMENT_IDLE_SECONDS if idle_pending else K.SESSION_GAP_SECONDS
-    state.update((_dump(acc), json.dumps(keep), "idle" if idle_pending else "closing"))
-    state.setTimeoutTimestamp(max(view["last_ts"] // 1000 + wait_s * 1000, wm_ms + 1))
-    yield _out("record", session_id, view, None)
-
-
-ACC_SCHEMA = ("user_id long, first_ts long, start_ts long, last_ts long, dev string, brw string, pv long, "
-              "pvc long, products array<long>, srch long, add long, rem long, cart_cents long, buy boolean, "
-              "pval double, abd boolean, reason string, tic int, chk boolean, pers_start string, "
-              "pers_any string, n long")
+    EVENT = ("ts_us long, event_id string, user_id long, event_type string, product_id long, price double, "
+             "quantity int, cart_value double, device_type string, browser string, persona string, "
+             "abandonment_reason string, time_in_cart_seconds int")
+    ACC = ACC_FIELDS + ", idle_at long, unsettled long, phase string, waiting long, timer_ms long"
+    OUT = ("kind string, session_id string, " + ACC_FIELDS
+           + ", event_id string, event_type string, at_us long, until_us long, value double")
+
+    def __init__(self, numeric_ids: bool, snapshots: bool):
+        self.NUMERIC_IDS, self.snapshots = numeric_ids, snapshots
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.products = handle.getMapState("products", "product_id long", "seen boolean")
+        self.pending = handle.getListState("pending", "ts_us long, event_id string")
+
+    def start(self) -> dict:
+        zero = dict.fromkeys(["pv", "pvc", "np", "srch", "add", "rem", "cart_cents", "n", "unsettled"], 0)
+        return dict.fromkeys(ACC_NAMES) | zero | {"buy": False, "abd": False, "chk": False, "idle_at": None,
+                                                  "phase": "closing"}
+
+    def _row(self, kind: str, key: str, acc: dict, event_id=None, event_type=None, at=None, until=None, value=None):
+        return (kind, key, *[acc[n] for n in ACC_NAMES], event_id, event_type, at, until, value)
+
+    def commit(self, key: str, acc: dict, e: dict) -> Iterator[tuple]:
+        ts = e["ts_us"]
+        if _idle_gap(acc, ts):
+            yield self._idle(key, acc)
+        _fold(acc, e)
+        et, product = e["event_type"], e["product_id"]
+        if et == "product_view" and product is not None and not self.products.containsKey((int(product),)):
+            self.products.updateValue((int(product),), (True,))
+            acc["np"] += 1
+        if et in ("purchase", "cart_abandoned"):
+            yield self._row("outcome", key, acc, e["event_id"], et, ts, None, e["cart_value"])
+        if et == "purchase" and acc["unsettled"]:
+            for at, event_id in self.pending.get():
+                yield self._row("recovery", key, acc, event_id, et, at, ts, acc["pval"])
+            self.pending.clear()
+            acc["unsettled"] = 0
+        if et == "cart_abandoned":
+            self.pending.appendValue((ts, e["event_id"]))
+            acc["unsettled"] += 1
+        if self.snapshots:
+            yield self._row("snapshot", key, acc, e["event_id"], et, ts)
+
+    def _idle(self, key: str, acc: dict) -> tuple:
+        acc["idle_at"] = acc["last_ts"]
+        return self._row("idle", key, acc, at=acc["last_ts"] + K.CART_ABANDONMENT_IDLE_SECONDS * 1_000_000)
+
+    def view(self, key: str, acc: dict, events: list[dict]) -> Iterator[tuple]:
+        seen = dict(acc)
+        viewed = {int(e["product_id"]) for e in events
+                  if e["event_type"] == "product_view" and e["product_id"] is not None}
+        seen["np"] += sum(not self.products.containsKey((p,)) for p in viewed)
+        for e in events:
+            _fold(seen, e)
+        yield self._row("record", key, seen)
+
+    def deadline(self, acc: dict, events: list[dict]) -> int:
+        """An idle cart is reported after a while; every session is closed after the gap."""
+        seen = dict(acc)
+        for e in events:
+            _fold(seen, e)
+        idle = seen["cart_cents"] > 0 and not seen["buy"] and (bool(events) or acc["idle_at"] != acc["last_ts"])
+        acc["phase"] = "idle" if idle else "closing"
+        wait = K.CART_ABANDONMENT_IDLE_SECONDS if idle else K.SESSION_GAP_SECONDS
+        return seen["last_ts"] // 1000 + wait * 1000
+
+    def woken(self, key: str, acc: dict, wm_ms: int) -> Iterator[tuple]:
+        if acc["cart_cents"] > 0 and not acc["buy"] and acc["idle_at"] != acc["last_ts"] \
+                and acc["last_ts"] // 1000 + K.CART_ABANDONMENT_IDLE_SECONDS * 1000 <= wm_ms:
+            yield self._idle(key, acc)
+        if acc["last_ts"] // 1000 + K.SESSION_GAP_SECONDS * 1000 > wm_ms:
+            return
+        if acc["unsettled"]:  # never bought again
+            for at, event_id in self.pending.get():
+                yield self._row("recovery", key, acc, event_id, None, at)
+            self.pending.clear()
+        yield self._row("closed", key, acc)
+        self.products.clear()
+        self.done = True
 
 
 def record_from_accumulator(df: DataFrame) -> DataFrame:
     """The session record from the folded accumulator, with the batch path's expressions."""
     from cartflow.functions.exprs import round_half_up, safe_div
-    a = F.from_json(F.col("acc"), ACC_SCHEMA)
-    df = df.select("session_id", a.alias("a"))
-    c = lambda x: F.col(f"a.{x}")
+    c = F.col
     start_us = F.coalesce(c("start_ts"), c("first_ts"))
     dur = ((c("last_ts") - start_us) / F.lit(1_000_000)).cast("long")   # truncates toward zero
-    npv = F.size(c("products")).cast("long")
-    pv = c("pv")
     return df.select(
-        "session_id", c("user_id").alias("user_id"), F.timestamp_micros(start_us).alias("start_time"),
-        F.timestamp_micros(c("last_ts")).alias("last_activity"),
-        F.coalesce(c("dev"), F.lit("desktop")).alias("device_type"),
-        F.coalesce(c("brw"), F.lit("Unknown")).alias("browser"),
-        pv.alias("page_views"), npv.alias("products_viewed"), npv.alias("unique_products_viewed"),
+        "session_id", "user_id", F.timestamp_micros(start_us).alias("start_time"),
+        F.timestamp_micros("last_ts").alias("last_activity"),
+        F.coalesce("dev", F.lit("desktop")).alias("device_type"),
+        F.coalesce("brw", F.lit("Unknown")).alias("browser"),
+        c("pv").alias("page_views"), c("np").alias("products_viewed"), c("np").alias("unique_products_viewed"),
         c("pvc").alias("product_view_count"), c("srch").alias("searches"), c("add").alias("cart_additions"),
         c("rem").alias("cart_removals"), (c("cart_cents") / F.lit(100.0)).alias("cart_value"),
         c("buy").alias("is_converted"),
-        round_half_up(F.coalesce(c("pval"), F.lit(0.0)), 2).alias("purchase_value"),
+        round_half_up(F.coalesce("pval", F.lit(0.0)), 2).alias("purchase_value"),
         dur.alias("session_duration_seconds"),
-        round_half_up(safe_div(dur, pv), 2).alias("avg_time_per_page"),
-        ((pv <= 1) & (dur < 30)).alias("bounce"),
+        round_half_up(safe_div(dur, c("pv")), 2).alias("avg_time_per_page"),
+        ((c("pv") <= 1) & (dur < 30)).alias("bounce"),
         c("abd").alias("is_cart_abandoned"), c("reason").alias("abandonment_reason"),
-        F.coalesce(c("tic"), F.lit(0)).alias("time_in_cart_seconds"), c("chk").alias("checkout_initiated"),
-        F.coalesce(c("pers_start"), c("pers_any")).alias("persona"),
-        F.timestamp_micros(c("last_ts")).alias("updated_at"), c("n").alias("event_count"))
+        F.coalesce("tic", F.lit(0)).alias("time_in_cart_seconds"), c("chk").alias("checkout_initiated"),
+        F.coalesce("pers_start", "pers_any").alias("persona"),
+        F.timestamp_micros("last_ts").alias("updated_at"), c("n").alias("event_count"))
+
+
+def id_type(events: DataFrame) -> str:
+    """The type of the event ids: whole numbers order as numbers, all else as text."""
+    kind = dict(events.dtypes)["event_id"]
+    return "long" if kind in ("bigint", "int", "smallint", "tinyint") else "string"
 
 
-def fold_stream(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """The stateful fold: 'record' rows (session updates) and 'idle' rows (T6 detections)."""
-    ev = events.select(*EVENT_COLS).withWatermark("ts", watermark)
-    return ev.groupBy("session_id").applyInPandasWithState(
-        _update, outputStructType=FOLD_SCHEMA, stateStructType=STATE_SCHEMA,
-        outputMode="update", timeoutConf=GroupStateTimeout.EventTimeTimeout)
+def fold_stream(events: DataFrame, watermark: str = "10 minutes", snapshots: bool = False) -> DataFrame:
+    """The stateful fold; ids come out as text."""
+    fold = SessionFold(id_type(events) == "long", snapshots)
+    return ordered_fold(events.select(*EVENT_COLS).where("session_id is not null"), "session_id", fold, watermark)
 
 
 def stream_sessions(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
@@ -252,60 +232,101 @@ def stream_sessions(events: DataFrame, watermark: str = "10 minutes") -> DataFra
     return record_from_accumulator(fold_stream(events, watermark).filter(F.col("kind") == "record"))
 
 
+def snapshots_from_fold(folded: DataFrame, ids: str = "string") -> DataFrame:
+    """W5 (stream): the session right after each committed event, with the serving features."""
+    from cartflow.operators.sessions import serving_features
+    rows = folded.filter(F.col("kind") == "snapshot")
+    rec = record_from_accumulator(rows.withColumn("session_id", F.struct("session_id", "event_id", "event_type", "at_us")))
+    rec = rec.select("session_id.*", *[c for c in rec.columns if c not in ("session_id", "updated_at", "event_count")])
+    c = F.col
+    feats = serving_features(c("page_views"), c("products_viewed"), c("unique_products_viewed"), c("cart_additions"),
+                             c("cart_removals"), c("cart_value"), c("session_duration_seconds"),
+                             c("checkout_initiated"), c("bounce"))
+    return rec.withColumn("event_id", c("event_id").cast(ids)).withColumn("ts", F.timestamp_micros("at_us")) \
+        .select("*", *[e.alias(n) for n, e in feats.items()]).drop("at_us")
+
+
+def outcomes_from_fold(folded: DataFrame, ids: str = "string") -> DataFrame:
+    """Committed purchases and abandonments, as events."""
+    return folded.filter(F.col("kind") == "outcome").select(
+        "session_id", F.col("event_id").cast(ids).alias("event_id"), F.timestamp_micros("at_us").alias("ts"),
+        "event_type", F.col("value").alias("cart_value"))
+
+
 def abandonments_from_fold(folded: DataFrame) -> DataFrame:
     """T6 (stream): one row per cart left idle, at last activity + the idle threshold."""
-    a = F.from_json(F.col("acc"), ACC_SCHEMA)
-    d = folded.filter(F.col("kind") == "idle").select("session_id", "at_us", a.alias("a"))
-    return d.select("session_id", F.col("a.user_id").alias("user_id"),
-                    F.timestamp_micros(F.col("a.last_ts")).alias("last_activity"),
-                    F.timestamp_micros(F.col("at_us")).alias("detected_at"),
-                    (F.col("a.cart_cents") / F.lit(100.0)).alias("cart_value"),
-                    F.greatest(F.col("a.add") - F.col("a.rem"), F.lit(0)).alias("items_count"))
+    return folded.filter(F.col("kind") == "idle").select(
+        "session_id", "user_id", F.timestamp_micros("last_ts").alias("last_activity"),
+        F.timestamp_micros("at_us").alias("detected_at"), (F.col("cart_cents") / F.lit(100.0)).alias("cart_value"),
+        F.greatest(F.col("add") - F.col("rem"), F.lit(0)).alias("items_count"))
 
 
-def recoveries_from_fold(folded: DataFrame, min_delay_seconds: int = K.RECOVERY_DELAY_MIN_SECONDS) -> DataFrame:
+def recoveries_from_fold(folded: DataFrame, min_delay_seconds: int = K.RECOVERY_DELAY_MIN_SECONDS,
+                         ids: str = "string") -> DataFrame:
     """T7 (stream): each abandonment settled by the session's next purchase; recovered when
     the purchase came at least ``min_delay_seconds`` later (J6's rule)."""
-    r = F.from_json(F.col("acc"), "abandonment_event_id long, abandonment_ts long, purchase_ts long, "
-                                  "recovery_value double")
-    d = folded.filter(F.col("kind") == "recovery").select("session_id", r.alias("r"))
-    gap = ((F.col("r.purchase_ts") - F.col("r.abandonment_ts")) / F.lit(1_000_000)).cast("long")
+    d = folded.filter(F.col("kind") == "recovery")
+    gap = ((F.col("until_us") - F.col("at_us")) / F.lit(1_000_000)).cast("long")
     rec = F.coalesce(gap >= min_delay_seconds, F.lit(False))
-    return d.select("session_id", F.col("r.abandonment_event_id").alias("abandonment_event_id"),
-                    F.timestamp_micros(F.col("r.abandonment_ts")).alias("abandonment_time"),
+    return d.select("session_id", F.col("event_id").cast(ids).alias("abandonment_event_id"),
+                    F.timestamp_micros("at_us").alias("abandonment_time"),
                     rec.alias("recovered"),
-                    F.when(rec, F.timestamp_micros(F.col("r.purchase_ts"))).alias("recovery_time"),
+                    F.when(rec, F.timestamp_micros("until_us")).alias("recovery_time"),
                     F.when(rec, gap).alias("recovery_seconds"),
-                    F.when(rec, F.col("r.recovery_value")).alias("recovery_value"))
+                    F.when(rec, F.col("value")).alias("recovery_value"))
 
 
-def multi_sink(out: str, model_version: str = "fixed_logit_v1"):
-    """One foreachBatch that writes, per micro-batch and tagged with its id,
-    the session updates, a prediction for every updated session with a cart
-    (one per tick, as the studied system logs them), the idle-cart detections
-    and the settled recoveries.
-    """
+def fixed_tick_scorer(rec: DataFrame, batch_id: int) -> DataFrame:
+    """The fixed-coefficient scorer on session records (one prediction per tick)."""
     from cartflow.operators.scoring import fixed_probability, predictions_from_probability
     from cartflow.operators.sessions import serving_features
+    feats = serving_features(F.col("page_views"), F.col("products_viewed"), F.col("unique_products_viewed"),
+                             F.col("cart_additions"), F.col("cart_removals"), F.col("cart_value"),
+                             F.col("session_duration_seconds"), F.col("checkout_initiated"), F.col("bounce"))
+    scored = rec.select("*", *[e.alias(n) for n, e in feats.items()])
+    scored = scored.withColumn("_p", fixed_probability(scored)) \
+        .withColumn("event_id", F.xxhash64("session_id", F.lit(batch_id))).withColumn("ts", F.col("last_activity"))
+    return predictions_from_probability(scored, "_p", "fixed_logit_v1")
+
+
+def multi_sink(out: str, ids: str = "long", scorer=fixed_tick_scorer, label: bool = False):
+    """One foreachBatch that writes, per micro-batch and tagged with its id,
+    the session updates (S6 keeps the latest of each), a prediction for every
+    updated session with a cart (one per tick, as the studied system logs
+    them), the idle-cart detections and the settled recoveries.
+
+    ``scorer(records, batch_id)`` makes the tick predictions.  With ``label``
+    (and a fold with snapshots) every committed event with a cart is scored
+    too, and outcomes close open predictions as they come (J4 on streams).
+    """
+    from cartflow.operators.scoring import fixed_predictions
+    from cartflow.streaming.merge import KeyedTable, OutcomeMerge
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch = batch.persist()
         try:
-            rec = record_from_accumulator(batch.filter(F.col("kind") == "record"))
-            # A retried batch overwrites its own folders.
-            rec.write.mode("overwrite").parquet(f"{out}/sessions/_batch={batch_id}")
-            bounce = F.col("bounce")
-            feats = serving_features(F.col("page_views"), F.col("products_viewed"), F.col("unique_products_viewed"),
-                                     F.col("cart_additions"), F.col("cart_removals"), F.col("cart_value"),
-                                     F.col("session_duration_seconds"), F.col("checkout_initiated"), bounce)
-            scored = rec.filter(F.col("cart_value") > 0).select("*", *[e.alias(n) for n, e in feats.items()])
-            scored = scored.withColumn("_p", fixed_probability(scored)) \
-                .withColumn("event_id", F.xxhash64("session_id", F.lit(batch_id))) \
-                .withColumn("ts", F.col("last_activity"))
-            predictions_from_probability(scored, "_p", model_version) \
-                .write.mode("overwrite").parquet(f"{out}/predictions/_batch={batch_id}")
-            abandonments_from_fold(batch).write.mode("overwrite").parquet(f"{out}/abandonments/_batch={batch_id}")
-            recoveries_from_fold(batch).write.mode("overwrite").parquet(f"{out}/recoveries/_batch={batch_id}")
+            kinds = {r["kind"] for r in batch.select("kind").distinct().collect()}  # six at most
+
+            # A retried batch overwrites its own folders; what a batch does not bring is not written.
+            def write(df: DataFrame, name: str) -> None:
+                df.write.mode("overwrite").parquet(f"{out}/{name}/_batch={batch_id}")
+
+            if "record" in kinds:
+                rec = record_from_accumulator(batch.filter(F.col("kind") == "record"))
+                write(rec, "sessions")
+                KeyedTable(spark, f"{out}/latest_sessions", ["session_id"], ["last_activity", "event_count"]) \
+                    .apply(rec, batch_id)
+                write(scorer(rec.filter(F.col("cart_value") > 0), batch_id), "predictions")
+            if "idle" in kinds:
+                write(abandonments_from_fold(batch), "abandonments")
+            if "recovery" in kinds:
+                write(recoveries_from_fold(batch, ids=ids), "recoveries")
+            if label and kinds & {"snapshot", "outcome", "closed"}:
+                preds = fixed_predictions(snapshots_from_fold(batch, ids))
+                closed = batch.filter(F.col("kind") == "closed").select("session_id")
+                OutcomeMerge(spark, out).apply(preds, outcomes_from_fold(batch, ids), closed, batch_id,
+                                               settles=bool(kinds & {"outcome", "closed"}))
         finally:
             batch.unpersist()
     return sink

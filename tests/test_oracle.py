@@ -43,25 +43,3 @@ def test_entry_smoke(spark):
 def test_stream_predictions_are_complete(spark, small_dir):
     p = QUERIES["stream_predictions"](spark, small_dir)
     assert p.count() > 0 and p.filter("risk_level IS NULL OR abandonment_probability IS NULL").count() == 0
-
-
-@pytest.mark.parametrize("slices", [2, 13])
-def test_detections_do_not_depend_on_micro_batches(spark, small_dir, slices):
-    from cartflow.plans.catalog import CLOSING_TIMES, events
-    from cartflow.session import fresh_dir
-    from cartflow.streaming.runner import run_ordered, start_multi_sink
-    from cartflow.streaming.sessions import fold_stream, latest_per_key, multi_sink
-    out = fresh_dir(spark, "stream-slices")
-    run_ordered(spark, events(spark, small_dir),
-                lambda s: start_multi_sink(fold_stream(s, watermark="10 minutes"), multi_sink(out)), slices=slices,
-                close_after=CLOSING_TIMES)
-    for name, query in (("abandonments", "stream_abandonments"), ("recoveries", "stream_recoveries")):
-        want = QUERIES[query](spark, small_dir)
-        got = spark.read.parquet(f"{out}/{name}").select(*want.columns)
-        if name == "abandonments":
-            got = got.where("detected_at <= timestamp'2024-01-31 00:00:00'")
-        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    last = latest_per_key(spark.read.parquet(f"{out}/sessions"), ["session_id"]).where("session_id <> 'closing'")
-    batch = QUERIES["session_records"](spark, small_dir)
-    cols = ["session_id", "cart_value", "is_converted", "page_views", "last_activity"]
-    assert sorted(map(str, last.select(*cols).collect())) == sorted(map(str, batch.select(*cols).collect()))
