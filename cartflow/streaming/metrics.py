@@ -104,7 +104,8 @@ class LateRows:
     """A sink that splits every micro-batch by the watermark it ran under.
 
     A stateful operator drops rows at or behind the largest event time of all
-    earlier batches less the delay.  This sink finds the same rows, writes
+    earlier batches less the delay (Spark may lag a batch behind and drop
+    fewer).  This sink finds those rows, writes
     them to ``late`` and hands the others on.  Each batch leaves its largest
     event time in a folder of its own, so a replayed batch finds the same.
     """

@@ -131,7 +131,7 @@ def test_late_rows_go_to_the_side_table(spark):
     from cartflow.streaming.windows import hopping_counts
     path, out = fresh_dir(spark, "late-in"), fresh_dir(spark, "late-out")
     t0 = dt.datetime(2024, 1, 1)
-    schema, late = "ts timestamp, event_type string, id long", {2: 55, 4: 300}  # batch: minutes behind
+    schema, late = "ts timestamp, event_type string, id long", {3: 300, 5: 300}  # batch: minutes behind
     sink = LateRows(spark, out, 600)
     for i in range(6):
         data = [(t0 + dt.timedelta(minutes=30 * i), "x", i)]
@@ -145,7 +145,7 @@ def test_late_rows_go_to_the_side_table(spark):
             .foreachBatch(lambda b, i: sink.split(b, i).write.mode("overwrite").parquet(f"{out}/kept/_batch={i}")).start()
         q.awaitTermination()
         run_bounded(hopping_counts(read(), size="1 minute"), "update", "late")
-    assert sorted(r.id for r in spark.read.parquet(f"{out}/late").collect()) == [1002, 1004]
+    assert sorted(r.id for r in spark.read.parquet(f"{out}/late").collect()) == [1003, 1005]
     assert spark.read.parquet(f"{out}/kept").count() == 8
     dropped = system_metrics(spark, log).where("metric_name = 'rows_dropped_by_watermark'").agg(F.sum("metric_value"))
     assert dropped.first()[0] == 2
