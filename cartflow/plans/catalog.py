@@ -1110,6 +1110,22 @@ def q_t8(spark, sf):
     return _of_run(spark, sf, "predictions", PREDICTION_SCHEMA)
 
 
+@register("stream_scores")
+def q_t8_model(spark, sf):
+    """The stream's session records scored with a trained forest; the latest score of each session."""
+    from cartflow.session import fresh_dir
+    from cartflow.streaming.models import ModelScorer, ModelShelf
+    from cartflow.streaming.runner import read_sink, run_ordered, start_multi_sink
+    from cartflow.streaming.sessions import fold_stream, latest_per_key, multi_sink
+    shelf = ModelShelf(spark, fresh_dir(spark, "models"))
+    shelf.publish(_fitted(spark, sf, "forest"), K.DEFAULT_MODEL_VERSION)
+    out = fresh_dir(spark, "stream-scores")
+    run_ordered(spark, events(spark, sf), lambda s: start_multi_sink(
+        fold_stream(s), multi_sink(out, scorer=ModelScorer(shelf, "scores"))), slices=3)
+    rows = read_sink(spark, f"{out}/predictions", PREDICTION_SCHEMA + ", confidence string")
+    return latest_per_key(rows, ["session_id"])
+
+
 PREDICTION_SCHEMA = (
     "prediction_id long, session_id string, user_id long, prediction_timestamp timestamp, abandonment_probability double, "
     "predicted_abandoned boolean, risk_level string, intervention_triggered boolean, intervention_type string, "

@@ -30,7 +30,7 @@ def test_every_query_has_twin_or_is_rows_only():
     assert rows_only <= {"system_metrics", "train_forest", "train_boosted",
                          "train_stacked", "feature_importance", "meta_weights", "compare_models",
                          "score_sessions", "save_load_model", "describe_columns", "write_keyed_json",
-                         "stream_predictions", "list_views"}
+                         "stream_predictions", "stream_scores", "list_views"}
 
 
 def test_entry_smoke(spark):

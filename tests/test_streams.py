@@ -161,3 +161,38 @@ def test_no_report_of_a_long_run_is_lost(spark):
     found = reports(spark, log).where("numInputRows > 0")
     assert found.select("batchId").distinct().count() == found.count() > 100
     assert system_metrics(spark, log).where("metric_name = 'input_rows'").agg(F.sum("metric_value")).first()[0] == 105
+
+
+def test_trained_models_switch_between_batches(spark, small_dir):
+    """Every score of the stream is the batch score by the model of its batch; a replay keeps its model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from cartflow.learn import models as L
+    from cartflow.streaming.models import ModelScorer, ModelShelf
+    sess = QUERIES["session_records"](spark, small_dir).persist()
+    train = L.training_frame(sess)
+    fit = lambda c: Pipeline(stages=[*L.feature_pipeline(), LogisticRegression(labelCol=L.LABEL, regParam=c)]).fit(train)
+    models = {"v1": fit(0.1), "v2": fit(5.0)}
+    shelf = ModelShelf(spark, fresh_dir(spark, "shelf"))
+    shelf.publish(models["v1"], "v1")
+    out = fresh_dir(spark, "stream-models")
+
+    def switching(batch, batch_id):
+        sink = multi_sink(out, scorer=ModelScorer(shelf, "run"))
+        sink(batch, batch_id)
+        if batch_id == 1:
+            shelf.publish(models["v2"], "v2")
+            sink(batch, batch_id)
+    run_ordered(spark, events(spark, small_dir), lambda s: start_multi_sink(fold_stream(s), switching), slices=3)
+    got = latest_per_key(spark.read.parquet(f"{out}/predictions"), ["session_id"]).collect()
+    want = {(r.session_id, r.model_version): r for v, m in models.items()
+            for r in L.score(train.where("cart_value > 0"), m, v).collect()}
+    last = {r.session_id for r in sess.where("cart_value > 0").collect()}
+    got = [r for r in got if r.session_id in last]
+    assert {r.session_id for r in got} == last and {r.model_version for r in got} == {"v1", "v2"}
+    for r in got:
+        w = want[r.session_id, r.model_version]
+        if w.prediction_timestamp == r.prediction_timestamp:
+            assert (r.abandonment_probability, r.risk_level, r.confidence) == (
+                w.abandonment_probability, w.risk_level, w.confidence)
+    assert sum(want[r.session_id, r.model_version].prediction_timestamp == r.prediction_timestamp for r in got) == len(got)
