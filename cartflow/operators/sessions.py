@@ -186,18 +186,36 @@ def snapshots(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -> Da
     return df
 
 
+def running_items(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -> DataFrame:
+    """Every event with ``item_count``, the entries in the cart right after it.
+
+    An add puts one entry in, a removal takes one out (of an empty cart none),
+    and a purchase clears the cart.  The clearings number the session's carts
+    with one scan; within a cart the count is the floored running sum.
+    """
+    ind = lambda name: F.when(_et(name), 1).otherwise(0)
+    df = segmented_scan(_with_bucket(ev, bucket_seconds), ["session_id"], ORDER, "_ss_bucket",
+                        sums={"_cart_no": ind("purchase")})
+    step = F.when(_et("add_to_cart"), 1).when(_et("remove_from_cart"), -1).otherwise(0)
+    df = segmented_scan(df, ["session_id", "_cart_no"], ORDER, "_ss_bucket", sums={"_in": step},
+                        min_of_sums={"_low": "_in"})
+    return df.withColumn("item_count", F.col("_in") - F.least(F.lit(0), F.col("_low"))) \
+        .drop("_ss_bucket", "_cart_no", "_in", "_low")
+
+
 def session_state(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -> DataFrame:
     """Journey state after every event.
 
-    Hard transitions: add -> cart_active, a removal that empties the cart ->
-    interested, checkout -> checkout_initiated, purchase -> purchased,
-    abandonment -> abandoned, recovery -> recovering.  Before any hard
-    transition the state is interested once the session has >= 3 page views or
-    >= 2 product views, else browsing.
+    Hard transitions: add -> cart_active, a removal that takes the last item
+    of the cart (counted since the last purchase) -> interested, checkout ->
+    checkout_initiated, purchase -> purchased, abandonment -> abandoned,
+    recovery -> recovering.  Before any hard transition the state is
+    interested once the session has >= 3 page views or >= 2 product views,
+    else browsing.
     """
-    rc = running_cart(ev, bucket_seconds)
+    rc = running_items(running_cart(ev, bucket_seconds), bucket_seconds)
     hard = (F.when(_et("add_to_cart"), "cart_active")
-            .when(_et("remove_from_cart") & (F.col("cart_value_running") == 0), "interested")
+            .when(_et("remove_from_cart") & (F.col("item_count") == 0), "interested")
             .when(_et("checkout_initiated"), "checkout_initiated")
             .when(_et("purchase"), "purchased")
             .when(_et("cart_abandoned"), "abandoned")
@@ -209,7 +227,7 @@ def session_state(ev: DataFrame, bucket_seconds: int = SESSION_BUCKET_SECONDS) -
                         lasts={"_hard": hard})
     soft = F.when((F.col("_pv") >= 3) | (F.col("_pvc") >= 2), "interested").otherwise("browsing")
     return df.select("session_id", "event_id", "user_id", "ts", "event_type",
-                     F.col("cart_value_running").alias("cart_value"),
+                     F.col("cart_value_running").alias("cart_value"), "item_count",
                      F.coalesce(F.col("_hard"), soft).alias("session_state"))
 
 
@@ -227,14 +245,16 @@ def session_edges(ev: DataFrame) -> DataFrame:
 
 
 def cart_lines(ev: DataFrame) -> DataFrame:
-    """C19 items: one row per (session, product) still in the cart.
+    """C19 items: one row per (session, product) still in the cart; a purchase clears it.
 
     The cart is kept as rows, not as a collected array, so a session with any
     number of products never has to fit in one value.
     """
     qty = F.coalesce(F.col("quantity"), F.lit(1)).cast("long")
     signed = F.when(_et("add_to_cart"), qty).when(_et("remove_from_cart"), -qty)
-    cart_ev = ev.filter(_et("add_to_cart") | _et("remove_from_cart"))
+    bought = ev.filter(_et("purchase")).groupBy("session_id").agg(F.max(_ordkey()).alias("_bought"))
+    cart_ev = ev.filter(_et("add_to_cart") | _et("remove_from_cart")).join(bought, "session_id", "left") \
+        .filter(F.col("_bought").isNull() | (_ordkey() > F.col("_bought")))
     g = cart_ev.groupBy("session_id", "product_id").agg(
         F.min("user_id").alias("user_id"),
         F.sum(signed).alias("_net"),

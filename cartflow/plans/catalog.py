@@ -442,8 +442,9 @@ from cartflow.plans.oracle import AS_OF as AS_OF_SQL, WRUN  # noqa: E402
 
 @register("session_state", f"""
 SELECT session_id, event_id, user_id, ts, event_type, cart_value_running AS cart_value,
+  CAST(item_count AS BIGINT) AS item_count,
   COALESCE(last_value(CASE WHEN event_type = 'add_to_cart' THEN 'cart_active'
-                           WHEN event_type = 'remove_from_cart' AND cart_value_running = 0 THEN 'interested'
+                           WHEN event_type = 'remove_from_cart' AND item_count = 0 THEN 'interested'
                            WHEN event_type = 'checkout_initiated' THEN 'checkout_initiated'
                            WHEN event_type = 'purchase' THEN 'purchased'
                            WHEN event_type = 'cart_abandoned' THEN 'abandoned'
@@ -451,7 +452,10 @@ SELECT session_id, event_id, user_id, ts, event_type, cart_value_running AS cart
            CASE WHEN sum(CASE WHEN event_type = 'page_view' THEN 1 ELSE 0 END) OVER {WRUN} >= 3
                   OR sum(CASE WHEN event_type = 'product_view' THEN 1 ELSE 0 END) OVER {WRUN} >= 2
                 THEN 'interested' ELSE 'browsing' END) AS session_state
-FROM rc""")
+FROM (SELECT *, total - LEAST(0, min(total) OVER (PARTITION BY session_id, cart_no ORDER BY ts, event_id)) AS item_count
+      FROM (SELECT *, sum(CASE event_type WHEN 'add_to_cart' THEN 1 WHEN 'remove_from_cart' THEN -1 ELSE 0 END)
+                        OVER (PARTITION BY session_id, cart_no ORDER BY ts, event_id) AS total
+            FROM (SELECT *, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER {WRUN} AS cart_no FROM rc) c) t) i""")
 def q_w3(spark, sf):
     return S.session_state(events(spark, sf))
 
@@ -473,7 +477,9 @@ FROM (SELECT session_id, product_id, min(user_id) AS user_id,
         CAST(sum(CASE WHEN event_type = 'add_to_cart' THEN CAST(COALESCE(quantity, 1) AS BIGINT)
                       ELSE -CAST(COALESCE(quantity, 1) AS BIGINT) END) AS BIGINT) AS net,
         last(price ORDER BY ts, event_id) AS price, max(ts) AS last_updated
-      FROM ev WHERE event_type IN ('add_to_cart', 'remove_from_cart') GROUP BY session_id, product_id)
+      FROM (SELECT *, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER {WRUN} AS cart_no,
+                   sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY session_id) AS carts FROM ev)
+      WHERE event_type IN ('add_to_cart', 'remove_from_cart') AND cart_no = carts GROUP BY session_id, product_id)
 WHERE net > 0"""
 
 
@@ -750,6 +756,23 @@ def q_t3(spark, sf):
     return latest_per_key(rows, ["window_start", "event_type"])
 
 
+@register("sliding_by_key", """
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, key, count(*) AS events
+FROM (SELECT COALESCE(CASE WHEN event_id % 7 > 0 THEN session_id END, 'unknown') AS key,
+             time_bucket(INTERVAL 1 MINUTE, ts) - r.j * INTERVAL 1 MINUTE AS window_start
+      FROM ev, range(5) r(j)) GROUP BY ALL""")
+def q_t3_key(spark, sf):
+    """Windows per key; every seventh event has lost session and user, so that 'unknown' is a hot key."""
+    from cartflow.streaming.runner import CLOSING_SESSION, closing_seconds
+    from cartflow.streaming.windows import sliding_by_key
+    known = F.col("event_id") % 7 > 0
+    ev = events(spark, sf).select("event_id", "ts", "event_type", F.when(known, F.col("session_id")).alias("session_id"),
+                                  F.when(known, F.col("user_id")).alias("user_id"))
+    rows = _replayed(spark, ev, sliding_by_key, "append", "sliding",
+                     "window_start timestamp, window_end timestamp, key string, events long", closing_seconds())
+    return rows.where(F.col("key") != CLOSING_SESSION).drop("_batch")
+
+
 @register("hourly_tumbling", """
 SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS events FROM ev GROUP BY ALL""")
 def q_t11(spark, sf):
@@ -1022,6 +1045,20 @@ def q_s14(spark, sf):
     return TB.purge_older_than(read_table(spark, sf, "orders"), "o_orderdate", 365, "2001-08-01 00:00:00")
 
 
+@register("retain_by_day", """
+SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-23 12:00:00'""")
+def q_s14_days(spark, sf):
+    """A table by day, of which retention drops folders; the cutoff cuts one day in the middle."""
+    from cartflow.session import fresh_dir
+    path = fresh_dir(spark, "by-day")
+    ev = read_table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
+                                                "event_type", "value")
+    TB.write_by_day(ev, path, "ts")
+    TB.retain_days(spark, path, "ts", 7, "2024-01-30 12:00:00")
+    return spark.read.parquet(path).drop("day")
+
+
 @register("validate_events", """
 SELECT event_id, session_id, user_id, event_type, ts,
   CASE WHEN event_type IN ('add_to_cart', 'remove_from_cart') THEN COALESCE(quantity, 1) ELSE quantity END AS quantity,

@@ -173,5 +173,42 @@ def truncate(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_by_day(df: DataFrame, path: str, ts_col: str) -> None:
-    """Partition by day so retention drops whole folders (partition pruning)."""
-    df.withColumn("day", F.to_date(ts_col)).write.mode("overwrite").partitionBy("day").parquet(path)
+    """A table partitioned by day; only the days that ``df`` holds are replaced."""
+    df.withColumn("day", F.to_date(ts_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("day").parquet(path)
+
+
+def retain_days(spark: SparkSession, path: str, ts_col: str, days: int, as_of: str) -> DataFrame:
+    """``purge_older_than`` on a table written by day; (day, action) of what changed.
+
+    Days before the cutoff lose their folder, and no row of them is read; the
+    day of the cutoff is written anew without its older rows; later days are
+    not touched.  Rows without a time are older than any.
+    """
+    import datetime as dt
+
+    from cartflow.session import fresh_dir
+    cut = dt.datetime.fromisoformat(as_of) - dt.timedelta(days=days)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not name.startswith("day="):
+            continue
+        day = name[4:]
+        if day == "__HIVE_DEFAULT_PARTITION__" or dt.date.fromisoformat(day) < cut.date():
+            fs.delete(status.getPath(), True)
+            done.append((day, "dropped"))
+        elif dt.date.fromisoformat(day) == cut.date() and cut.time() != dt.time():
+            rows = spark.read.parquet(path).where(F.col("day") == F.lit(cut.date())) \
+                .where(F.col(ts_col) >= F.to_timestamp(F.lit(str(cut)))).drop("day")
+            kept = fresh_dir(spark, "retained")
+            rows.write.mode("overwrite").parquet(kept)  # a table cannot be read and replaced at once
+            kept = spark.read.schema(rows.schema).parquet(kept)
+            if kept.isEmpty():
+                fs.delete(status.getPath(), True)
+            else:
+                write_by_day(kept, path, ts_col)
+            done.append((day, "trimmed"))
+    return spark.createDataFrame(sorted(done), "day string, action string")

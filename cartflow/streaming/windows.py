@@ -16,8 +16,29 @@ def hopping_counts(events: DataFrame, size: str = "5 minutes", slide: str = "1 m
                     "event_type", "events"))
 
 
+def sliding_by_key(events: DataFrame, size: str = "5 minutes", slide: str = "1 minute", watermark: str = "10 minutes",
+                   salts: int = 16) -> DataFrame:
+    """Events of each key (T4) in sliding windows, each event counted once.
+
+    Panes of one slide are counted first, and every window sums its panes, so
+    only a pane, not each event, goes to several windows.  Events without a
+    session and user share the key 'unknown', whose panes are counted in
+    ``salts`` parts.  Panes and windows behind the watermark leave the state
+    (append mode).
+    """
+    from cartflow.sources.events import event_key
+    key = event_key(F.col("session_id"), F.col("user_id"))
+    ev = events.select("ts", key.alias("key"), "event_id").withWatermark("ts", watermark)
+    salt = F.when(F.col("key") == "unknown", F.pmod(F.xxhash64("event_id", "ts"), F.lit(salts))).otherwise(0)
+    panes = ev.groupBy(F.window("ts", slide).alias("pane"), "key", salt.alias("salt")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    w = F.window(F.window_time("pane"), size, slide)
+    return (panes.groupBy(w.alias("w"), "key").agg(F.sum("n").alias("events"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "key", "events"))
+
+
 def hourly_tumbling(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Events and distinct sessions per type and hour (tumbling window)."""
+    """Events per type and hour (tumbling window)."""
     return (events.withWatermark("ts", watermark).groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
             .agg(F.count(F.lit(1)).alias("events"))
             .select(F.col("w.start").alias("hour"), "event_type", "events"))

@@ -136,3 +136,41 @@ def test_probability_edges(spark):
     out = df.select(risk_level("p").alias("r"), (F.col("p") > 0.5).alias("w")).collect()
     assert [r.r for r in out] == ["MEDIUM", "HIGH", "CRITICAL", "LOW"]
     assert out[0].w is False
+
+
+def test_purchase_clears_the_cart(spark):
+    """Items and journey state against a plain fold; a purchase in the middle, removals from an empty cart."""
+    import datetime as dt
+    import random
+
+    from conftest import events_df
+    from cartflow.operators import sessions as S
+    rng = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    kinds = ["add_to_cart", "remove_from_cart", "remove_from_cart", "purchase", "page_view", "session_recovered"]
+    rows, want, lines = [], {}, {}
+    for s in range(6):
+        items, state, pages, cart = 0, None, 0, {}
+        for i in range(40):
+            kind = rng.choice(kinds)
+            product = rng.randrange(3)
+            rows.append({"event_id": 100 * s + i, "ts": t0 + dt.timedelta(minutes=7 * i), "user_id": s, "session_id": f"s{s}",
+                         "event_type": kind, "product_id": product, "price": 2.5, "quantity": 1})
+            if kind == "add_to_cart":
+                items, state = items + 1, "cart_active"
+                cart[product] = cart.get(product, 0) + 1
+            elif kind == "remove_from_cart":
+                items = max(0, items - 1)
+                state = "interested" if items == 0 else state
+                cart[product] = cart.get(product, 0) - 1
+            elif kind == "purchase":
+                items, state, cart = 0, "purchased", {}
+            elif kind == "page_view":
+                pages += 1
+            else:
+                state = "recovering"
+            want[100 * s + i] = (items, state or ("interested" if pages >= 3 else "browsing"))
+        lines.update({(f"s{s}", p): n for p, n in cart.items() if n > 0})
+    ev = events_df(spark, rows)
+    assert {r.event_id: (r.item_count, r.session_state) for r in S.session_state(ev).collect()} == want
+    assert {(r.session_id, r.product_id): r.quantity for r in S.cart_lines(ev).collect()} == lines

@@ -112,3 +112,29 @@ def test_cents_round_half_up_like_the_batch_cast(spark):
     batch = [int(r.c * 100) for r in spark.createDataFrame([(p,) for p in prices], "p double").select(
         F.col("p").cast("decimal(10,2)").alias("c")).collect()]
     assert [_cents(p, 1) for p in prices] == batch
+
+
+def test_retention_touches_only_old_days(spark):
+    import datetime as dt
+    import glob
+    import os
+
+    from cartflow.session import fresh_dir
+    from cartflow.sources.tables import retain_days, write_by_day
+    path = fresh_dir(spark, "days")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(hours=6 * i)) for i in range(40)] + [(100, None)]
+    write_by_day(spark.createDataFrame(rows, "id long, at timestamp"), path, "at")
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(path.removeprefix("file:") + "/day=*/part-*")}
+    before = files()
+    done = {r.day: r.action for r in retain_days(spark, path, "at", 3, "2024-01-08 15:00:00").collect()}
+    after = files()
+    assert done == {f"2024-01-0{d}": "dropped" for d in range(1, 5)} | {"2024-01-05": "trimmed",
+                                                                        "__HIVE_DEFAULT_PARTITION__": "dropped"}
+    cut = dt.datetime(2024, 1, 5, 15)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [i for i, t in rows if t and t >= cut]
+    later = {f: m for f, m in before.items() if "day=2024-01-05" not in f and f.split("day=")[1][:10] > "2024-01-05"
+             and "HIVE" not in f}
+    assert later and {f: m for f, m in after.items() if "2024-01-05" not in f} == later
+    retain_days(spark, path, "at", 3, "2024-02-08 15:00:00")
+    assert spark.read.schema("id long, at timestamp").parquet(path).count() == 0
