@@ -38,7 +38,11 @@ RUNS = re.compile(r"[^\W\d_]+")
 
 
 def letter_words(text: str | None) -> list[str]:
-    return [w for w in RUNS.findall(text.lower()) if w.isalpha()] if text else []
+    """The runs of letters, lower-cased; a run with signs such as a raised two is split at them."""
+    out: list[str] = []
+    for w in RUNS.findall(text.lower()) if text else ():
+        out += [w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split()
+    return out
 
 
 def vocabulary(model_path: str) -> list[str]:

@@ -371,6 +371,11 @@ def test_language_edges(edge, none):
     assert {r.lang_pred for r in unlabelled} == {"und"}
 
 
+def test_letters_beside_signs_count():
+    assert langid.letter_words("5 km² ½x a1b_c") == ["km", "x", "a", "b", "c"]
+    assert langid.letter_words("12 ² ½ _") == [] == langid.letter_words(None)
+
+
 # 8. Decontamination
 
 def edit_distance(pattern, region):
