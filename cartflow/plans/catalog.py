@@ -1197,6 +1197,16 @@ def q_t9_latest(spark, sf):
     return got.where("session_id <> 'closing'").select(*[f.split()[0] for f in RECORD_SCHEMA.split(", ")])
 
 
+@register("decoded_outcomes", f"""
+SELECT 'evt_' || CAST(prediction_id AS VARCHAR) AS prediction_id, * EXCLUDE (prediction_id)
+FROM (SELECT {LABELLED} FROM {LABELS_SQL} l)""")
+def q_decoded(spark, sf):
+    """S2, S3, W5, J4 on JSON events with text ids: decoded, validated, scored and labelled."""
+    raw = SE.encode_events(events(spark, sf).withColumn("event_id", F.concat(F.lit("evt_"), F.col("event_id"))))
+    valid, _ = SE.validate_events(SE.decode_events(raw)[0])
+    return O.label_outcomes(fixed_predictions(S.snapshots(valid)), valid).select(*LABELLED.split(", "))
+
+
 IDLE_COLUMNS = "session_id, user_id, last_activity, detected_at, cart_value, items_count"
 RECOVERY_COLUMNS = ("session_id, abandonment_event_id, abandonment_time, recovered, recovery_time, recovery_seconds, "
                     "recovery_value")
