@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import keep
+
 CACHE = 1_000_000  # pre-tokens kept by a worker before it starts afresh
 BYTE_CHARS = 0x100
 
@@ -112,19 +114,12 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_CODERS: dict[tuple[str, str], ByteBpe] = {}
-
-
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                      text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit numbers, decoded as bytes from the ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from cartflow.llm import bpe  # the worker's own module keeps the coder from task to task
-        key = (ranks_path, pattern)
-        if key not in bpe._CODERS:
-            bpe._CODERS[key] = ByteBpe(*key)
-        coder = bpe._CODERS[key]
+        coder = keep(("bpe", ranks_path, pattern), lambda: ByteBpe(ranks_path, pattern))
         for b in batches:
             for i in range(0, len(b), 500):
                 part = b.iloc[i:i + 500]

@@ -60,6 +60,24 @@ def written(df: DataFrame, name: str, group_mb: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict = {}
+
+
+def keep(key: tuple, make):
+    """What a Python worker keeps from task to task: one thing, that of the operator it ran last."""
+    from cartflow.llm import common  # the worker's own module
+    if key not in common._KEPT:
+        common._KEPT.clear()
+        common._KEPT[key] = make()
+    return common._KEPT[key]
+
+
+def forget() -> None:
+    """Lets go of what another operator left in this worker."""
+    from cartflow.llm import common
+    common._KEPT.clear()
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Python tasks of the jobs started inside get ``rows`` rows at a time; for tables of large values."""

@@ -23,14 +23,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_remainder, rows_where
+from .common import id_remainder, keep, rows_where
 
 TRAIN_DOCS = 200       # labelled documents of each language that the fit reads
 EM_ROUNDS = 3
 LONGEST = 8            # letters in a piece
 START = "▁"       # marks the beginning of a word, as in the vocabulary
 SHORT = 24             # letters of the words that are scored together
-CACHE = 800_000        # words kept by a worker before it starts afresh
+CACHE = 400_000        # words kept by a worker before it starts afresh
 
 # Multipliers of a word's characters in the hash of its pieces.
 POWERS = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(LONGEST + 1)], dtype=np.uint64)
@@ -209,9 +209,6 @@ class Scorer:
         return out
 
 
-_SCORERS: dict = {}
-
-
 def train(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS):
     """(languages, log priors, table): the table has the pieces of the fixed vocabulary, a number per language each."""
     labelled = docs.where(F.col("lang").isNotNull()
@@ -241,11 +238,7 @@ def train(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS):
 
 
 def _scorer(key: str, shared) -> Scorer:
-    from cartflow.llm import langid  # the worker's own module keeps the scorer from task to task
-    if key not in langid._SCORERS:
-        langid._SCORERS.clear()
-        langid._SCORERS[key] = Scorer(*shared.value)
-    return langid._SCORERS[key]
+    return keep(("langid", key), lambda: Scorer(*shared.value))
 
 
 def explained(docs: DataFrame, model_path: str, least: float, train_docs: int = TRAIN_DOCS) -> DataFrame:

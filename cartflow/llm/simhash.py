@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, partitions, written
+from .common import components, forget, partitions, written
 
 SEED = 42
 SHARD_POINTS = 8_192   # fingerprints aimed at for each shard
@@ -58,6 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for b in batches:
             fps = np.fromiter((fingerprint_of(t or "", shingle) for t in b.text), dtype=np.uint64, count=len(b))
             yield pd.DataFrame({"doc_id": b.doc_id, "fp": fps.view(np.int64)})
