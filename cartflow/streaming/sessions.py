@@ -1,8 +1,8 @@
 """The continuously updated session record.
 
 ``SessionFold`` keys the event stream by session id.  Its state is the folded
-accumulator (counters, flags, floored cart in cents), the viewed products (a
-map), the abandonments not settled yet (a list) and the events newer than the
+accumulator (counters, flags, floored cart in cents, the first viewed
+products), the further viewed products (a map), the abandonments not settled yet (a list) and the events newer than the
 watermark (an append-only list).  Each micro-batch folds, in (ts, event_id)
 order, every waiting event the watermark has passed, and emits a provisional
 record folded over the others too (update mode).  Because only rows behind the
@@ -40,6 +40,7 @@ ACC_FIELDS = ("user_id long, first_ts long, start_ts long, last_ts long, dev str
               "np long, srch long, add long, rem long, cart_cents long, buy boolean, pval double, abd boolean, "
               "reason string, tic int, chk boolean, pers_start string, pers_any string, n long")
 ACC_NAMES = [f.split()[0] for f in ACC_FIELDS.split(", ")]
+FEW = 32   # products of a session that are kept with its counters; further ones go to a map
 
 
 def _cents(price, qty) -> int:
@@ -106,7 +107,7 @@ class SessionFold(OrderedFold):
     EVENT = ("ts_us long, event_id string, user_id long, event_type string, product_id long, price double, "
              "quantity int, cart_value double, device_type string, browser string, persona string, "
              "abandonment_reason string, time_in_cart_seconds int")
-    ACC = ACC_FIELDS + ", idle_at long, unsettled long, phase string, waiting long, timer_ms long"
+    ACC = ACC_FIELDS + ", idle_at long, unsettled long, phase string, few string, waiting long, timer_ms long"
     OUT = ("kind string, session_id string, " + ACC_FIELDS
            + ", event_id string, event_type string, at_us long, until_us long, value double")
 
@@ -121,7 +122,21 @@ class SessionFold(OrderedFold):
     def start(self) -> dict:
         zero = dict.fromkeys(["pv", "pvc", "np", "srch", "add", "rem", "cart_cents", "n", "unsettled"], 0)
         return dict.fromkeys(ACC_NAMES) | zero | {"buy": False, "abd": False, "chk": False, "idle_at": None,
-                                                  "phase": "closing"}
+                                                  "phase": "closing", "few": ""}
+
+    # A session's first viewed products stand beside its counters, so that most sessions need no look-up.
+
+    def _viewed(self, acc: dict, product: int) -> bool:
+        return str(product) in acc["few"].split(",") or acc["np"] > FEW and self.products.containsKey((product,))
+
+    def _view(self, acc: dict, product: int) -> None:
+        if self._viewed(acc, product):
+            return
+        if acc["np"] < FEW:
+            acc["few"] = f"{acc['few']},{product}"
+        else:
+            self.products.updateValue((product,), (True,))
+        acc["np"] += 1
 
     def _row(self, kind: str, key: str, acc: dict, event_id=None, event_type=None, at=None, until=None, value=None):
         return (kind, key, *[acc[n] for n in ACC_NAMES], event_id, event_type, at, until, value)
@@ -132,9 +147,8 @@ class SessionFold(OrderedFold):
             yield self._idle(key, acc)
         _fold(acc, e)
         et, product = e["event_type"], e["product_id"]
-        if et == "product_view" and product is not None and not self.products.containsKey((int(product),)):
-            self.products.updateValue((int(product),), (True,))
-            acc["np"] += 1
+        if et == "product_view" and product is not None:
+            self._view(acc, int(product))
         if et in ("purchase", "cart_abandoned"):
             yield self._row("outcome", key, acc, e["event_id"], et, ts, None, e["cart_value"])
         if et == "purchase" and acc["unsettled"]:
@@ -156,7 +170,7 @@ class SessionFold(OrderedFold):
         seen = dict(acc)
         viewed = {int(e["product_id"]) for e in events
                   if e["event_type"] == "product_view" and e["product_id"] is not None}
-        seen["np"] += sum(not self.products.containsKey((p,)) for p in viewed)
+        seen["np"] += sum(not self._viewed(acc, p) for p in viewed)
         for e in events:
             _fold(seen, e)
         yield self._row("record", key, seen)
@@ -182,7 +196,8 @@ class SessionFold(OrderedFold):
                 yield self._row("recovery", key, acc, event_id, None, at)
             self.pending.clear()
         yield self._row("closed", key, acc)
-        self.products.clear()
+        if acc["np"] > FEW:
+            self.products.clear()
         self.done = True
 
 

@@ -79,6 +79,22 @@ def test_text_ids_and_events_after_2024(spark):
     assert sorted((r.session_id, r.cart_value) for r in idle) == [("s", 20.0), ("t", 3.0)]
 
 
+def test_products_beyond_the_few(spark):
+    """Distinct products are exact however many a session views and however batches cut it."""
+    from cartflow.streaming import sessions as SS
+    t0 = dt.datetime(2024, 3, 1)
+    data = [("s", i, t0 + dt.timedelta(minutes=i), 1, "product_view", i % 45, 1.0, None, None) for i in range(120)]
+    ev = spark.createDataFrame(data, "session_id string, event_id long, ts timestamp, user_id long, event_type string, "
+                                     "product_id int, price double, quantity int, cart_value double")
+    for c in ("device_type", "browser", "persona", "abandonment_reason"):
+        ev = ev.withColumn(c, F.lit(None).cast("string"))
+    ev = ev.withColumn("time_in_cart_seconds", F.lit(None).cast("int"))
+    assert SS.FEW < 45
+    out = replay(spark, ev, 3)
+    last = latest_per_key(spark.read.parquet(f"{out}/sessions"), ["session_id"]).where("session_id = 's'").first()
+    assert (last.products_viewed, last.product_view_count) == (45, 120)
+
+
 def test_empty_table(spark, small_dir):
     out = replay(spark, events(spark, small_dir).limit(0), 2)
     assert labelled_predictions(spark, out) is None
