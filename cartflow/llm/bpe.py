@@ -7,6 +7,8 @@ pre-token pattern, each distinct pre-token is encoded once per worker, and ids
 decode by the inverse mapping.
 
 Null texts count as empty and have no ids.  Repeated rows are kept.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

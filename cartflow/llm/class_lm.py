@@ -14,6 +14,8 @@ time, so the round with the best likelihood is kept.
 A text is its words, A-Z lower-cased, then one end token; null texts are
 empty.  Rows without an id are training rows; repeated rows count as often as
 they occur.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -17,6 +17,8 @@ word bounds; items without a q-gram are looked up as they are.
 Null and empty texts hold nothing, and such items are not searched.  Repeated
 documents and items give repeated rows of the same result, one for each pair
 of distinct ids.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

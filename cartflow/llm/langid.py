@@ -9,6 +9,8 @@ a bounded sample of labelled documents, ``train_docs`` for each language.
 Words are runs of letters, lower-cased.  Null texts and texts without letters
 are ``und`` with score 0.  Equal scores go to the alphabetically first
 language.  Without any labelled document every text is ``und``.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

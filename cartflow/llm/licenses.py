@@ -10,6 +10,8 @@ the template's shingles.
 
 Words are lower-cased and lose punctuation at their ends.  Null and empty
 texts hold no notice.  Templates under five words are refused.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -8,6 +8,8 @@ bounded sample of labelled documents, each line taking its document's label.
 Null and empty texts are one empty line.  Labels that are null or not 0 or 1
 are ignored; a document with several labels uses the smallest.  Without
 labelled documents the field is flat and every score is 0.5.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -8,6 +8,8 @@ corpus with an empirical beta prior, and a host whose shrunk rate passes
 Null or empty texts have no words and fail the length rule.  Null hosts form
 one host of their own.  Repeated rows are judged alike and all returned;
 other columns of the input are ignored.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ A written folder has ``blocks`` (one row per block, in ascending document
 order), ``frequencies`` (id, slots) and is read back by ``read_ids``.
 
 Null texts count as empty.  Repeated ids of documents keep all their rows.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -9,6 +9,8 @@ beyond that both joins shuffle on their keys.
 
 Null URLs and URLs without ``://`` have an empty host and path, match no rule
 and are allowed.  Repeated pages are judged alike.
+
+An empty table gives no rows.  Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
