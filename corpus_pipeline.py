@@ -6,6 +6,11 @@ stage's documents.  All stages but the last return the columns of
 ``documents``; the last adds the token ids' and decoded bytes' digests to each
 kept document.
 
+Null and empty texts have no language and go in the first stage; null and
+repeated ids are kept apart by row; repeated rows are near-duplicates of each
+other; columns beside those of ``documents`` are dropped, so their names do
+not matter; an empty table stays empty through all stages.
+
 SQL cannot express the learned stages, so ``ORACLE_SQL`` is None and the tests
 compare the stages with brute-force versions.
 """
