@@ -60,6 +60,16 @@ def written(df: DataFrame, name: str, group_mb: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a table of ``written`` that nothing will read again."""
+    spark = df.sparkSession
+    own = shared_folder(spark).removeprefix("file:").rstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if own.lstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _KEPT: dict = {}
 
 
