@@ -1,21 +1,25 @@
-"""Keyed state with user functions, on ``transformWithState`` and RocksDB.
+"""Keyed state with user functions, in RocksDB state stores.
 
 ``KeyedStore``      named values of one key: get, put, update(fn), delete, with an
                     optional time to live (processing time).
 ``process_events``  U1: a user function over every event of a key, in order of
                     arrival, with a ``KeyedStore``; yields result rows.
-``OrderedFold``     an ordered fold in event time: a key's events wait in an
-                    append-only list until the watermark passes them, then are
-                    folded in (time, id) order, each once, whatever micro-batch
-                    brought them; a user's deadline wakes an idle key.
+``OrderedFold``     an ordered fold in event time: a key's events wait until
+                    the watermark passes them, then are folded in (time, id)
+                    order, each once, whatever micro-batch brought them; a
+                    user's deadline wakes an idle key.
 
 State lives in RocksDB on the executors and in its change log in the
-checkpoint, so a key's state is read and written only when the key has rows
-or a timer, and nothing is kept once a fold clears it.
+checkpoint; nothing is kept of a key once its fold clears it.  The values of a
+``KeyedStore`` are read and written one by one.  The keys of an ``OrderedFold``
+share state by hash bucket, which comes and goes with the bucket's rows: a call
+to the state store for each key took most of the time of a run.
 """
 
 from __future__ import annotations
 
+import pickle
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -98,115 +102,140 @@ def process_events(stream: DataFrame, keys: list[str], fn, output_schema: str, s
         timeMode="processingTime" if ttl_ms else "none")
 
 
-class OrderedFold(StatefulProcessor):
-    """An ordered fold of a key's events in event time.
+BUCKETS = 1024     # state values that the keys of an ordered fold share
+OUT_ROWS = 10_000  # result rows handed over at once
 
-    A subclass names the event columns (``EVENT``, a schema whose first two
-    fields are ``ts_us long`` and ``event_id string``), the accumulator's
-    schema (``ACC``, with ``waiting long`` and ``timer_ms long`` for this
-    class) and the result's columns (``OUT``), and defines
 
-    ``start()``             a new accumulator (dict)
-    ``commit(key, acc, e)`` fold one event, yield result tuples
-    ``view(key, acc, es)``  result tuples for the accumulator and the events still waiting
-    ``deadline(acc, es)``   when, in ms, an idle key is to be woken
-    ``woken(key, acc, ms)`` result tuples; returns by ``self.done = True`` that the key's state can go
+class OrderedFold:
+    """An ordered fold of a key's events in event time.
+
+    Keys are dealt to buckets by hash.  A bucket's state is one value with an
+    entry for each live key (its accumulator and waiting events, packed, and
+    the time it is to be woken); the bucket's timeout is the earliest of these
+    times.  It is read and written once when the bucket has rows or its
+    timeout expires; only the keys with rows, or due, are unpacked.
 
-    Further state is made in ``init``.
+    A subclass names the event columns (``EVENT``, a schema whose first two
+    fields are ``ts_us long`` and ``event_id string``) and the result's columns
+    (``OUT``), and defines
+
+    ``start()``                  a new accumulator: a dict of plain values, whose names are always the same
+    ``commit(key, acc, e)``      fold one event, yield result tuples
+    ``ahead(key, acc, es)``      an accumulator with the events still waiting folded too; ``acc`` stays as it is
+    ``view(key, ahead)``         result tuples for that accumulator
+    ``deadline(acc, ahead, es)`` when, in ms, an idle key is to be woken
+    ``woken(key, acc, ms)``      result tuples; returns by ``self.done = True`` that the key's state can go
+    ``pack(acc)``                makes the accumulator's values plain again before it is stored
     """
 
-    EVENT, ACC, OUT = "", "", ""
+    EVENT, OUT = "", ""
     NUMERIC_IDS = False
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.acc = handle.getValueState("acc", self.ACC)
-        self.buffer = handle.getListState("waiting", self.EVENT)
-        self.acc_names = [f.split()[0] for f in self.ACC.split(",")]
-        self.names = [f.split()[0] for f in self.EVENT.split(",")]
-        # Whole numbers beside nulls arrive as floats.
-        self.casts = [int if f.split()[1] in ("long", "int") else None for f in self.EVENT.split(",")]
+    def prepare(self) -> None:
+        """Names that every call needs; ``ordered_fold`` has it done once."""
+        self.acc_names = list(self.start())
+        fields = [f.split() for f in self.EVENT.split(",")]
+        self.names = [n for n, _ in fields]
         self.out = [f.split()[0] for f in self.OUT.split(",")]
+        # Whole numbers beside nulls would arrive as floats: ints fit these, longs come as text.
+        self.casts = [int if n != "ts_us" and t in ("long", "int") else None for n, t in fields]
 
-    # order
-
-    def _order(self, e: dict):
-        return e["ts_us"], int(e["event_id"]) if self.NUMERIC_IDS else e["event_id"]
+    def pack(self, acc: dict) -> None:
+        pass
 
-    def _load(self) -> dict:
-        values = self.acc.get()
-        return self.start() | {"waiting": 0, "timer_ms": 0} if values is None else dict(zip(self.acc_names, values))
+    def _order(self, e: tuple):
+        return e[0], int(e[1]) if self.NUMERIC_IDS else e[1]
 
-    def _waiting(self, acc: dict) -> list[dict]:
-        return [dict(zip(self.names, v)) for v in self.buffer.get()] if acc["waiting"] else []
+    def _unpack(self, entry: tuple | None) -> tuple[dict, list[tuple]]:
+        if entry is None:
+            return self.start(), []
+        values, events = pickle.loads(entry[1])
+        return dict(zip(self.acc_names, values)), events
 
-    def _save(self, acc: dict, timer_ms: int) -> None:
-        if timer_ms != acc["timer_ms"]:
-            if acc["timer_ms"]:
-                self.handle.deleteTimer(acc["timer_ms"])
-            self.handle.registerTimer(timer_ms)
-            acc["timer_ms"] = timer_ms
-        self.acc.update(tuple(acc[n] for n in self.acc_names))
+    def _entry(self, acc: dict, due: int, events: list[tuple]) -> tuple[int, bytes]:
+        self.pack(acc)
+        return due, pickle.dumps(([acc[n] for n in self.acc_names], events), 4)
 
-    def _rows(self, parts: Iterator[pd.DataFrame]) -> list[dict]:
-        out = []
+    def _rows(self, parts: Iterator[pd.DataFrame]) -> dict[str, list[tuple]]:
+        """New events by key."""
+        out: dict[str, list[tuple]] = {}
         for part in parts:
-            for values in zip(*[part[n].tolist() for n in self.names]):
-                out.append({n: None if v is None or v != v else cast(v) if cast else v
-                            for n, v, cast in zip(self.names, values, self.casts)})
+            columns = []
+            for n, cast in zip(self.names, self.casts):
+                column = part[n]
+                values = column.tolist()
+                if column.dtype.kind not in "iub":
+                    values = [None if v is None or v != v else cast(v) if cast else v for v in values]
+                columns.append(values)
+            for key, e in zip(part["fold_key"].tolist(), zip(*columns)):
+                out.setdefault(key, []).append(e)
         return out
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        (key,) = key
-        wm = timerValues.getCurrentWatermarkInMs()
-        acc, new = self._load(), self._rows(rows)
-        events = sorted(self._waiting(acc) + new, key=self._order)
-        keep = [e for e in events if e["ts_us"] > wm * 1000]
-        out = []
-        for e in events[:len(events) - len(keep)]:
-            out.extend(self.commit(key, acc, e))
-        if len(keep) == acc["waiting"] + len(new):
-            self.buffer.appendList([tuple(e[n] for n in self.names) for e in new])  # nothing left the list
-        elif keep:
-            self.buffer.put([tuple(e[n] for n in self.names) for e in keep])
-        elif acc["waiting"]:
-            self.buffer.clear()
-        acc["waiting"] = len(keep)
-        out.extend(self.view(key, acc, keep))
-        self._save(acc, max(self.deadline(acc, keep), wm + 1))
-        if out:
-            yield frame(out, self.out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        (key,) = key
-        wm = timerValues.getCurrentWatermarkInMs()
-        acc = self._load()
-        acc["timer_ms"] = 0
-        out = []
-        for e in sorted(self._waiting(acc), key=self._order):  # the watermark has passed them all
-            out.extend(self.commit(key, acc, e))
-        if acc["waiting"]:
-            self.buffer.clear()
-            acc["waiting"] = 0
+    def _dicts(self, events: list[tuple]) -> list[dict]:
+        return [dict(zip(self.names, e)) for e in events]
+
+    def _arrived(self, k: str, keys: dict, new: list[tuple], wm: int) -> Iterator[tuple]:
+        """Commit what the watermark has passed and show the key as of all its events."""
+        acc, waiting = self._unpack(keys.get(k))
+        events = sorted(waiting + new, key=self._order)
+        cut = bisect_right(events, wm * 1000, key=lambda e: e[0])
+        for e in self._dicts(events[:cut]):
+            yield from self.commit(k, acc, e)
+        keep = self._dicts(events[cut:])
+        ahead = self.ahead(k, acc, keep)
+        yield from self.view(k, ahead)
+        keys[k] = self._entry(acc, max(self.deadline(acc, ahead, keep), wm + 1), events[cut:])
+
+    def _due(self, k: str, keys: dict, wm: int) -> Iterator[tuple]:
+        """Wake a key: the watermark has passed all its events, which wait in order."""
+        acc, waiting = self._unpack(keys[k])
+        for e in self._dicts(waiting):
+            yield from self.commit(k, acc, e)
         self.done = False
-        out.extend(self.woken(key, acc, wm))
+        yield from self.woken(k, acc, wm)
         if self.done:
-            self.acc.clear()
+            del keys[k]
         else:
-            self._save(acc, max(self.deadline(acc, []), wm + 1))
+            keys[k] = self._entry(acc, max(self.deadline(acc, acc, []), wm + 1), [])
+
+    def step(self, bucket, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        wm = state.getCurrentWatermarkMs()
+        keys = pickle.loads(state.get[0]) if state.exists else {}
+        out: list[tuple] = []
+        new = {} if state.hasTimedOut else self._rows(parts)
+        for k, events in new.items():
+            out.extend(self._arrived(k, keys, events, wm))
+            if len(out) >= OUT_ROWS:
+                yield frame(out, self.out)
+                out = []
+        for k in [k for k, (due, _) in keys.items() if due <= wm]:
+            out.extend(self._due(k, keys, wm))
+            if len(out) >= OUT_ROWS:
+                yield frame(out, self.out)
+                out = []
+        if keys:
+            state.update((pickle.dumps(keys, 4),))
+            state.setTimeoutTimestamp(min(due for due, _ in keys.values()))
+        elif state.exists:
+            state.remove()
         if out:
             yield frame(out, self.out)
 
-    def close(self) -> None:
-        pass
 
+def ordered_fold(stream: DataFrame, key: str, fold: OrderedFold, watermark: str = "10 minutes",
+                 buckets: int = BUCKETS) -> DataFrame:
+    """Run an ``OrderedFold`` over a stream with a ``ts`` column; its columns are the fold's ``OUT``.
 
-def ordered_fold(stream: DataFrame, key: str, fold: OrderedFold, watermark: str = "10 minutes") -> DataFrame:
-    """Run an ``OrderedFold`` over a stream with a ``ts`` column; its columns are the fold's ``OUT``."""
+    A micro-batch reads and writes the state of every bucket it touches: with
+    very many live keys and small batches, take more buckets.
+    """
     from pyspark.sql import functions as F
     use_rocksdb(stream.sparkSession)
+    fold.prepare()
     names = [f.split() for f in fold.EVENT.split(",")]
     ev = stream.withWatermark("ts", watermark)
-    ev = ev.select(key, "ts", *[(F.unix_micros("ts") if n == "ts_us" else F.col(n).cast(t)).alias(n) for n, t in names])
-    return ev.groupBy(key).transformWithStateInPandas(fold, outputStructType=fold.OUT, outputMode="update",
-                                                      timeMode="eventTime")
+    ev = ev.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("fold_bucket"), F.col(key).alias("fold_key"), "ts",
+                   *[(F.unix_micros("ts") if n == "ts_us" else F.col(n).cast(t).cast("string") if t == "long"
+                      else F.col(n).cast(t)).alias(n) for n, t in names])
+    return ev.groupBy("fold_bucket").applyInPandasWithState(fold.step, fold.OUT, "keys binary", "update",
+                                                            "EventTimeTimeout")

@@ -1,9 +1,8 @@
 """The continuously updated session record.
 
 ``SessionFold`` keys the event stream by session id.  Its state is the folded
-accumulator (counters, flags, floored cart in cents, the first viewed
-products), the further viewed products (a map), the abandonments not settled yet (a list) and the events newer than the
-watermark (an append-only list).  Each micro-batch folds, in (ts, event_id)
+accumulator (counters, flags, floored cart in cents, viewed products, the
+abandonments not settled yet) and the events newer than the watermark.  Each micro-batch folds, in (ts, event_id)
 order, every waiting event the watermark has passed, and emits a provisional
 record folded over the others too (update mode).  Because only rows behind the
 watermark are committed, the final record equals the batch ``session_records``
@@ -15,6 +14,7 @@ Event ids may be whole numbers or text; they order events as in batch.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -40,7 +40,7 @@ ACC_FIELDS = ("user_id long, first_ts long, start_ts long, last_ts long, dev str
               "np long, srch long, add long, rem long, cart_cents long, buy boolean, pval double, abd boolean, "
               "reason string, tic int, chk boolean, pers_start string, pers_any string, n long")
 ACC_NAMES = [f.split()[0] for f in ACC_FIELDS.split(", ")]
-FEW = 32   # products of a session that are kept with its counters; further ones go to a map
+FEW = 32   # products of a session that are kept with its counters; further ones are packed apart
 
 
 def _cents(price, qty) -> int:
@@ -56,7 +56,7 @@ def _idle_gap(acc: dict, ts: int) -> bool:
 
 
 def _fold(acc: dict, e: dict) -> None:
-    """Apply one event to the counters, flags and cart (products and abandonments are kept elsewhere)."""
+    """Apply one event to the counters, flags and cart (``SessionFold`` keeps products and abandonments)."""
     et, ts = e["event_type"], e["ts_us"]
     if acc["n"] == 0:
         acc["user_id"], acc["first_ts"] = e["user_id"], ts
@@ -107,37 +107,41 @@ class SessionFold(OrderedFold):
     EVENT = ("ts_us long, event_id string, user_id long, event_type string, product_id long, price double, "
              "quantity int, cart_value double, device_type string, browser string, persona string, "
              "abandonment_reason string, time_in_cart_seconds int")
-    ACC = ACC_FIELDS + ", idle_at long, unsettled long, phase string, few string, waiting long, timer_ms long"
     OUT = ("kind string, session_id string, " + ACC_FIELDS
            + ", event_id string, event_type string, at_us long, until_us long, value double")
 
     def __init__(self, numeric_ids: bool, snapshots: bool):
         self.NUMERIC_IDS, self.snapshots = numeric_ids, snapshots
 
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.products = handle.getMapState("products", "product_id long", "seen boolean")
-        self.pending = handle.getListState("pending", "ts_us long, event_id string")
-
     def start(self) -> dict:
-        zero = dict.fromkeys(["pv", "pvc", "np", "srch", "add", "rem", "cart_cents", "n", "unsettled"], 0)
+        zero = dict.fromkeys(["pv", "pvc", "np", "srch", "add", "rem", "cart_cents", "n"], 0)
         return dict.fromkeys(ACC_NAMES) | zero | {"buy": False, "abd": False, "chk": False, "idle_at": None,
-                                                  "phase": "closing", "few": ""}
+                                                  "unsettled": [], "few": [], "more": b""}
+
+    # A session's first viewed products stand beside its counters; further ones are packed apart, as bytes that are
+    # unpacked only to look up a product that is not among the first.
 
-    # A session's first viewed products stand beside its counters, so that most sessions need no look-up.
+    def _more(self, acc: dict) -> set:
+        if isinstance(acc["more"], bytes):
+            acc["more"] = set(pickle.loads(acc["more"])) if acc["more"] else set()
+        return acc["more"]
 
     def _viewed(self, acc: dict, product: int) -> bool:
-        return str(product) in acc["few"].split(",") or acc["np"] > FEW and self.products.containsKey((product,))
+        return product in acc["few"] or acc["np"] > FEW and product in self._more(acc)
 
     def _view(self, acc: dict, product: int) -> None:
         if self._viewed(acc, product):
             return
         if acc["np"] < FEW:
-            acc["few"] = f"{acc['few']},{product}"
+            acc["few"].append(product)
         else:
-            self.products.updateValue((product,), (True,))
+            self._more(acc).add(product)
         acc["np"] += 1
 
+    def pack(self, acc: dict) -> None:
+        if not isinstance(acc["more"], bytes):
+            acc["more"] = pickle.dumps(sorted(acc["more"]), 4) if acc["more"] else b""
+
     def _row(self, kind: str, key: str, acc: dict, event_id=None, event_type=None, at=None, until=None, value=None):
         return (kind, key, *[acc[n] for n in ACC_NAMES], event_id, event_type, at, until, value)
 
@@ -152,13 +156,11 @@ class SessionFold(OrderedFold):
         if et in ("purchase", "cart_abandoned"):
             yield self._row("outcome", key, acc, e["event_id"], et, ts, None, e["cart_value"])
         if et == "purchase" and acc["unsettled"]:
-            for at, event_id in self.pending.get():
+            for at, event_id in acc["unsettled"]:
                 yield self._row("recovery", key, acc, event_id, et, at, ts, acc["pval"])
-            self.pending.clear()
-            acc["unsettled"] = 0
+            acc["unsettled"] = []
         if et == "cart_abandoned":
-            self.pending.appendValue((ts, e["event_id"]))
-            acc["unsettled"] += 1
+            acc["unsettled"].append((ts, e["event_id"]))
         if self.snapshots:
             yield self._row("snapshot", key, acc, e["event_id"], et, ts)
 
@@ -166,24 +168,23 @@ class SessionFold(OrderedFold):
         acc["idle_at"] = acc["last_ts"]
         return self._row("idle", key, acc, at=acc["last_ts"] + K.CART_ABANDONMENT_IDLE_SECONDS * 1_000_000)
 
-    def view(self, key: str, acc: dict, events: list[dict]) -> Iterator[tuple]:
+    def ahead(self, key: str, acc: dict, events: list[dict]) -> dict:
         seen = dict(acc)
         viewed = {int(e["product_id"]) for e in events
                   if e["event_type"] == "product_view" and e["product_id"] is not None}
         seen["np"] += sum(not self._viewed(acc, p) for p in viewed)
         for e in events:
             _fold(seen, e)
-        yield self._row("record", key, seen)
+        return seen
+
+    def view(self, key: str, ahead: dict) -> Iterator[tuple]:
+        yield self._row("record", key, ahead)
 
-    def deadline(self, acc: dict, events: list[dict]) -> int:
+    def deadline(self, acc: dict, ahead: dict, events: list[dict]) -> int:
         """An idle cart is reported after a while; every session is closed after the gap."""
-        seen = dict(acc)
-        for e in events:
-            _fold(seen, e)
-        idle = seen["cart_cents"] > 0 and not seen["buy"] and (bool(events) or acc["idle_at"] != acc["last_ts"])
-        acc["phase"] = "idle" if idle else "closing"
+        idle = ahead["cart_cents"] > 0 and not ahead["buy"] and (bool(events) or acc["idle_at"] != acc["last_ts"])
         wait = K.CART_ABANDONMENT_IDLE_SECONDS if idle else K.SESSION_GAP_SECONDS
-        return seen["last_ts"] // 1000 + wait * 1000
+        return ahead["last_ts"] // 1000 + wait * 1000
 
     def woken(self, key: str, acc: dict, wm_ms: int) -> Iterator[tuple]:
         if acc["cart_cents"] > 0 and not acc["buy"] and acc["idle_at"] != acc["last_ts"] \
@@ -192,12 +193,9 @@ class SessionFold(OrderedFold):
         if acc["last_ts"] // 1000 + K.SESSION_GAP_SECONDS * 1000 > wm_ms:
             return
         if acc["unsettled"]:  # never bought again
-            for at, event_id in self.pending.get():
+            for at, event_id in acc["unsettled"]:
                 yield self._row("recovery", key, acc, event_id, None, at)
-            self.pending.clear()
         yield self._row("closed", key, acc)
-        if acc["np"] > FEW:
-            self.products.clear()
         self.done = True
 
 

@@ -212,3 +212,18 @@ def test_trained_models_switch_between_batches(spark, small_dir):
             assert (r.abandonment_probability, r.risk_level, r.confidence) == (
                 w.abandonment_probability, w.risk_level, w.confidence)
     assert sum(want[r.session_id, r.model_version].prediction_timestamp == r.prediction_timestamp for r in got) == len(got)
+
+
+def test_sessions_of_one_bucket_share_a_state(spark, small_dir):
+    """Many sessions in few state values: the records are the batch's, and closed sessions leave no state."""
+    from cartflow.streaming.keyed import ordered_fold
+    from cartflow.streaming.runner import run_ordered_to
+    from cartflow.streaming.sessions import EVENT_COLS, SessionFold, record_from_accumulator
+    build = lambda s: record_from_accumulator(ordered_fold(
+        s.select(*EVENT_COLS), "session_id", SessionFold(True, False), buckets=2).where("kind = 'record'"))
+    out, q = run_ordered_to(spark, events(spark, small_dir), build, "update", "buckets", slices=2,
+                            close_after=closing_seconds())
+    last = latest_per_key(spark.read.parquet(out), ["session_id"]).where("session_id <> 'closing'")
+    want = QUERIES["session_records"](spark, small_dir)
+    assert rows(last.select(*want.columns)) == rows(want)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
