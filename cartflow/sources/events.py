@@ -69,9 +69,9 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame,
     """
     text = F.col(value_col).cast("string")
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = raw.select(text.alias("_raw"),
-                        F.from_json(text, schema, {"mode": "PERMISSIVE",
-                                                   "columnNameOfCorruptRecord": "_corrupt"}).alias("e"))
+    # A generator keeps the parse in one place; filters on its fields would otherwise each repeat it.
+    parsed = raw.select(text.alias("_raw"), F.explode(F.array(
+        F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))).alias("e"))
     bad = F.col("e").isNull() | F.col("e._corrupt").isNotNull()
     good = parsed.filter(~bad).select("e.*").drop("_corrupt") \
         .withColumn("ts", F.try_to_timestamp(F.regexp_replace("timestamp", "Z$", "")))
