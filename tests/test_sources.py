@@ -138,3 +138,12 @@ def test_retention_touches_only_old_days(spark):
     assert later and {f: m for f, m in after.items() if "2024-01-05" not in f} == later
     retain_days(spark, path, "at", 3, "2024-02-08 15:00:00")
     assert spark.read.schema("id long, at timestamp").parquet(path).count() == 0
+
+
+def test_an_event_is_parsed_once(spark):
+    """Filters on parsed fields do not repeat the parse."""
+    from cartflow.sources import events as SE
+    raw = spark.createDataFrame([('{"event_id":"a"}',)], "value string").where("length(value) > 0")
+    valid, _ = SE.validate_events(SE.decode_events(raw)[0])
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
