@@ -102,7 +102,7 @@ def process_events(stream: DataFrame, keys: list[str], fn, output_schema: str, s
         timeMode="processingTime" if ttl_ms else "none")
 
 
-BUCKETS = 1024     # state values that the keys of an ordered fold share
+BUCKETS = 256      # state values that the keys of an ordered fold share
 OUT_ROWS = 10_000  # result rows handed over at once
 
 

@@ -40,6 +40,7 @@ ACC_FIELDS = ("user_id long, first_ts long, start_ts long, last_ts long, dev str
               "np long, srch long, add long, rem long, cart_cents long, buy boolean, pval double, abd boolean, "
               "reason string, tic int, chk boolean, pers_start string, pers_any string, n long")
 ACC_NAMES = [f.split()[0] for f in ACC_FIELDS.split(", ")]
+ROWS_A_TASK, BYTES_A_TASK = 50_000, 4 << 20   # what a task of the sink's shuffles gets of a batch and of the kept tables
 FEW = 32   # products of a session that are kept with its counters; further ones are packed apart
 
 
@@ -313,34 +314,41 @@ def multi_sink(out: str, ids: str = "long", scorer=fixed_tick_scorer, label: boo
     too, and outcomes close open predictions as they come (J4 on streams).
     """
     from cartflow.operators.scoring import fixed_predictions
-    from cartflow.streaming.merge import KeyedTable, OutcomeMerge
+    from cartflow.streaming.merge import KeyedTable, OutcomeMerge, at_once, stored_bytes
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        partitions = spark.conf.get("spark.sql.shuffle.partitions")
         batch = batch.persist()
         try:
-            kinds = {r["kind"] for r in batch.select("kind").distinct().collect()}  # six at most
+            rows = {r["kind"]: r["count"] for r in batch.groupBy("kind").count().collect()}  # six at most
+            kinds = set(rows)
+            # A stateful query plans without AQE, so small shuffles are cut down here; a task costs more than few rows.
+            tasks = -(-sum(rows.values()) // ROWS_A_TASK) - (-stored_bytes(spark, out) // BYTES_A_TASK)
+            spark.conf.set("spark.sql.shuffle.partitions", max(1, min(int(partitions), tasks)))
 
             # A retried batch overwrites its own folders; what a batch does not bring is not written.
             def write(df: DataFrame, name: str) -> None:
                 df.write.mode("overwrite").parquet(f"{out}/{name}/_batch={batch_id}")
 
+            steps = []
             if "record" in kinds:
                 rec = record_from_accumulator(batch.filter(F.col("kind") == "record"))
-                write(rec, "sessions")
-                KeyedTable(spark, f"{out}/latest_sessions", ["session_id"], ["last_activity", "event_count"]) \
-                    .apply(rec, batch_id)
-                write(scorer(rec.filter(F.col("cart_value") > 0), batch_id), "predictions")
+                latest = KeyedTable(spark, f"{out}/latest_sessions", ["session_id"], ["last_activity", "event_count"])
+                steps += [lambda: write(rec, "sessions"), lambda: latest.apply(rec, batch_id),
+                          lambda: write(scorer(rec.filter(F.col("cart_value") > 0), batch_id), "predictions")]
             if "idle" in kinds:
-                write(abandonments_from_fold(batch), "abandonments")
+                steps.append(lambda: write(abandonments_from_fold(batch), "abandonments"))
             if "recovery" in kinds:
-                write(recoveries_from_fold(batch, ids=ids), "recoveries")
+                steps.append(lambda: write(recoveries_from_fold(batch, ids=ids), "recoveries"))
             if label and kinds & {"snapshot", "outcome", "closed"}:
                 preds = fixed_predictions(snapshots_from_fold(batch, ids))
                 closed = batch.filter(F.col("kind") == "closed").select("session_id")
-                OutcomeMerge(spark, out).apply(preds, outcomes_from_fold(batch, ids), closed, batch_id,
-                                               settles=bool(kinds & {"outcome", "closed"}))
+                steps.insert(0, lambda: OutcomeMerge(spark, out).apply(
+                    preds, outcomes_from_fold(batch, ids), closed, batch_id, settles=bool(kinds & {"outcome", "closed"})))
+            at_once(spark, steps)
         finally:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
             batch.unpersist()
     return sink
 

@@ -227,3 +227,54 @@ def test_sessions_of_one_bucket_share_a_state(spark, small_dir):
     want = QUERIES["session_records"](spark, small_dir)
     assert rows(last.select(*want.columns)) == rows(want)
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+
+
+def test_a_keyed_table_is_read_in_one_scan(spark):
+    """However many batches wrote to it; columns that came later are null in the earlier rows."""
+    path = fresh_dir(spark, "keyed-scan")
+    t = KeyedTable(spark, path, ["k"], ["at"], compact_every=100)
+    for b in range(5):
+        t.apply(spark.createDataFrame([("x", b), (f"y{b}", b)], "k string, at long"), b)
+    t.apply(spark.createDataFrame([("x", 9, 1.5)], "k string, at long, v double"), 5)
+    plan = t.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert sorted(map(tuple, t.read().select("k", "at", "v").collect()), key=str) == sorted(
+        [("x", 9, 1.5), *[(f"y{b}", b, None) for b in range(5)]], key=str)
+    schema = t.read().schema
+    again = KeyedTable(spark, path, ["k"], ["at"], compact_every=100, schema=schema)
+    assert rows(again.read()) == rows(t.read())
+    assert rows(again.read(before=2).select("k", "at")) == rows(
+        spark.createDataFrame([("x", 1), ("y0", 0), ("y1", 1)], "k string, at long"))
+
+
+def test_steps_run_side_by_side_and_their_errors_come_out(spark):
+    import threading
+    from cartflow.streaming.merge import at_once
+    met, done = threading.Barrier(2, timeout=20), []
+
+    def meet():
+        met.wait()
+        done.append(spark.range(3).count())
+    at_once(spark, [meet, meet])
+    assert done == [3, 3]
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, [lambda: 1 // 0, lambda: done.append(4)])
+    assert done == [3, 3, 4]
+
+
+def test_the_sink_leaves_the_stream_its_settings(spark):
+    """Its shuffles are cut to the batch's rows; the stream's own number of partitions is there again, also after an error."""
+    from cartflow.streaming.sessions import SessionFold
+    conf, seen = "spark.sql.shuffle.partitions", []
+    names = [f.split()[0] for f in SessionFold.OUT.split(", ")]
+    row = [{"kind": "record", "session_id": "s", "cart_cents": 100, "last_ts": 0, "first_ts": 0, "buy": False, "abd": False,
+            "chk": False}.get(n, 0 if n in ("pv", "pvc", "np", "srch", "add", "rem", "n") else None) for n in names]
+    batch = spark.createDataFrame([tuple(row)], SessionFold.OUT)
+    before = spark.conf.get(conf)
+
+    def scorer(records, batch_id):
+        seen.append(spark.conf.get(conf))
+        raise ValueError("no score")
+    with pytest.raises(ValueError):
+        multi_sink(fresh_dir(spark, "sink-settings"), scorer=scorer)(batch, 0)
+    assert seen == ["1"] and spark.conf.get(conf) == before != "1"
